@@ -76,10 +76,10 @@ def raw_event_rows(documents: DataFrame) -> DataFrame:
 
 
 def moment_rows(events: DataFrame) -> DataFrame:
-    """Event windows -> one row per listed moment, ball split from the players.
+    """Event windows -> one row per listed moment.
 
-    The ball is found by id, not by place. Both parts are taken before any shuffle, so a
-    caller that needs only the moments never moves the players.
+    The ball is found by id, not by place. It is taken out before any shuffle, so a caller
+    that needs only the moments never moves the players.
     """
     listed = events.select("season", "game_id", "event_pos", F.posexplode("moments").alias("moment_pos", "m"))
     return listed.select(
@@ -92,7 +92,7 @@ def moment_rows(events: DataFrame) -> DataFrame:
         "m.game_clock",
         "m.shot_clock",
         F.get(F.filter("m.positions", lambda p: p["player_id"] == BALL_ID), 0).alias("ball"),
-        F.filter("m.positions", lambda p: p["player_id"] != BALL_ID).alias("players"),
+        "m.positions",
     )
 
 
@@ -130,8 +130,9 @@ def moment_table(deduped: DataFrame) -> DataFrame:
 
 
 def player_location_table(deduped: DataFrame) -> DataFrame:
-    """One row per player position of each kept moment; every listed position stays."""
-    return deduped.select("game_id", "season", "moment_id", F.inline("players")).select(
+    """One row per player position of each kept moment; every listed position but the ball's stays."""
+    positions = deduped.select("game_id", "season", "moment_id", F.inline("positions"))
+    return positions.where(~F.col("player_id").eqNullSafe(BALL_ID)).select(
         "game_id",
         "season",
         "moment_id",

@@ -27,10 +27,7 @@ def ball_frames(moments: Column) -> Column:
             i.alias("idx"),
             m["game_clock"].alias("clock"),
             _first_position(m["positions"], F.lit(BALL_ID)).alias("ball"),
-            F.transform(
-                F.filter(m["positions"], lambda p: p["player_id"] != BALL_ID),
-                lambda p: F.struct(p["player_id"].alias("player_id"), p["x"].alias("x"), p["y"].alias("y")),
-            ).alias("players"),
+            m["positions"].alias("positions"),
         ),
     )
     return F.filter(
@@ -58,8 +55,24 @@ def rim_frame(frames: Column) -> Column:
 
 
 def frames_before_rim(frames: Column, rim_clock: Column) -> Column:
-    """Frames at most the lookback before the rim frame (clocks count down, both ends included)."""
-    return F.filter(frames, lambda f: (f["clock"] - rim_clock).between(0.0, RELEASE_LOOKBACK_S))
+    """Frames at most the lookback before the rim frame (clocks count down, both ends included).
+
+    They keep what the release search reads: the ball's and the players' place on the floor.
+    """
+    near = F.filter(frames, lambda f: (f["clock"] - rim_clock).between(0.0, RELEASE_LOOKBACK_S))
+    return F.transform(
+        near,
+        lambda f: F.struct(
+            f["idx"].alias("idx"),
+            f["clock"].alias("clock"),
+            f["ball"]["x"].alias("ball_x"),
+            f["ball"]["y"].alias("ball_y"),
+            F.transform(
+                F.filter(f["positions"], lambda p: p["player_id"] != BALL_ID),
+                lambda p: F.struct(p["player_id"].alias("player_id"), p["x"].alias("x"), p["y"].alias("y")),
+            ).alias("players"),
+        ),
+    )
 
 
 def release_frame(candidates: Column, shooter_id: Column) -> Column:
@@ -75,12 +88,12 @@ def release_frame(candidates: Column, shooter_id: Column) -> Column:
         F.transform(
             seen,
             lambda s: F.struct(
-                distance(s["f"]["ball"]["x"], s["f"]["ball"]["y"], s["p"]["x"], s["p"]["y"]).alias("dist"),
+                distance(s["f"]["ball_x"], s["f"]["ball_y"], s["p"]["x"], s["p"]["y"]).alias("dist"),
                 s["f"]["idx"].alias("idx"),
                 s["p"]["x"].alias("shooter_x"),
                 s["p"]["y"].alias("shooter_y"),
-                s["f"]["ball"]["x"].alias("ball_x"),
-                s["f"]["ball"]["y"].alias("ball_y"),
+                s["f"]["ball_x"].alias("ball_x"),
+                s["f"]["ball_y"].alias("ball_y"),
                 s["f"]["clock"].alias("release_game_clock"),
             ),
         )

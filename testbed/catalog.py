@@ -201,7 +201,7 @@ def moment_decode(spark, sf_dir):
         F.col("ball.x").alias("ball_x"),
         F.col("ball.y").alias("ball_y"),
         F.col("ball.z").alias("ball_z"),
-        F.size("players").alias("players"),
+        F.size("positions").alias("positions"),
     )
 
 

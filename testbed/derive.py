@@ -17,8 +17,18 @@ PLAYER_BASE = 200000
 SEASON_YEARS = range(1990, 2041)
 
 
+# The columns in use of the given tables.
+GIVEN = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING",
+    "orders": "o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_mktsegment STRING",
+    "part": "p_partkey BIGINT",
+    "nation": "n_nationkey INT, n_name STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(GIVEN[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_game_id(user: Column) -> Column:
@@ -33,66 +43,50 @@ def game_key(user: Column) -> Column:
 
 def pbp_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw play-by-play row per event."""
-    e, u, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-    clock = F.concat(
-        (11 - F.minute(ts) % 12).cast("string"), F.lit(":"), F.lpad(F.second(ts).cast("string"), 2, "0")
-    )
-    kind = F.get(F.array(*[F.lit(t).cast("double") for t in (4, 4, 4, 5, 5, 2, 0)]), (e % 7).cast("int"))
-    text = F.concat(
-        F.col("event_type"),
-        F.when(e % 5 == 0, " 3PT Jump Shot").when(e % 5 == 1, " 3pt Jump Shot").otherwise(" Layup"),
-    )
     base = table(spark, sf_dir, "events").select(
-        "event_id",
-        "user_id",
-        raw_game_id(u).alias("GAME_ID"),
-        e.alias("EVENTNUM"),
-        (1 + e % 18).cast("int").alias("EVENTMSGTYPE"),
-        (e % 100).cast("int").alias("EVENTMSGACTIONTYPE"),
-        (1 + e % 4).cast("int").alias("PERIOD"),
-        F.when(e % 97 == 0, F.lit(None).cast("string"))
-        .when(e % 89 == 0, "n/a")
-        .when(e % 83 == 0, "720")
-        .when(e % 79 == 0, "x:30")
-        .otherwise(clock)
-        .alias("PCTIMESTRING"),
-        F.when(e % 3 == 0, text).alias("HOMEDESCRIPTION"),
-        F.when(e % 3 == 2, F.concat(F.lit("neutral "), text)).alias("NEUTRALDESCRIPTION"),
-        F.when((e % 3 == 1) | (e % 6 == 0), F.concat(F.lit("visitor "), text)).alias("VISITORDESCRIPTION"),
-        kind.alias("PERSON1TYPE"),
+        raw_game_id(F.col("user_id")).alias("GAME_ID"),
+        F.col("user_id").alias("u"),
+        F.col("event_id").alias("e"),
+        "ts",
+        F.expr("double(get(array(4, 4, 4, 5, 5, 2, 0), int(event_id % 7)))").alias("PERSON1TYPE"),
+        F.expr(
+            """event_type || CASE event_id % 5 WHEN 0 THEN ' 3PT Jump Shot' WHEN 1 THEN ' 3pt Jump Shot'
+               ELSE ' Layup' END"""
+        ).alias("text"),
     )
-    person = F.col("PERSON1TYPE")
     with_first = base.withColumn(
         "PLAYER1_ID",
-        F.when(person.isin(4, 5), PLAYER_BASE + u * 10 + e % 10)
-        .when(person == 2, TEAM_BASE + u % 30)
-        .otherwise(F.lit(0).cast("bigint")),
+        F.expr(
+            f"""CASE WHEN PERSON1TYPE IN (4, 5) THEN {PLAYER_BASE} + u * 10 + e % 10
+                WHEN PERSON1TYPE = 2 THEN {TEAM_BASE} + u % 30 ELSE 0L END"""
+        ),
     )
-    first = F.col("PLAYER1_ID")
-    return with_first.select(
+    return with_first.selectExpr(
         "GAME_ID",
-        "EVENTNUM",
-        "EVENTMSGTYPE",
-        "EVENTMSGACTIONTYPE",
-        "PERIOD",
-        "PCTIMESTRING",
-        "HOMEDESCRIPTION",
-        "NEUTRALDESCRIPTION",
-        "VISITORDESCRIPTION",
+        "e AS EVENTNUM",
+        "int(1 + e % 18) AS EVENTMSGTYPE",
+        "int(e % 100) AS EVENTMSGACTIONTYPE",
+        "int(1 + e % 4) AS PERIOD",
+        """CASE WHEN e % 97 = 0 THEN NULL WHEN e % 89 = 0 THEN 'n/a' WHEN e % 83 = 0 THEN '720'
+           WHEN e % 79 = 0 THEN 'x:30'
+           ELSE string(11 - minute(ts) % 12) || ':' || lpad(string(second(ts)), 2, '0') END AS PCTIMESTRING""",
+        "IF(e % 3 = 0, text, NULL) AS HOMEDESCRIPTION",
+        "IF(e % 3 = 2, 'neutral ' || text, NULL) AS NEUTRALDESCRIPTION",
+        "IF(e % 3 = 1 OR e % 6 = 0, 'visitor ' || text, NULL) AS VISITORDESCRIPTION",
         "PERSON1TYPE",
         "PLAYER1_ID",
-        F.concat(F.lit("Player "), (e % 10).cast("string")).alias("PLAYER1_NAME"),
-        F.when(person == 4, (TEAM_BASE + u % 30).cast("double"))
-        .when(person == 5, F.when(e % 10 == 7, float("nan")).otherwise((TEAM_BASE + (u + 1) % 30).cast("double")))
-        .alias("PLAYER1_TEAM_ID"),
-        F.when(e % 4 == 0, 5.0).otherwise(0.0).alias("PERSON2TYPE"),
-        F.when(e % 4 == 0, first + 1).otherwise(F.lit(0).cast("bigint")).alias("PLAYER2_ID"),
-        F.when(e % 4 == 0, "Second").alias("PLAYER2_NAME"),
-        F.when(e % 4 == 0, (TEAM_BASE + (u + 2) % 30).cast("double")).alias("PLAYER2_TEAM_ID"),
-        F.when(e % 9 == 0, 3.0).otherwise(0.0).alias("PERSON3TYPE"),
-        F.when(e % 9 == 0, F.lit(TEAM_BASE).cast("bigint")).otherwise(F.lit(0).cast("bigint")).alias("PLAYER3_ID"),
-        F.lit(None).cast("string").alias("PLAYER3_NAME"),
-        F.lit(None).cast("double").alias("PLAYER3_TEAM_ID"),
+        "'Player ' || string(e % 10) AS PLAYER1_NAME",
+        f"""CASE WHEN PERSON1TYPE = 4 THEN double({TEAM_BASE} + u % 30)
+            WHEN PERSON1TYPE = 5 AND e % 10 = 7 THEN double('NaN')
+            WHEN PERSON1TYPE = 5 THEN double({TEAM_BASE} + (u + 1) % 30) END AS PLAYER1_TEAM_ID""",
+        "IF(e % 4 = 0, 5D, 0D) AS PERSON2TYPE",
+        "IF(e % 4 = 0, PLAYER1_ID + 1, 0L) AS PLAYER2_ID",
+        "IF(e % 4 = 0, 'Second', NULL) AS PLAYER2_NAME",
+        f"IF(e % 4 = 0, double({TEAM_BASE} + (u + 2) % 30), NULL) AS PLAYER2_TEAM_ID",
+        "IF(e % 9 = 0, 3D, 0D) AS PERSON3TYPE",
+        f"IF(e % 9 = 0, {TEAM_BASE}L, 0L) AS PLAYER3_ID",
+        "CAST(NULL AS STRING) AS PLAYER3_NAME",
+        "CAST(NULL AS DOUBLE) AS PLAYER3_TEAM_ID",
     )
 
 
@@ -100,128 +94,127 @@ def shots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shot_attempts(pbp_raw(spark, sf_dir), canonical_game_id(F.col("GAME_ID")))
 
 
-def _position(team: Column, player: Column, x: Column, y: Column, z: Column) -> Column:
-    return F.struct(
-        team.cast("bigint").alias("team_id"),
-        player.cast("bigint").alias("player_id"),
-        x.cast("double").alias("x"),
-        y.cast("double").alias("y"),
-        z.cast("double").alias("z"),
-    )
-
+def _spread(df: DataFrame) -> DataFrame:
+    """Use all cores where a small file would be one task; larger inputs stay as they are.
 
-def _frame(e: Column, shooter: Column, team: Column, listing: Column, i: Column) -> Column:
-    """Frame ``i`` of a shot: the ball rests, flies to the hoop from 12 to 28, then drops."""
-    shift = F.when(listing == 0, 50.0).otherwise(0.0)
-    x0, y0 = (5 + (37 * e) % 84).cast("double"), (2 + (13 * e) % 46).cast("double")
-    hx = F.when(x0 <= 47, 5.25).otherwise(88.75)
-    t = F.when(i < 12, 0.0).when(i > 28, 1.0).otherwise((i - 12) / F.lit(16.0))
-    z = (
-        F.when(e % 11 == 0, 5.0)
-        .when(i > 28, 10 - (i - 28) / F.lit(2.0))
-        .otherwise(6 + 4 * t + 12 * t * (1 - t))
-    )
-    sx = x0 + (i - 12) * (1 - e % 3) / F.lit(4.0) + shift
-    sy = y0 + (i - 12) * (e % 3 - 1) / F.lit(8.0)
-    # On some events the clock stops when the ball is through the hoop.
-    ticks = F.when((e % 7 == 3) & (i > 28), 28).otherwise(i)
-    shown = (7 * e + i) % 23 != 0
-    ball = F.when((3 * e + i) % 41 != 0, _position(F.lit(-1), F.lit(-1), x0 + t * (hx - x0) + shift, y0 + t * (25 - y0), z))
-    player = F.when(shown, _position(team, shooter, sx, sy, F.lit(0.0)))
-    again = F.when(shown & ((5 * e + i) % 29 == 0), _position(team, shooter, sx + 1, sy + 1, F.lit(0.0)))
-    defender = _position(team + 1, shooter + 1, sx + 2, sy + 1, F.lit(0.0))
-    listed = F.when(e % 2 == 0, F.array(ball, player, again, defender)).otherwise(F.array(defender, player, again, ball))
-    return F.struct(
-        (1 + e % 4).cast("int").alias("period"),
-        F.when((e + i) % 31 != 0, 1450000000000 + 10000 * e + 40 * i).alias("moment_id"),
-        (600 - e % 500 - ticks / F.lit(8.0)).cast("double").alias("game_clock"),
-        F.when(e % 6 != 0, 24 - i / F.lit(8.0)).alias("shot_clock"),
-        F.filter(listed, lambda p: p.isNotNull()).alias("positions"),
-    )
-
-
-def is_malformed(e: Column, i: Column) -> Column:
-    """Frames whose text form is one element short."""
-    return (11 * e + i) % 53 == 0
+    One row per shot becomes a window of some 20 KB below, so the rows are worth moving first.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, "event_id")
 
 
 def _listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two listings of each shot's window, the first one 50 ft off; every 13th shot has none."""
-    rows = pbp_raw(spark, sf_dir).where(
-        F.col("EVENTMSGTYPE").isin(1, 2) & F.col("PERSON1TYPE").isin(4, 5) & (F.col("EVENTNUM") % 13 != 0)
+    raw = table(spark, sf_dir, "events").select("event_id", "user_id")
+    shots_only = raw.where(
+        "event_id % 18 IN (0, 1) AND event_id % 7 < 5 AND event_id % 13 <> 0"
     )
-    game = canonical_game_id(F.col("GAME_ID"))
-    e = F.col("EVENTNUM")
-    return rows.select(
+    game = game_key(F.col("user_id"))
+    return _spread(shots_only).select(
         season_label(season_start_year(game)).alias("season"),
         game.alias("game_id"),
-        e.alias("event_id"),
-        F.col("PLAYER1_ID").alias("shooter"),
-        (TEAM_BASE + F.floor((F.col("PLAYER1_ID") - PLAYER_BASE) / 10) % 30).cast("bigint").alias("team"),
+        "event_id",
+        (PLAYER_BASE + F.col("user_id") * 10 + F.col("event_id") % 10).alias("shooter"),
+        (TEAM_BASE + F.col("user_id") % 30).alias("team"),
+        F.expr("5 + (37 * event_id) % 84").cast("double").alias("x0"),
+        F.expr("2 + (13 * event_id) % 46").cast("double").alias("y0"),
         F.explode(F.array(F.lit(0), F.lit(1))).alias("listing"),
-    ).withColumn("event_pos", 2 * F.col("event_id") + F.col("listing"))
+    ).withColumns(
+        {
+            "event_pos": F.expr("2 * event_id + listing"),
+            "hx": F.expr("CASE WHEN x0 <= 47 THEN 5.25D ELSE 88.75D END"),
+            "shift": F.expr("CASE WHEN listing = 0 THEN 50D ELSE 0D END"),
+        }
+    )
 
 
-def _moments(keep_malformed: bool) -> Column:
-    e, listing = F.col("event_id"), F.col("listing")
-    indexes = F.sequence(F.lit(0), F.lit(FRAMES - 1))
-    if not keep_malformed:
-        indexes = F.filter(indexes, lambda i: ~is_malformed(e, i))
-    frames = F.transform(indexes, lambda i: _frame(e, F.col("shooter"), F.col("team"), listing, i))
+# Frame i of a shot: the ball rests, flies to the hoop from 12 to 28, then drops. The steps are
+# nested so that each value is worked out once per frame.
+_FLIGHT = """
+    transform({indexes}, i -> named_struct(
+      'i', i,
+      't', CASE WHEN i < 12 THEN 0D WHEN i > 28 THEN 1D ELSE (i - 12) / 16D END,
+      'has_ball', (3 * event_id + i) % 41 <> 0,
+      'shown', (7 * event_id + i) % 23 <> 0,
+      'again', (5 * event_id + i) % 29 = 0,
+      'sx', x0 + (i - 12) * (1 - event_id % 3) / 4D + shift,
+      'sy', y0 + (i - 12) * (event_id % 3 - 1) / 8D))"""
+_PARTS = """
+    transform({flight}, f -> named_struct(
+      'i', f.i,
+      'ball', IF(f.has_ball, array(named_struct(
+          'team_id', -1L, 'player_id', -1L, 'x', x0 + f.t * (hx - x0) + shift, 'y', y0 + f.t * (25 - y0),
+          'z', CASE WHEN event_id % 11 = 0 THEN 5D WHEN f.i > 28 THEN 10 - (f.i - 28) / 2D
+                    ELSE 6 + 4 * f.t + 12 * f.t * (1 - f.t) END)), array()),
+      'shooter', CASE WHEN NOT f.shown THEN array()
+          WHEN f.again THEN array(
+            named_struct('team_id', team, 'player_id', shooter, 'x', f.sx, 'y', f.sy, 'z', 0D),
+            named_struct('team_id', team, 'player_id', shooter, 'x', f.sx + 1, 'y', f.sy + 1, 'z', 0D))
+          ELSE array(named_struct('team_id', team, 'player_id', shooter, 'x', f.sx, 'y', f.sy, 'z', 0D)) END,
+      'defender', array(named_struct(
+          'team_id', team + 1, 'player_id', shooter + 1, 'x', f.sx + 2, 'y', f.sy + 1, 'z', 0D))))"""
+# On some events the clock stops when the ball is through the hoop.
+_FRAMES = """
+    transform({parts}, p -> named_struct(
+      'period', CAST(1 + event_id % 4 AS INT),
+      'moment_id', IF((event_id + p.i) % 31 <> 0, 1450000000000 + 10000 * event_id + 40 * p.i, NULL),
+      'game_clock', CAST(600 - event_id % 500 - IF(event_id % 7 = 3, least(p.i, 28), p.i) / 8D AS DOUBLE),
+      'shot_clock', IF(event_id % 6 <> 0, 24 - p.i / 8D, NULL),
+      'positions', IF(event_id % 2 = 0, concat(p.ball, p.shooter, p.defender),
+                      concat(p.defender, p.shooter, p.ball))))"""
+_ALL_FRAMES = f"sequence(0, {FRAMES - 1})"
+# Frames whose text form is one element short.
+_MALFORMED = "(11 * event_id + {i}) % 53 = 0"
+
+
+def _moments(indexes: str) -> Column:
+    frames = _FRAMES.format(parts=_PARTS.format(flight=_FLIGHT.format(indexes=indexes)))
     # The second listing of some events has no moments at all.
-    return F.when((listing == 0) | (e % 17 != 0), frames)
+    return F.expr(f"IF(listing = 0 OR event_id % 17 <> 0, {frames}, NULL)")
 
 
 def tracking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed event windows, as the landing job writes them."""
-    return _listings(spark, sf_dir).select("season", "game_id", "event_pos", "event_id", _moments(False).alias("moments"))
+    well_formed = f"filter({_ALL_FRAMES}, i -> NOT ({_MALFORMED.format(i='i')}))"
+    return _listings(spark, sf_dir).select(
+        "season", "game_id", "event_pos", "event_id", _moments(well_formed).alias("moments")
+    )
 
 
 def raw_tracking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same windows as text moments, as they stand in a tracking document."""
-    listed = _listings(spark, sf_dir)
-    e = F.col("event_id")
-
-    def text(m: Column, i: Column) -> Column:
-        positions = F.transform(
-            m["positions"],
-            lambda p: F.array(p["team_id"].cast("double"), p["player_id"].cast("double"), p["x"], p["y"], p["z"]),
-        )
-        head = [m[name].cast("string") for name in ("period", "moment_id", "game_clock", "shot_clock")]
-        whole = F.array(*head, F.lit(None).cast("string"), F.to_json(positions))
-        return F.when(is_malformed(e, i), F.slice(whole, 1, 5)).otherwise(whole)
-
-    framed = listed.withColumn("frames", _moments(True))
-    return framed.select("season", "game_id", "event_pos", "event_id", F.transform("frames", text).alias("moments"))
+    framed = _listings(spark, sf_dir).withColumn("frames", _moments(_ALL_FRAMES))
+    positions = """
+      to_json(transform(m.positions, p -> array(CAST(p.team_id AS DOUBLE), CAST(p.player_id AS DOUBLE), p.x, p.y, p.z)))"""
+    head = "CAST(m.period AS STRING), CAST(m.moment_id AS STRING), CAST(m.game_clock AS STRING), CAST(m.shot_clock AS STRING)"
+    text = f"""
+      transform(frames, (m, i) -> IF({_MALFORMED.format(i='i')},
+        array({head}, CAST(NULL AS STRING)), array({head}, CAST(NULL AS STRING), {positions})))"""
+    return framed.select("season", "game_id", "event_pos", "event_id", F.expr(text).alias("moments"))
+
+
+def _header_side(offset: int) -> str:
+    players = ", ".join(
+        f"""named_struct('playerid', {PLAYER_BASE} + user_id * 10 + {5 * offset + k}, 'firstname', event_type,
+              'lastname', 'L' || string(event_id % 3),
+              'position', IF(event_id % 5 <> 0, 'POS' || string((event_id + {k}) % 5), NULL))"""
+        for k in range(5)
+    )
+    number = f"(user_id + {offset}) % 30"
+    return f"""named_struct('teamid', {TEAM_BASE} + {number}, 'abbreviation', 'T' || string({number}),
+        'name', 'Team ' || string(event_id % 4), 'players', array({players}))"""
 
 
 def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One event header per event: five players a side, with names that change from event to event."""
-    e, u = F.col("event_id"), F.col("user_id")
-
-    def side(offset: int) -> Column:
-        number = (u + offset) % 30
-        player = lambda k: F.struct(
-            (PLAYER_BASE + u * 10 + 5 * offset + k).alias("playerid"),
-            F.col("event_type").alias("firstname"),
-            F.concat(F.lit("L"), (e % 3).cast("string")).alias("lastname"),
-            F.when(e % 5 != 0, F.concat(F.lit("POS"), ((e + k) % 5).cast("string"))).alias("position"),
-        )
-        return F.struct(
-            (TEAM_BASE + number).alias("teamid"),
-            F.concat(F.lit("T"), number.cast("string")).alias("abbreviation"),
-            F.concat(F.lit("Team "), (e % 4).cast("string")).alias("name"),
-            F.array(*[player(F.lit(k).cast("bigint")) for k in range(5)]).alias("players"),
-        )
-
-    game = game_key(u)
+    game = game_key(F.col("user_id"))
     return table(spark, sf_dir, "events").select(
         season_label(season_start_year(game)).alias("season"),
         game.alias("game_id"),
-        F.when(e % 101 == 0, "unknown").otherwise(F.to_date("ts").cast("string")).alias("gamedate"),
-        e.alias("event_pos"),
-        side(0).alias("home"),
-        side(1).alias("visitor"),
+        F.expr("IF(event_id % 101 = 0, 'unknown', string(date(ts)))").alias("gamedate"),
+        F.col("event_id").alias("event_pos"),
+        F.expr(_header_side(0)).alias("home"),
+        F.expr(_header_side(1)).alias("visitor"),
     )
 
 
