@@ -1,0 +1,156 @@
+"""Headers, conformed dimensions and roster history."""
+
+import datetime
+import random
+
+import pytest
+from conftest import rows
+
+from rimline.operators import headers, scd2
+from rimline.operators.moments import raw_event_rows
+from rimline.plans import conformed
+from rimline.sources import files
+from test_moments import write_document
+
+DATE = datetime.date
+
+
+def side(team, name, *players):
+    return {
+        "teamid": team,
+        "abbreviation": name,
+        "name": f"Team {name}",
+        "players": [
+            {"playerid": p, "firstname": f"F{p}", "lastname": f"L{p}", "position": "G", "jersey": "1"} for p in players
+        ],
+    }
+
+
+@pytest.fixture
+def events(spark, tmp_path):
+    first = {"eventId": "1", "home": side(10, "H", 1, 2), "visitor": side(20, "V", 3)}
+    later = {"eventId": "2", "home": side(99, "X", 9), "visitor": side(98, "Y")}
+    write_document(tmp_path, "0021500001", [first, later])
+    write_document(tmp_path, "0029900001", [first], season="1999-00", gamedate="no date")
+    write_document(tmp_path, "0021500003", [])
+    return raw_event_rows(files.read_tracking_documents(spark, str(tmp_path)))
+
+
+def test_first_header_gives_all_rows(events):
+    first = headers.first_headers(events).where("game_id = '0021500001'")
+    assert rows(headers.team_rows(first), "team_id", "abbreviation", "full_name") == [(10, "H", "Team H"), (20, "V", "Team V")]
+    assert rows(headers.player_rows(first), "player_id", "first_name", "last_name", "position") == [
+        (1, "F1", "L1", "G"),
+        (2, "F2", "L2", "G"),
+        (3, "F3", "L3", "G"),
+    ]
+    assert rows(headers.roster_rows(first), "season_id", "team_id", "player_id") == [(2015, 10, 1), (2015, 10, 2), (2015, 20, 3)]
+
+
+def test_game_rows(events):
+    games = headers.game_rows(headers.first_headers(events))
+    assert rows(games, "game_id", "season_id", "home_team_id", "away_team_id", "game_date") == [
+        ("0021500001", 2015, 10, 20, DATE(2015, 12, 25)),
+        ("0029900001", 1999, 10, 20, None),
+    ]
+
+
+def test_games_without_events(spark, events):
+    manifest = spark.createDataFrame([("0021500001",), ("0021500003",), ("0021500004",)], "game_id string")
+    assert rows(headers.games_without_events(manifest, events)) == [("0021500003",), ("0021500004",)]
+
+
+def test_dim_player_keeps_one_row_per_key(spark):
+    slices = spark.createDataFrame(
+        [(1, "B", "Z", "G"), (1, "A", "Z", "F"), (1, "A", "Z", "C"), (2, "A", "A", None), (2, "A", "A", "C"), (3, "Q", None, "C"), (3, "Q", "A", "C")],
+        "player_id long, first_name string, last_name string, position string",
+    )
+    assert rows(conformed.dim_player(slices)) == [(1, "A", "Z", "C"), (2, "A", "A", None), (3, "Q", None, "C")]
+
+
+def test_dim_team_and_game(spark):
+    teams = spark.createDataFrame([(1, "B", "x"), (1, "A", "y"), (1, "A", "x")], "team_id long, abbreviation string, full_name string")
+    assert rows(conformed.dim_team(teams)) == [(1, "A", "x", None)]
+    games = spark.createDataFrame(
+        [("g", 2015, 1, 2, DATE(2015, 2, 1)), ("g", 2015, 3, 4, DATE(2015, 1, 1))],
+        "game_id string, season_id int, home_team_id long, away_team_id long, game_date date",
+    )
+    assert rows(conformed.dim_game(games)) == [("g", 2015, 3, 4, DATE(2015, 1, 1), None)]
+
+
+def test_dim_season(spark):
+    assert rows(conformed.dim_season(spark)) == [(2015, "2015-16", DATE(2015, 10, 27), DATE(2016, 6, 19))]
+
+
+SEASONS = tuple((y, f"{y}", f"{y}-10-27", f"{y + 1}-06-19") for y in range(2000, 2010))
+
+
+def stints(spark, *triples):
+    roster = spark.createDataFrame(list(triples), "season_id int, team_id long, player_id long")
+    return scd2.open_stints(roster, conformed.dim_season(spark, SEASONS))
+
+
+def history(snapshot):
+    return rows(snapshot, "player_id", "season_id", "team_id", "valid_to", "is_current")
+
+
+def test_open_load_is_distinct_and_skips_unknown_seasons(spark):
+    loaded = stints(spark, (2000, 1, 7), (2000, 1, 7), (1990, 1, 7))
+    assert rows(loaded, "player_id", "team_id", "season_id", "valid_from", "valid_to", "is_current") == [
+        (7, 1, 2000, DATE(2000, 10, 27), None, True)
+    ]
+
+
+def test_team_change_closes_the_old_stint(spark):
+    after = scd2.apply_batch(stints(spark, (2000, 1, 7), (2000, 1, 8)), stints(spark, (2001, 2, 7)))
+    assert history(after) == [
+        (7, 2000, 1, DATE(2001, 10, 26), False),
+        (7, 2001, 2, None, True),
+        (8, 2000, 1, None, True),
+    ]
+
+
+def test_same_team_next_season_leaves_two_current_rows(spark):
+    after = scd2.apply_batch(stints(spark, (2000, 1, 7)), stints(spark, (2001, 1, 7)))
+    assert history(after) == [(7, 2000, 1, None, True), (7, 2001, 1, None, True)]
+
+
+def test_batch_twice_changes_nothing(spark):
+    batch = stints(spark, (2001, 2, 7), (2001, 1, 8))
+    once = scd2.apply_batch(stints(spark, (2000, 1, 7), (2000, 1, 8)), batch)
+    assert history(scd2.apply_batch(once, batch)) == history(once)
+
+
+def test_move_inside_one_season_ends_before_it_starts(spark):
+    after = scd2.apply_batch(stints(spark, (2000, 1, 7)), stints(spark, (2000, 2, 7)))
+    assert history(scd2.inverted_stints(after)) == [(7, 2000, 1, DATE(2000, 10, 26), False)]
+
+
+def test_two_teams_in_one_batch(spark):
+    after = scd2.apply_batch(
+        stints(spark, (2000, 1, 7), (2000, 3, 8)), stints(spark, (2002, 1, 7), (2003, 2, 7), (2001, 1, 8), (2003, 2, 8))
+    )
+    closed = {(r.player_id, r.season_id): r.valid_to for r in after.where("NOT is_current").collect()}
+    # Player 7 first shows another team in 2003; player 8 in 2001.
+    assert closed == {(7, 2000): DATE(2003, 10, 26), (8, 2000): DATE(2001, 10, 26)}
+
+
+def test_seasons_in_turn_match_plain_replay(spark):
+    rng = random.Random(3)
+    triples = sorted({(rng.randrange(2000, 2005), rng.randrange(1, 4), rng.randrange(1, 30)) for _ in range(160)})
+    start = {y: DATE(y, 10, 27) for y in range(2000, 2010)}
+    expected = []
+    snapshot = None
+    for year in range(2000, 2005):
+        batch = [t for t in triples if t[0] == year]
+        for row in expected:
+            others = [start[s] for s, team, p in batch if p == row["p"] and team != row["team"]]
+            if row["current"] and others:
+                row.update(to=min(others) - datetime.timedelta(days=1), current=False)
+        expected += [{"p": p, "s": s, "team": t, "to": None, "current": True} for s, t, p in batch]
+        loaded = stints(spark, *batch)
+        snapshot = loaded if snapshot is None else scd2.apply_batch(snapshot, loaded)
+        snapshot = spark.createDataFrame(snapshot.collect(), snapshot.schema)
+    want = sorted((r["p"], r["s"], r["team"], r["to"], r["current"]) for r in expected if r["to"])
+    assert history(snapshot.where("NOT is_current")) == want
+    assert snapshot.count() == len(expected)
