@@ -96,12 +96,17 @@ def moment_rows(events: DataFrame) -> DataFrame:
     )
 
 
-def null_timestamp_counts(moments: DataFrame) -> DataFrame:
-    """Moments without a timestamp, per game; these are dropped by ``dedup_moments``."""
+def null_timestamp_counts(events: DataFrame) -> DataFrame:
+    """Moments without a timestamp, per game; ``dedup_moments`` drops them.
+
+    Reads only the timestamps of the windows.
+    """
+    nulls = F.size(F.filter("moments.moment_id", lambda t: t.isNull()))
     return (
-        moments.where("moment_id IS NULL")
+        events.where("moments IS NOT NULL")
         .groupBy("game_id")
-        .agg(F.count("*").alias("dropped"))
+        .agg(F.sum(nulls).alias("dropped"))
+        .where("dropped > 0")
     )
 
 

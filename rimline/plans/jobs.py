@@ -4,7 +4,7 @@ Per-game jobs handle all pending games in one Spark job. A game is pending while
 outputs is missing; ``force`` redoes the given games and leaves all others alone.
 """
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rimline import schemas
 from rimline.constants import SEASONS
@@ -40,6 +40,8 @@ def _of_games(df: DataFrame, games: DataFrame) -> DataFrame:
 def land_pbp(spark: SparkSession, manifest: DataFrame, season_files, root: str, force: bool = False) -> None:
     """Season play-by-play files -> one partition per manifest game, rows and columns unchanged."""
     games = sinks.pending_games(spark, manifest, root, "bronze", ["pbp"], force)
+    if games.isEmpty():
+        return
     season = files.read_season_pbp(spark, season_files)
     _fail_if_any(scope.games_without_rows(games, season), "no play-by-play rows for")
     rows = scope.pbp_of_games(season, games)
@@ -53,6 +55,8 @@ def land_tracking(spark: SparkSession, manifest: DataFrame, root: str, force: bo
     in parallel.
     """
     games = sinks.pending_games(spark, manifest, root, "bronze", ["tracking_event"], force)
+    if games.isEmpty():
+        return
     documents = files.read_tracking_documents(spark, sinks.dataset_path(root, "bronze", "tracking"))
     rows = moments.decode_events(moments.raw_event_rows(_of_games(documents, games)))
     sinks.write_games(rows, sinks.dataset_path(root, "bronze", "tracking_event"), gather=False)
@@ -63,30 +67,30 @@ def _tracking_events(spark: SparkSession, root: str) -> DataFrame:
     return files.read_table(spark, sinks.dataset_path(root, "bronze", "tracking_event"), schemas.TRACKING_EVENT)
 
 
-def build_tracking(spark: SparkSession, manifest: DataFrame, root: str, force: bool = False) -> dict:
-    """Event windows -> ``tracking_moment`` and ``player_location``. Returns the dropped moments.
+def build_tracking(spark: SparkSession, manifest: DataFrame, root: str, force: bool = False) -> int:
+    """Event windows -> ``tracking_moment`` and ``player_location``.
 
     The two tables are two passes on purpose: the moment pass moves no player positions.
+    Returns the number of moments dropped for want of a timestamp.
     """
     outputs = ["tracking_moment", "player_location"]
     games = sinks.pending_games(spark, manifest, root, "silver", outputs, force)
-    listed = moments.moment_rows(_of_games(_tracking_events(spark, root), games))
-
-    dropped = Observation("dropped")
-    counted = listed.observe(dropped, F.count_if(F.col("moment_id").isNull()).alias("null_timestamps"))
-    moment = moments.moment_table(moments.dedup_moments(counted))
-    sinks.write_games(moment, sinks.dataset_path(root, "silver", outputs[0]), ["moment_id"])
-
-    players = moments.player_location_table(moments.dedup_moments(listed))
-    sinks.write_games(players, sinks.dataset_path(root, "silver", outputs[1]), ["moment_id"])
-    for dataset in outputs:
+    if games.isEmpty():
+        return 0
+    windows = _of_games(_tracking_events(spark, root), games)
+    kept = moments.dedup_moments(moments.moment_rows(windows))
+    tables = {outputs[0]: moments.moment_table(kept), outputs[1]: moments.player_location_table(kept)}
+    for dataset, table in tables.items():
+        sinks.write_games(table, sinks.dataset_path(root, "silver", dataset), ["moment_id"])
         sinks.record_empty_games(spark, games, root, "silver", dataset)
-    return dropped.get
+    return moments.null_timestamp_counts(windows).agg(F.sum("dropped")).first()[0] or 0
 
 
 def build_headers(spark: SparkSession, manifest: DataFrame, root: str, force: bool = False) -> None:
     """Event headers -> per-game slices of players, teams, games and rosters."""
     games = sinks.pending_games(spark, manifest, root, "silver", list(SILVER_DIMS), force)
+    if games.isEmpty():
+        return
     landed = _of_games(_tracking_events(spark, root), games)
     _fail_if_any(headers.games_without_events(games, landed), "tracking document has no events for")
     # Positions are numbered from 0 at landing, so this filter reaches the file scan.
@@ -107,6 +111,8 @@ def build_shot_locations(
 ) -> None:
     """Play-by-play shots and event windows -> ``shot_location``; excluded games get no rows."""
     games = sinks.pending_games(spark, manifest, root, "silver", ["shot_location"], force)
+    if games.isEmpty():
+        return
     if exclude_games:
         games = games.where(~F.col("game_id").isin(*exclude_games))
     pbp = _of_games(files.read_pbp(spark, sinks.dataset_path(root, "bronze", "pbp")), games)

@@ -212,7 +212,7 @@ def malformed_moments(spark, sf_dir):
 
 @query
 def dropped_null_ts(spark, sf_dir):
-    return moments.null_timestamp_counts(_moment_rows(spark, sf_dir))
+    return moments.null_timestamp_counts(derive.tracking_events(spark, sf_dir))
 
 
 @query
