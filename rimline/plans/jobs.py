@@ -13,6 +13,9 @@ from rimline.plans import conformed, event as events, gold
 from rimline.sinks import tables as sinks
 from rimline.sources import files
 
+# At most this many games are broadcast: two short strings each, some 100 MB in memory.
+BROADCAST_GAMES = 1_000_000
+
 SILVER_DIMS = ("dim_player", "dim_team", "dim_game", "roster")
 
 
@@ -30,11 +33,15 @@ def _of_games(df: DataFrame, games: DataFrame) -> DataFrame:
     """Rows of the given games from a table laid out by season and game.
 
     The few distinct seasons become a plain filter, which skips season directories and lets
-    Spark skip the other games' directories at run time.
+    Spark skip the other games' directories at run time. The game list is counted: a short one
+    is broadcast, so wide rows are not shuffled just to be filtered; a longer one is joined.
     """
     seasons = [row.season for row in games.select("season").distinct().collect()]
     in_season = F.col("season").isin(seasons)
-    return df.where(in_season).join(games.where(in_season).select("season", "game_id"), ["season", "game_id"], "left_semi")
+    wanted = games.where(in_season).select("season", "game_id")
+    if games.count() <= BROADCAST_GAMES:
+        wanted = F.broadcast(wanted)
+    return df.where(in_season).join(wanted, ["season", "game_id"], "left_semi")
 
 
 def land_pbp(spark: SparkSession, manifest: DataFrame, season_files, root: str, force: bool = False) -> None:
