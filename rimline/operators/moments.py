@@ -20,17 +20,16 @@ def _position(p: Column) -> Column:
 
 
 def decode_moments(moments: Column) -> Column:
-    """Text moments as typed structs, in document order.
+    """Variant moments as typed structs, in document order.
 
-    Element order: period, timestamp, game clock, shot clock, unused, positions (JSON text).
-    Moments or positions of the wrong length are left out; callers count them.
+    Element order: period, timestamp, game clock, shot clock, unused, positions. Moments or positions of the wrong length are left out; callers count them.
     """
     split = F.transform(
         moments,
         lambda m: F.struct(
             F.size(m).alias("n"),
             m.alias("m"),
-            F.from_json(F.get(m, 5), "array<array<double>>").alias("positions"),
+            F.get(m, 5).try_cast("array<array<double>>").alias("positions"),
         ),
     )
     well_formed = F.filter(
@@ -50,7 +49,7 @@ def decode_moments(moments: Column) -> Column:
 
 
 def decode_events(raw_events: DataFrame) -> DataFrame:
-    """Event rows with text ``moments`` -> event rows with typed ones and a count of malformed ones."""
+    """Event rows with variant ``moments`` -> event rows with typed ones and a count of malformed ones."""
     typed = raw_events.withColumnRenamed("moments", "raw_moments").withColumn(
         "moments", decode_moments(F.col("raw_moments"))
     )

@@ -188,7 +188,7 @@ def event_participant(spark, sf_dir):
 
 @query
 def moment_decode(spark, sf_dir):
-    """Text moments decoded by position, one row per listed moment."""
+    """Variant moments decoded by position, one row per listed moment."""
     decoded = moments.moment_rows(moments.decode_events(derive.raw_tracking_events(spark, sf_dir)))
     return decoded.select(
         "game_id",

@@ -103,28 +103,33 @@ def _spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, "event_id")
 
 
-def _listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two listings of each shot's window, the first one 50 ft off; every 13th shot has none."""
+def _windows(spark: SparkSession, sf_dir: str, moments: str) -> DataFrame:
+    """Two listings of each shot's window, the first one 50 ft off; every 13th shot has none.
+
+    ``moments`` is worked out inside the generator, hence once per listing whatever is asked of it.
+    """
     raw = table(spark, sf_dir, "events").select("event_id", "user_id")
-    shots_only = raw.where(
-        "event_id % 18 IN (0, 1) AND event_id % 7 < 5 AND event_id % 13 <> 0"
-    )
+    shots_only = raw.where("event_id % 18 IN (0, 1) AND event_id % 7 < 5 AND event_id % 13 <> 0")
     game = game_key(F.col("user_id"))
-    return _spread(shots_only).select(
+    placed = _spread(shots_only).select(
         season_label(season_start_year(game)).alias("season"),
         game.alias("game_id"),
         "event_id",
         (PLAYER_BASE + F.col("user_id") * 10 + F.col("event_id") % 10).alias("shooter"),
         (TEAM_BASE + F.col("user_id") % 30).alias("team"),
-        F.expr("5 + (37 * event_id) % 84").cast("double").alias("x0"),
-        F.expr("2 + (13 * event_id) % 46").cast("double").alias("y0"),
-        F.explode(F.array(F.lit(0), F.lit(1))).alias("listing"),
-    ).withColumns(
-        {
-            "event_pos": F.expr("2 * event_id + listing"),
-            "hx": F.expr("CASE WHEN x0 <= 47 THEN 5.25D ELSE 88.75D END"),
-            "shift": F.expr("CASE WHEN listing = 0 THEN 50D ELSE 0D END"),
-        }
+        F.expr("double(5 + (37 * event_id) % 84)").alias("x0"),
+        F.expr("double(2 + (13 * event_id) % 46)").alias("y0"),
+        F.expr("IF(5 + (37 * event_id) % 84 <= 47, 5.25D, 88.75D)").alias("hx"),
+    )
+    # The second listing of some events has no moments at all.
+    listings = F.expr(
+        f"""inline(array(
+          named_struct('event_pos', 2 * event_id, 'moments', {moments.replace('shift', '50D')}),
+          named_struct('event_pos', 2 * event_id + 1,
+                       'moments', IF(event_id % 17 <> 0, {moments.replace('shift', '0D')}, NULL))))"""
+    )
+    return placed.select("season", "game_id", "event_id", listings).select(
+        "season", "game_id", "event_pos", "event_id", "moments"
     )
 
 
@@ -163,34 +168,32 @@ _FRAMES = """
       'positions', IF(event_id % 2 = 0, concat(p.ball, p.shooter, p.defender),
                       concat(p.defender, p.shooter, p.ball))))"""
 _ALL_FRAMES = f"sequence(0, {FRAMES - 1})"
-# Frames whose text form is one element short.
+# Frames whose raw form is one element short.
 _MALFORMED = "(11 * event_id + {i}) % 53 = 0"
 
 
-def _moments(indexes: str) -> Column:
-    frames = _FRAMES.format(parts=_PARTS.format(flight=_FLIGHT.format(indexes=indexes)))
-    # The second listing of some events has no moments at all.
-    return F.expr(f"IF(listing = 0 OR event_id % 17 <> 0, {frames}, NULL)")
+def _frames(indexes: str) -> str:
+    return _FRAMES.format(parts=_PARTS.format(flight=_FLIGHT.format(indexes=indexes)))
 
 
 def tracking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed event windows, as the landing job writes them."""
     well_formed = f"filter({_ALL_FRAMES}, i -> NOT ({_MALFORMED.format(i='i')}))"
-    return _listings(spark, sf_dir).select(
-        "season", "game_id", "event_pos", "event_id", _moments(well_formed).alias("moments")
-    )
+    return _windows(spark, sf_dir, _frames(well_formed))
 
 
 def raw_tracking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same windows as text moments, as they stand in a tracking document."""
-    framed = _listings(spark, sf_dir).withColumn("frames", _moments(_ALL_FRAMES))
+    """The same windows as variant moments, as they are read from a tracking document."""
+    absent = "parse_json('null')"
+    scalars = ", ".join(
+        f"coalesce(CAST(m.{name} AS VARIANT), {absent})" for name in ("period", "moment_id", "game_clock", "shot_clock")
+    )
     positions = """
-      to_json(transform(m.positions, p -> array(CAST(p.team_id AS DOUBLE), CAST(p.player_id AS DOUBLE), p.x, p.y, p.z)))"""
-    head = "CAST(m.period AS STRING), CAST(m.moment_id AS STRING), CAST(m.game_clock AS STRING), CAST(m.shot_clock AS STRING)"
-    text = f"""
-      transform(frames, (m, i) -> IF({_MALFORMED.format(i='i')},
-        array({head}, CAST(NULL AS STRING)), array({head}, CAST(NULL AS STRING), {positions})))"""
-    return framed.select("season", "game_id", "event_pos", "event_id", F.expr(text).alias("moments"))
+      CAST(transform(m.positions, p -> array(double(p.team_id), double(p.player_id), p.x, p.y, p.z)) AS VARIANT)"""
+    raw = f"""
+      transform({_frames(_ALL_FRAMES)}, (m, i) -> IF({_MALFORMED.format(i='i')},
+        array({scalars}, {absent}), array({scalars}, {absent}, {positions})))"""
+    return _windows(spark, sf_dir, raw)
 
 
 def _header_side(offset: int) -> str:
