@@ -22,7 +22,8 @@ def _position(p: Column) -> Column:
 def decode_moments(moments: Column) -> Column:
     """Variant moments as typed structs, in document order.
 
-    Element order: period, timestamp, game clock, shot clock, unused, positions. Moments or positions of the wrong length are left out; callers count them.
+    Element order: period, timestamp, game clock, shot clock, unused, positions. Moments and
+    positions of the wrong length are left out; callers count them.
     """
     split = F.transform(
         moments,
@@ -49,14 +50,18 @@ def decode_moments(moments: Column) -> Column:
 
 
 def decode_events(raw_events: DataFrame) -> DataFrame:
-    """Event rows with variant ``moments`` -> event rows with typed ones and a count of malformed ones."""
-    typed = raw_events.withColumnRenamed("moments", "raw_moments").withColumn(
-        "moments", decode_moments(F.col("raw_moments"))
-    )
-    listed = F.coalesce(F.size("raw_moments"), F.lit(0))
-    kept = F.coalesce(F.size("moments"), F.lit(0))
-    malformed = F.greatest(listed, F.lit(0)) - F.greatest(kept, F.lit(0))
-    return typed.withColumn("malformed_moments", malformed.cast("bigint")).drop("raw_moments")
+    """Event rows with variant ``moments`` -> event rows with typed ones and a count of malformed ones.
+
+    The decoding sits in a one-row generator, so that a filter on its result, which exploding
+    the moments brings along, cannot repeat it.
+    """
+    others = [c for c in raw_events.columns if c != "moments"]
+    decoded = F.struct(decode_moments(F.col("moments")).alias("moments"), F.size("moments").alias("listed"))
+    typed = raw_events.select(*others, F.inline(F.array(decoded)))
+    # The size of a missing array is NULL or -1, by session mode.
+    size = lambda count: F.greatest(count, F.lit(0))
+    malformed = size(F.col("listed")) - size(F.size("moments"))
+    return typed.withColumn("malformed_moments", malformed.cast("bigint")).drop("listed")
 
 
 def raw_event_rows(documents: DataFrame) -> DataFrame:
