@@ -1,0 +1,93 @@
+"""What holds when one key has a large part of all rows, and what reaches the file scan."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from rimline import schemas
+from rimline.operators import moments, trajectory
+from rimline.plans import event as events, gold, serving
+from rimline.sinks import tables as sinks
+from rimline.sources import files
+from test_queries import plan
+from testbed import derive
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def landed(spark, tmp_path_factory):
+    """Event windows on disk, so that plans start from a real scan."""
+    path = str(tmp_path_factory.mktemp("windows") / "tracking_event")
+    sinks.write_games(derive.tracking_events(spark, SF_DIR), path, gather=False)
+    return files.read_table(spark, path, schemas.TRACKING_EVENT)
+
+
+def test_copies_are_dropped_before_the_shuffle(landed):
+    table = moments.moment_table(moments.dedup_moments(moments.moment_rows(landed)))
+    text = plan(table)
+    assert text.count("WindowGroupLimit") == 2 and text.count("Exchange") == 1
+    assert text.index("Final") < text.index("Exchange") < text.index("Partial")
+
+
+def test_moment_pass_moves_no_players(landed):
+    table = moments.moment_table(moments.dedup_moments(moments.moment_rows(landed)))
+    exchanged = plan(table).split("Exchange", 1)[1].split("\n")[1]
+    assert "positions" not in exchanged and "home" not in exchanged
+
+
+def test_timestamp_count_reads_timestamps_only(landed):
+    text = plan(moments.null_timestamp_counts(landed))
+    assert "ReadSchema: struct<moments:array<struct<moment_id:bigint>>>" in text
+
+
+def test_windows_meet_shots_in_one_shuffle(spark, landed):
+    shots = derive.shots(spark, SF_DIR)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = plan(trajectory.locate_shots(shots, trajectory.rim_windows(landed)))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange") == 2  # one for each side
+
+
+def test_serving_reads_one_game_and_few_columns(spark, tmp_path):
+    shot_location = trajectory.locate_shots(
+        derive.shots(spark, SF_DIR), trajectory.rim_windows(derive.tracking_events(spark, SF_DIR))
+    )
+    mart = gold.events_with_location(events.event(derive.pbp_raw(spark, SF_DIR)), shot_location)
+    path = str(tmp_path / "mart")
+    sinks.write_clustered(mart, path, ["season_start_year"], ["game_id", "period", "event_id"])
+    stored = files.read_table(spark, path, schemas.EVENTS_WITH_LOCATION)
+    assert stored.count() == mart.count()
+    text = plan(serving.get_shots(stored, "0021500004"))
+    read = text.split("ReadSchema: ")[1]
+    assert "EqualTo(game_id,0021500004)" in text and "event_team_id" not in read and "ball_x" not in read
+
+
+def test_one_game_with_most_rows_is_split(spark, tmp_path):
+    rows = spark.range(0, 200_000, numPartitions=8).select(
+        F.lit("2015-16").alias("season"),
+        F.when(F.col("id") % 3 > 0, "0021500001").otherwise(F.concat(F.lit("00215"), F.lpad(F.col("id") % 7, 5, "0"))).alias("game_id"),
+        F.col("id").alias("moment_id"),
+        F.md5(F.col("id").cast("string")).alias("text"),
+    )
+    path = str(tmp_path / "games")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    sinks.write_games(rows, path, ["moment_id"])
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot = os.listdir(os.path.join(path, "season=2015-16", "game_id=0021500001"))
+    assert len([f for f in hot if f.endswith(".parquet")]) > 3
+    assert spark.read.parquet(path).count() == 200_000
+
+
+def test_equal_rows_spread_over_clustered_files(spark, tmp_path):
+    rows = spark.range(0, 40_000, numPartitions=8).select(
+        F.lit(2015).alias("season_start_year"), F.lit("g").alias("game_id"), F.lit(1).alias("event_id")
+    )
+    path = str(tmp_path / "copies")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sinks.write_clustered(rows, path, ["season_start_year"], ["game_id", "event_id"])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files_written = [f for f in os.listdir(os.path.join(path, "season_start_year=2015")) if f.endswith(".parquet")]
+    assert len(files_written) == 4
+    assert spark.read.parquet(path).count() == 40_000
