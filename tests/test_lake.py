@@ -71,17 +71,14 @@ def lake(spark, tmp_path):
     return str(root), str(manifest), str(season)
 
 
-def run_all(spark, lake, games=None, **options):
+def run_games(spark, lake, games=None, **options):
+    """The per-game jobs; returns the number of dropped moments."""
     root, manifest_path, season = lake
     manifest = files.load_manifest(spark, manifest_path, games)
     jobs.land_pbp(spark, manifest, season, root, **options)
     jobs.land_tracking(spark, manifest, root, **options)
     dropped = jobs.build_tracking(spark, manifest, root, **options)
-    jobs.build_headers(spark, manifest, root, **options)
     jobs.build_shot_locations(spark, manifest, root, **options)
-    jobs.build_events(spark, root)
-    jobs.build_dimensions(spark, root)
-    jobs.build_gold(spark, root)
     return dropped
 
 
@@ -123,7 +120,11 @@ def test_season_files(spark, lake):
 
 def test_whole_flow(spark, lake):
     root = lake[0]
-    assert run_all(spark, lake, list(GAMES[:2])) == 0
+    assert run_games(spark, lake, list(GAMES[:2])) == 0
+    jobs.build_headers(spark, files.load_manifest(spark, lake[1], list(GAMES[:2])), root)
+    jobs.build_events(spark, root)
+    jobs.build_dimensions(spark, root)
+    jobs.build_gold(spark, root)
     moment_table = read(spark, root, "silver", "tracking_moment", schemas.MOMENT)
     assert rows(moment_table, "season", "game_id", "moment_id", "ball_z") == [
         ("2015-16", GAMES[0], 1000, 6.0),
@@ -161,13 +162,13 @@ def test_whole_flow(spark, lake):
 
 def test_second_run_writes_nothing_and_force_only_its_games(spark, lake):
     root = lake[0]
-    run_all(spark, lake, list(GAMES[:2]))
+    run_games(spark, lake, list(GAMES[:2]))
     before = {layer: stamps(root, layer) for layer in ("bronze", "silver")}
-    run_all(spark, lake, list(GAMES[:2]))
+    run_games(spark, lake, list(GAMES[:2]))
     per_game = lambda layer: {p: t for p, t in stamps(root, layer).items() if "game_id=" in p}
     for layer in ("bronze", "silver"):
         assert per_game(layer) == {p: t for p, t in before[layer].items() if "game_id=" in p}
-    run_all(spark, lake, [GAMES[0]], force=True)
+    run_games(spark, lake, [GAMES[0]], force=True)
     after = per_game("silver")
     kept = {p for p in before["silver"] if f"game_id={GAMES[1]}" in p}
     redone = {p for p in before["silver"] if f"game_id={GAMES[0]}" in p}
