@@ -1,6 +1,6 @@
 """The game manifest: subsets, missing games and scoping of play-by-play rows."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from rimline.functions.keys import canonical_game_id
 
@@ -21,7 +21,7 @@ def pbp_of_games(pbp: DataFrame, manifest: DataFrame) -> DataFrame:
     The raw id becomes the canonical ``game_id`` and the manifest's season is added. The
     manifest side is one narrow row per game and Spark broadcasts it as long as it is small.
     """
-    games = manifest.select("game_id", "season").dropDuplicates(["game_id"])
+    games = manifest.groupBy("game_id").agg(F.min("season").alias("season"))
     keyed = pbp.select(
         canonical_game_id(pbp["GAME_ID"]).alias("game_id"),
         *[pbp[c] for c in pbp.columns if c != "GAME_ID"],

@@ -7,7 +7,7 @@ the ball reaches the rim; only these frames are moved to the shots.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rimline.constants import BALL_ID, RELEASE_LOOKBACK_S, RIM_Z_HIGH, RIM_Z_LOW
+from rimline.constants import BALL_ID, MADE_CODE, RELEASE_LOOKBACK_S, RIM_Z_HIGH, RIM_Z_LOW
 from rimline.functions.court import distance, hoop_distance
 from rimline.functions.play import is_shot_by_player
 from rimline.operators.moments import last_listing
@@ -119,13 +119,14 @@ def rim_windows(events: DataFrame) -> DataFrame:
     return last_listing(scoped).drop("event_pos")
 
 
-def shot_attempts(pbp: DataFrame, game_id: Column) -> DataFrame:
-    """Field-goal attempts by a real player."""
+def shot_attempts(pbp: DataFrame, game_id: Column, *keep: str) -> DataFrame:
+    """Field-goal attempts by a real player; ``keep`` names further columns to carry along."""
     return pbp.where(is_shot_by_player(F.col("EVENTMSGTYPE"), F.col("PERSON1TYPE"))).select(
         game_id.alias("game_id"),
         F.col("EVENTNUM").alias("event_id"),
         F.col("PLAYER1_ID").alias("shot_player_id"),
-        (F.col("EVENTMSGTYPE") == 1).alias("shot_made_flag"),
+        (F.col("EVENTMSGTYPE") == MADE_CODE).alias("shot_made_flag"),
+        *keep,
     )
 
 

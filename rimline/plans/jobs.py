@@ -123,11 +123,9 @@ def build_shot_locations(
     if exclude_games:
         games = games.where(~F.col("game_id").isin(*exclude_games))
     pbp = _of_games(files.read_pbp(spark, sinks.dataset_path(root, "bronze", "pbp")), games)
-    shots = trajectory.shot_attempts(pbp, F.col("game_id"))
+    shots = trajectory.shot_attempts(pbp, F.col("game_id"), "season")
     windows = trajectory.rim_windows(_of_games(_tracking_events(spark, root), games))
-    located = trajectory.locate_shots(shots, windows).join(
-        games.select("game_id", "season").dropDuplicates(["game_id"]), "game_id"
-    )
+    located = trajectory.locate_shots(shots, windows)
     sinks.write_games(located, sinks.dataset_path(root, "silver", "shot_location"), ["event_id"])
     sinks.record_empty_games(spark, games, root, "silver", "shot_location")
 
@@ -166,3 +164,12 @@ def build_gold(spark: SparkSession, root: str) -> None:
     mart = gold.events_with_location(event, shots)
     path = sinks.dataset_path(root, "gold", "events_with_location")
     sinks.write_clustered(mart, path, ["season_start_year"], ["game_id", "period", "event_id"])
+
+
+def advance_rosters(spark: SparkSession, snapshot: str, roster: DataFrame, target: str, seasons=SEASONS) -> None:
+    """Roster snapshot and a batch of roster rows -> the next snapshot, written beside the old one."""
+    if snapshot.rstrip("/") == target.rstrip("/"):
+        raise ValueError("the next snapshot needs a path of its own")
+    current = files.read_table(spark, snapshot, schemas.PLAYER_TEAM_SEASON)
+    batch = scd2.open_stints(roster, conformed.dim_season(spark, seasons))
+    sinks.write_clustered(scd2.apply_batch(current, batch), target, [], ["player_id"])

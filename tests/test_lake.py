@@ -239,6 +239,24 @@ def test_stream_lands_each_document_once(spark, lake, tmp_path):
     assert sinks.pending_games(spark, manifest, root, "bronze", ["tracking_event"]).count() == 0
 
 
+def test_roster_snapshots(spark, tmp_path):
+    calendar = tuple((y, str(y), f"{y}-10-27", f"{y + 1}-06-19") for y in (2015, 2016))
+    first, second = str(tmp_path / "first"), str(tmp_path / "second")
+    spark.createDataFrame([], schemas.PLAYER_TEAM_SEASON).write.parquet(first)
+    roster = lambda *rows: spark.createDataFrame(list(rows), "season_id int, team_id long, player_id long")
+    jobs.advance_rosters(spark, first, roster((2015, 1, 7), (2015, 1, 8)), second, calendar)
+    third = str(tmp_path / "third")
+    jobs.advance_rosters(spark, second, roster((2016, 2, 7)), third, calendar)
+    found = files.read_table(spark, third, schemas.PLAYER_TEAM_SEASON)
+    assert rows(found, "player_id", "season_id", "team_id", "is_current") == [
+        (7, 2015, 1, False),
+        (7, 2016, 2, True),
+        (8, 2015, 1, True),
+    ]
+    with pytest.raises(ValueError, match="path of its own"):
+        jobs.advance_rosters(spark, third, roster((2016, 2, 7)), third + "/", calendar)
+
+
 def test_tables_skip_other_directories(spark, lake):
     root, manifest_path, _ = lake
     manifest = files.read_manifest(spark, manifest_path)
