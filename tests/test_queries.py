@@ -8,11 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from testbed.catalog import QUERIES
 from testbed.derive import GIVEN
+from testbed.oracle import ORACLE
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +29,8 @@ def plain(value):
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
