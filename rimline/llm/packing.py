@@ -16,7 +16,10 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import cache
+from itertools import chain
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rimline.llm.common import LONG_WORD, REMEMBERED, slices, table, utf8
+from rimline.llm.common import LONG_WORD, slices, table, utf8
 
 #: Window lengths, longest first; all powers of two, so full ones need no padding.
 TIERS = (4096, 2048, 1024, 512)
@@ -35,30 +38,100 @@ TOKENS_PER_STEP = 1 << 18
 #: Tokens that wait in a task before they are packed.
 BLOCK_TOKENS = 1 << 22
 ID_BYTES = 4
+#: Words, and parts of words, that a worker remembers at least.
+REMEMBERED = 400_000
+PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Sequence ids are the task's number and a count within the task.
 TASK_SHIFT = 40
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
 
 
-class WordIds(dict):
+class Recent(dict):
+    """What was looked up lately: at most twice ``size`` entries, the older half dropped at a time."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size, self.older = size, {}
+
+    def __missing__(self, key: bytes) -> bytes:
+        value = self.older[key]
+        self[key] = value
+        return value
+
+    def knows(self, key: bytes) -> bool:
+        return key in self or key in self.older
+
+    def turn(self) -> None:
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+
+
+def core_and_tail(word: bytes) -> tuple[bytes, bytes]:
+    """A word's letters in lower case and its last punctuation, where the tokenizer parts them; else the word itself.
+
+    A folded special token would become ordinary text or the other way round; signs of other scripts may join with
+    punctuation, so after other than ASCII and Latin letters the word stays whole.
+    """
+    core = word.rstrip(PUNCTUATION)
+    if b"<|" in word or not core:
+        return word, b""
+    if len(core) < len(word):
+        last = core.decode()[-1] if core[-1] >= 128 else chr(core[-1])
+        if not (last.isascii() and last.isalnum() or "\u00c0" <= last <= "\u024f" and last.lower()[-1].isalpha()):
+            return word, b""
+    return core.lower(), word[len(core) :]
+
+
+class WordIds:
     """Token ids of words as little-endian bytes, remembered up to a bound.
 
-    The tokenizer drops white space and never joins what it parts, so a text's ids are
-    those of its words in turn.
+    The tokenizer drops white space and never joins what it parts, so a text's ids are those of its words in
+    turn. It also folds case and parts letters from punctuation, so a word is looked up as its
+    core in lower case and the ASCII punctuation after that. What is not known is encoded in one call for many texts.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
-        if len(word) <= LONG_WORD:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = ids
-        return ids
+        self.words, self.parts = Recent(REMEMBERED), Recent(REMEMBERED)
+
+    def _encode(self, parts: list[bytes]) -> None:
+        for at in range(0, len(parts), 50_000):
+            some = parts[at : at + 50_000]
+            found = self.tokenizer.encode([p.decode() for p in some], is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(some)), side="right")
+            start = 0
+            for part, end in zip(some, ends.tolist()):
+                self.parts[part] = ids[start:end].tobytes()
+                start = end
+
+    def of(self, texts: list[bytes]) -> list[bytes]:
+        words, parts = self.words, self.parts
+        words.turn()
+        parts.turn()
+        split = [text.split() for text in texts]
+        cores = {}
+        for word in set(chain.from_iterable(split)).difference(words):
+            if word not in words.older:
+                cores[word] = core_and_tail(word)
+        self._encode(sorted({p for pair in cores.values() for p in pair if p and not parts.knows(p)}))
+        parts[b""] = b""
+        for word, (core, tail) in cores.items():
+            words[word] = parts[core] + parts[tail]
+        found = [b"".join(map(words.__getitem__, each)) for each in split]
+        for word, (core, _) in cores.items():
+            if len(word) > LONG_WORD:
+                del words[word]
+                parts.pop(core, None)
+        return found
+
+
+@cache
+def word_ids(path: str) -> WordIds:
+    """One for a worker process, whatever the number of its tasks."""
+    return WordIds(path)
 
 
 class Packer:
@@ -157,11 +230,11 @@ def _packing(path: str, tiers: tuple[int, ...], tokens_per_step: int, schema: pa
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-        words = WordIds(path)
+        words = word_ids(path)
         packer = Packer(tiers, tokens_per_step, TaskContext.get().partitionId())
         for rows in slices(batches):
-            for doc_id, text in zip(rows["doc_id"], rows["text"]):
-                ids = b"".join(map(words.__getitem__, text.split())) + end
+            for doc_id, ids in zip(rows["doc_id"], words.of(rows["text"])):
+                ids += end
                 tokens = len(ids) // ID_BYTES
                 yield from packer.add((doc_id, ids, tokens), tokens)
             if packer.waiting >= BLOCK_TOKENS:

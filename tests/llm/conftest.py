@@ -1,0 +1,6 @@
+import pytest
+
+
+@pytest.fixture(autouse=True)
+def small_jobs(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
