@@ -28,16 +28,19 @@ def utf8(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows written to the shared checkpoint folder, so that no later loss repeats what led to them.
-
-    The folder is the one that ``spark.checkpoint.dir`` names; a folder of its own serves only where
-    the setting is absent, as in tests on one machine.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder: what ``spark.checkpoint.dir`` names; one of its own only where the setting is
+    absent, as in tests on one machine."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder, so that no later loss repeats what led to them."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from rimline.llm import packing
+import corpus_pipeline
+from rimline.llm import fingerprints, licenses, lines, mixing, near, packing, pii, quality, toxicity, warc
 
 QUERIES = {
+    "op1_soft_membership_mixing": mixing.op1_soft_membership_mixing,
+    "op2_winnowed_lines": lines.op2_winnowed_lines,
+    "op3_phrase_fingerprints": fingerprints.op3_phrase_fingerprints,
+    "op4_license_scan": licenses.op4_license_scan,
+    "op5_personal_data": pii.op5_personal_data,
+    "op6_learned_decision_list": quality.op6_learned_decision_list,
+    "op7_warc_derivatives": warc.op7_warc_derivatives,
+    "op8_ordinal_toxicity": toxicity.op8_ordinal_toxicity,
     "op9_hierarchical_packing": packing.op9_hierarchical_packing,
+    "op10_ngram_jaccard_join": near.op10_ngram_jaccard_join,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {}
