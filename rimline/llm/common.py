@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -39,9 +40,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder, so that no later loss repeats what led to them."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """The rows written to the shared folder and read again, so that no later loss repeats what led to them.
+
+    A written table has its true size, by which Spark plans what follows; a checkpoint keeps the estimate of the
+    plan behind it, which grows from join to join.
+    """
+    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[dict[str, list]]:

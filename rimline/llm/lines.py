@@ -1,6 +1,6 @@
 """Line dedup by winnowing: later repeats of a run of lines go.
 
-A run is consecutive lines of one document (lines of white space alone are passed over) with at
+A run is consecutive lines of one document (lines of white space alone are passed over, and stay) with at
 least ``min_words`` words. A line goes if it lies in a run whose lines stand, equal but for outer white
 space, earlier: in a document of smaller id, or above in the same one without overlap.
 
@@ -109,8 +109,9 @@ def _cut_lines(schema: pa.Schema):
         keep = np.ones(len(lines), bool)
         for span in ranges or ():
             keep[span["first"] : span["last"] + 1] = False
-        kept = [line for line, kept in zip(lines, keep) if kept]
-        words = sum(len(line.encode().split()) for line, kept in zip(lines, keep) if not kept)
+        sizes = [0 if kept else len(line.encode().split()) for line, kept in zip(lines, keep)]
+        kept = [line for line, kept, size in zip(lines, keep, sizes) if kept or not size]
+        words = sum(sizes)
         return "\n".join(kept), len(lines), len(lines) - len(kept), words
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,6 @@ from __future__ import annotations
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -113,7 +112,7 @@ class WordIds:
         parts.turn()
         split = [text.split() for text in texts]
         cores = {}
-        for word in set(chain.from_iterable(split)).difference(words):
+        for word in {word for each in split for word in each if word not in words}:
             if word not in words.older:
                 cores[word] = core_and_tail(word)
         self._encode(sorted({p for pair in cores.values() for p in pair if p and not parts.knows(p)}))

@@ -174,13 +174,16 @@ def _written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _count(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = personal_data(table(spark, sf_dir, "documents"))
     base = [kind.name for kind in KINDS if kind.base]
-    counted = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
     return rows.select(
         "doc_id",
-        *counted,
+        *(_count(kind).alias(f"n_{kind}") for kind in base),
         F.sha2(_written(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
         _written(F.col("spans")).alias("spans"),
         F.array_join(F.transform("spans", lambda s: F.format_number(s["score"], 2)), ",").alias("scores"),

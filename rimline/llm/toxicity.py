@@ -5,12 +5,13 @@ Grades are ordered: 0 clean, 1 toxic, 2 severely toxic. The model is
     P(grade <= g) = sigmoid(threshold_g - w . x),
 
 one weight vector for all thresholds, which are kept in order by fitting their first and the logarithms of the
-steps between them. x are the presences of words, letters and digits folded to lower case; the words known are
-those that differ most between grades in the sample. The model is fitted on a bounded sample of labelled rows;
+steps between them. x are the presences of words, letters and digits folded to lower case, and of their first
+letters, as many languages put endings to a stem; known are those that differ most between labels in
+the sample. The model is fitted on a bounded sample of labelled rows;
 every whole text is scored.
 
-The labels only part toxic from clean. Toxic rows of the sample count as severe if the share of their
-words that mark toxic texts is above the median of the toxic rows.
+The labels only part toxic from clean. Toxic rows of the sample count as severe if more different features that mark
+toxic texts stand in them than in the median toxic row.
 
 Defined cases: a null or empty text has no words and gets the grade of the thresholds alone; rows with null or
 repeated ids are scored like any other; without labelled rows of both kinds all texts have
@@ -28,45 +29,56 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rimline.llm.common import slices, table, utf8
-from rimline.llm.licenses import words_of
+from rimline.llm.licenses import FOLD
 
 #: Labelled rows the model may be fitted on: of either label half of them, those of the least id hashes.
 SAMPLE = 8_000
-#: Words known to the model.
+#: Words and beginnings known to the model.
 FEATURES = 1024
+#: Letters of a word's beginnings.
+BEGINNINGS = (4, 5, 6, 7)
 #: Documents of the sample that a known word must be in.
 LEAST_DOCUMENTS = 3
 #: Words with a toxic share this far above the sample's mark toxic texts.
 MARKING = 0.9
 GRADES = 3
-PENALTY = 1e-3
+PENALTY = 1e-4
 STEPS = 600
 RATE = 0.05
 
 
+def features_of(text: bytes) -> set[str]:
+    """The words of a text, and beginnings of longer ones marked by a star."""
+    words = set(text.translate(FOLD).decode().split())
+    found = set(words)
+    for size in BEGINNINGS:
+        found.update([w[:size] + "*" for w in words if len(w) > size])
+    return found
+
+
 @dataclass(frozen=True)
 class Model:
-    weights: dict[bytes, float]
+    weights: dict[str, float]
     thresholds: tuple[float, ...]
 
-    def chances(self, words: set[bytes]) -> list[float]:
+    def chances(self, words: set[str]) -> list[float]:
         """The probability of each grade."""
         known = self.weights
-        score = sum(sorted(known[w] for w in words if w in known))
+        score = sum(sorted(known[w] for w in known.keys() & words))
         below = [1 / (1 + np.exp(-min(max(t - score, -500.0), 500.0))) for t in self.thresholds] + [1.0]
         return [float(b - a) for a, b in zip([0.0, *below], below)]
 
 
-def fit(texts: list[set[bytes]], grades: np.ndarray, features: list[bytes], steps: int = STEPS, penalty: float = PENALTY) -> Model:
+def fit(texts: list[set[str]], grades: np.ndarray, features: list[str], steps: int = STEPS, penalty: float = PENALTY) -> Model:
     """Weights and ordered thresholds of the largest penalised likelihood, by Adam's method over all rows."""
     place = {word: i for i, word in enumerate(features)}
     held = [sorted(place[w] for w in words if w in place) for words in texts]
     row = np.repeat(np.arange(len(held)), [len(h) for h in held])
     column = np.fromiter((i for h in held for i in h), np.int64, len(row))
     top = GRADES - 1
-    # Rows count so that every grade weighs the same.
-    sizes = np.bincount(grades, minlength=GRADES)
-    weight = (1 / np.maximum(sizes, 1))[grades] / (sizes > 0).sum()
+    # Clean rows and toxic ones weigh the same in sum, so a single mark can tip the scale.
+    sizes = np.bincount(grades > 0, minlength=2)
+    weight = (0.5 / np.maximum(sizes, 1))[(grades > 0).astype(int)]
     state = np.zeros(len(features) + top)
     state[len(features)] = 1.0
     first, second = np.zeros_like(state), np.zeros_like(state)
@@ -88,13 +100,14 @@ def fit(texts: list[set[bytes]], grades: np.ndarray, features: list[bytes], step
             slope[len(features) + g] = by_cut[g:].sum() * gaps[g - 1]
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
-        state = state - RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        # Steps shrink to nothing, so the last ones settle.
+        state = state - RATE * (1 - step / (steps + 1)) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     free = state[len(features) :]
     cuts = free[0] + np.concatenate([[0.0], np.cumsum(np.exp(free[1:]))])
     return Model(dict(zip(features, state[: len(features)].tolist())), tuple(cuts.tolist()))
 
 
-def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[set[bytes]], np.ndarray]:
+def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[set[str]], np.ndarray]:
     """Words and toxic labels of at most ``sample`` labelled documents."""
     known = labels.where("doc_id is not null and toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").alias("_toxic"))
     known = known.groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
@@ -104,21 +117,32 @@ def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[l
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            words = [b" ".join(sorted(set(words_of(text)))) for text in part["text"]]
-            yield pa.RecordBatch.from_arrays([pa.array(part["_toxic"], pa.int32()), pa.array(words, pa.binary())], names=["toxic", "words"])
+            words = [" ".join(sorted(features_of(text))) for text in part["text"]]
+            yield pa.RecordBatch.from_arrays([pa.array(part["_toxic"], pa.int32()), pa.array(words, pa.string())], names=["toxic", "words"])
 
-    found = rows.select(F.col("_toxic").cast("int").alias("_toxic"), "text").mapInArrow(run, "toxic int, words binary").toPandas()
-    found["words"] = found["words"].map(bytes)
+    found = rows.select(F.col("_toxic").cast("int").alias("_toxic"), "text").mapInArrow(run, "toxic int, words string").toPandas()
     found = found.sort_values(["words", "toxic"])
     return [set(w.split()) for w in found["words"]], found["toxic"].to_numpy(int)
 
 
-def learn(texts: list[set[bytes]], toxic: np.ndarray, features: int = FEATURES) -> Model | None:
+def parting(clean: np.ndarray, bad: np.ndarray, n_clean: int, n_bad: int) -> np.ndarray:
+    """The likelihood-ratio statistic of each feature's documents against the labels."""
+
+    def part(seen: np.ndarray, share: np.ndarray) -> np.ndarray:
+        return seen * np.log(np.maximum(seen, 1e-300) / np.maximum(share, 1e-300))
+
+    held, rest, size = clean + bad, n_clean + n_bad - clean - bad, n_clean + n_bad
+    return 2 * (
+        part(bad, held * n_bad / size) + part(clean, held * n_clean / size) + part(n_bad - bad, rest * n_bad / size) + part(n_clean - clean, rest * n_clean / size)
+    )
+
+
+def learn(texts: list[set[str]], toxic: np.ndarray, features: int = FEATURES) -> Model | None:
     """The model of labelled texts; none if all have one label."""
     size, n_toxic = len(toxic), int(toxic.sum())
     if not 0 < n_toxic < size:
         return None
-    counts: dict[bytes, list[int]] = {}
+    counts: dict[str, list[int]] = {}
     for words, label in zip(texts, toxic.tolist()):
         for word in words:
             counts.setdefault(word, [0, 0])[label] += 1
@@ -126,15 +150,21 @@ def learn(texts: list[set[bytes]], toxic: np.ndarray, features: int = FEATURES)
     if not words:
         return None
     clean, bad = np.array([counts[w] for w in words], float).T
-    expected = (clean + bad) * n_toxic / size
-    # Signed chi-square of a word's toxic documents.
-    differs = (bad - expected) ** 2 / np.maximum(expected * (1 - (clean + bad) / (size + 1)), 1e-9)
-    best = np.argsort(-differs, kind="stable")[:features]
+    best = np.argsort(-parting(clean, bad, size - n_toxic, n_toxic), kind="stable")[:features]
+    # Chance alone brings the best of so many candidates about to this.
+    # Of features in the same documents one will do: the longest, which comes with a word's beginnings.
+    places: dict[str, list[int]] = {words[i]: [] for i in best}
+    for row, known in enumerate(texts):
+        for word in known & places.keys():
+            places[word].append(row)
+    whole = {tuple(rows): word for word, rows in sorted(places.items(), key=lambda p: (len(p[0]), p[0]))}
+    best = np.array([i for i in best if whole[tuple(places[words[i]])] == words[i]], int)
+    best = best[parting(clean, bad, size - n_toxic, n_toxic)[best] >= 2 * np.log(len(words))]
     rates = bad / n_toxic / (bad / n_toxic + clean / (size - n_toxic))
     marks = {words[i] for i in best if rates[i] >= MARKING}
-    share = np.array([len(marks & t) / max(len(t), 1) for t in texts])
-    grades = toxic * (1 + (share > np.median(share[toxic == 1])))
-    return fit(texts, grades.astype(int), [words[i] for i in best])
+    strength = np.array([len(marks & t) for t in texts])
+    grades = toxic * (1 + (strength > np.median(strength[toxic == 1])))
+    return fit(texts, grades.astype(int), [words[i] for i in best]) if len(best) else None
 
 
 SCORED = "doc_id long, grade int, expected_severity double, p_clean double, p_toxic double, p_severe double"
@@ -151,7 +181,7 @@ def severity(docs: DataFrame, model: Model | None) -> DataFrame:
         for part in slices(batches):
             rows = []
             for doc_id, text in zip(part["doc_id"], part["text"]):
-                chances = model.chances(set(words_of(text))) if model else [1.0, 0.0, 0.0]
+                chances = model.chances(features_of(text)) if model else [1.0, 0.0, 0.0]
                 # The grade is the median one: the first that at least half of the probability lies at or below.
                 grade = next((g for g in range(GRADES) if sum(chances[: g + 1]) >= 0.5), GRADES - 1)
                 rows.append((doc_id, grade, sum(g * c for g, c in enumerate(chances)), *chances))

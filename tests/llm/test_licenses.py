@@ -33,11 +33,13 @@ def test_query_on_given_documents(spark):
 def test_planted_templates(spark):
     filler = " ".join(f"filler{i}" for i in range(300))
     rows = []
-    for n, (label, (text, _)) in enumerate(TEMPLATES.items()):
-        words = text.split()
+    for n, (label, (text, keys)) in enumerate(TEMPLATES.items()):
         rows.append((n, f"{filler} {text.upper()} {filler}", label, 1.0))
-        if len(words) > 12:  # A word dropped, one added.
-            rows.append((100 + n, " ".join([filler, *words[:1], *words[2:4], "indeed", *words[4:]]), label, 0.8))
+        words, held = text.split(), " ".join(keys).split()
+        free = [i for i, word in enumerate(words) if word not in held]
+        if len(free) > 4:  # A word outside the key phrases dropped, one added before another such word.
+            changed = words[: free[0]] + words[free[0] + 1 : free[-1]] + ["indeed"] + words[free[-1] :]
+            rows.append((100 + n, " ".join([filler, *changed, filler]), label, 0.8))
     rows.append((500, filler + " permission granted free software license copy", "", 0.0))
     docs = spark.createDataFrame([(i, t) for i, t, _, _ in rows], "doc_id long, text string")
     found = {r.doc_id: r for r in scan_licenses(docs).collect()}
