@@ -1,8 +1,7 @@
 """Soft-membership mixing: rates for documents, so that expected domain totals meet target weights.
 
-1. A word classifier (multinomial Bayes over the most telling words of a bounded labelled sample) gives
-   each document a posterior over the domains. Its evidence is scaled to at most ``evidence`` words, so
-   long texts keep soft memberships.
+1. A word classifier (Bayes over presence and absence of the most telling words of a bounded labelled sample)
+   gives each document a posterior over the domains. Log odds end at ``softness``, so memberships stay soft.
 2. The rates minimise, over r >= 0,
 
        sum_k (E_k(r) - t_k)^2 / (2 E_k(1))  +  ridge / 2 * sum_j n_j (r_j - 1)^2,
@@ -36,8 +35,8 @@ SAMPLE = 20_000
 FEATURES = 4096
 SMOOTHING = 0.5
 MICRO = 1_000_000
-#: Words whose evidence counts in full; longer texts' is scaled down to it.
-EVIDENCE = 64
+#: Log odds beyond which a domain is no less likely, so memberships stay soft.
+SOFTNESS = 6.0
 RIDGE = 1e-3
 STEPS = 40
 #: Steps stop when no domain's share of the total moves by more.
@@ -55,44 +54,51 @@ def label_domain() -> Column:
 
 
 def _words(docs: DataFrame, id_name: str) -> DataFrame:
-    """One row per word; a row of a null word for a text without any."""
+    """One row per distinct word of a text, the first with the number of all words; a row of a null word for a text without any."""
     words = F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), WORD_BREAK), lambda w: w != "")
-    return docs.select(F.col("doc_id").cast("long").alias(id_name), F.explode_outer(words).alias("word"))
+    listed = docs.select(F.col("doc_id").cast("long").alias(id_name), words.alias("words"))
+    each = listed.select(id_name, F.size("words").alias("size"), F.posexplode_outer(F.array_distinct("words")).alias("place", "word"))
+    return each.select(id_name, "word", F.when(F.coalesce("place", F.lit(0)) == 0, F.col("size")).alias("size"))
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, domains: list[str], sample: int = SAMPLE, features: int = FEATURES) -> tuple[DataFrame, list[float]]:
-    """(word, w0, w1, ...) of the telling words, and the log priors. Weights are log likelihoods by domain, in whole
-    millionths, so that sums don't depend on the order of rows."""
+    """(word, w0, w1, ...) of the telling words, and the log scores of a text with none of them. Weights are what a
+    word's presence adds, in whole millionths, so that sums don't depend on the order of rows."""
     known = labels.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("_id"), label_domain().alias("_domain"))
     known = known.where(F.col("_domain").isin(domains)).groupBy("_id").agg(F.min("_domain").alias("_domain"))
     # The sample bounds this side: 20,000 rows of an id and a name.
-    known = F.broadcast(known.orderBy(F.xxhash64("_id"), "_id").limit(sample))
-    words = _words(docs, "_doc").where("word is not null").join(known, F.col("_doc") == F.col("_id"))
+    known = F.broadcast(cut(known.orderBy(F.xxhash64("_id"), "_id").limit(sample)))
+    words = _words(docs.join(known, F.col("doc_id") == F.col("_id")).select("doc_id", "text"), "_doc")
+    words = words.where("word is not null").join(known, F.col("_doc") == F.col("_id"))
     each = [F.count(F.when(F.col("_domain") == d, 1)).alias(f"n{k}") for k, d in enumerate(domains)]
     counted = cut(words.groupBy("word").agg(*each))
-    totals = counted.agg(*(F.sum(f"n{k}") for k in range(len(domains))), F.count("*")).first()
-    size, sums = totals[-1], [float(t or 0) for t in totals[:-1]]
-    seen = known.groupBy("_domain").count().collect()
-    by_domain = {r["_domain"]: r["count"] for r in seen}
-    priors = [float(np.log((by_domain.get(d, 0) + 1) / (sum(by_domain.values()) + len(domains)))) for d in domains]
-    held = [(F.col(f"n{k}") + SMOOTHING) / (sums[k] + SMOOTHING * max(size, 1)) for k in range(len(domains))]
-    mean = sum(held[1:], held[0]) / len(domains)
-    # How much the word's rates in the domains differ, as a divergence from their mean.
-    telling = sum((h * F.log(h / mean) for h in held[1:]), held[0] * F.log(held[0] / mean))
-    best = counted.withColumn("_telling", telling).orderBy(F.desc("_telling"), "word").limit(features)
-    return cut(best.select("word", *(F.round(F.log(h / mean) * MICRO).cast("long").alias(f"w{k}") for k, h in enumerate(held)))), priors
-
-
-def posteriors(docs: DataFrame, weights: DataFrame, priors: list[float], evidence: int = EVIDENCE) -> DataFrame:
+    size = counted.count()
+    seen = {r["_domain"]: r["count"] for r in known.groupBy("_domain").count().collect()}
+    sums = [float(seen.get(d, 0)) for d in domains]
+    priors = [float(np.log((n + 1) / (sum(sums) + len(domains)))) for n in sums]
+    found = sum((F.col(f"n{k}") for k in range(len(domains))), F.lit(0))
+    # Half the likelihood ratio of the word's documents against the domains' sizes; chance alone brings the best word to about log(words).
+    parts = (F.col(f"n{k}") * F.log(F.greatest(F.col(f"n{k}"), F.lit(1)) / (found * max(n, 1) / max(sum(sums), 1))) for k, n in enumerate(sums))
+    telling = sum(parts, F.lit(0.0))
+    held = [(F.col(f"n{k}") + SMOOTHING) / (n + 2 * SMOOTHING) for k, n in enumerate(sums)]
+    best = counted.withColumn("_telling", telling).where(F.col("_telling") >= float(np.log(max(size, 2))))
+    best = best.orderBy(F.desc("_telling"), "word").limit(features)
+    present = (F.round(F.log(h / (1 - h)) * MICRO).cast("long").alias(f"w{k}") for k, h in enumerate(held))
+    absent = (F.round(F.log(1 - h) * MICRO).cast("long").alias(f"b{k}") for k, h in enumerate(held))
+    weights = cut(best.select("word", *present, *absent))
+    without = weights.agg(*(F.sum(f"b{k}") for k in range(len(domains)))).first()
+    return weights, [p + (b or 0) / MICRO for p, b in zip(priors, without)]
+
+
+def posteriors(docs: DataFrame, weights: DataFrame, priors: list[float], softness: float = SOFTNESS) -> DataFrame:
     """(doc_id, n_tokens, p0, p1, ...): each document's words and its posterior over the domains."""
     ks = range(len(priors))
     # The weights are as many rows as there are features.
     rows = _words(docs, "doc_id").join(F.broadcast(weights), "word", "left")
-    sums = rows.groupBy("doc_id").agg(F.count("word").alias("n_tokens"), *(F.sum(f"w{k}").alias(f"s{k}") for k in ks))
-    scale = F.least(F.lit(1.0), evidence / F.greatest("n_tokens", F.lit(1)))
-    scores = sums.select("doc_id", "n_tokens", *((F.lit(priors[k]) + scale * F.coalesce(f"s{k}", F.lit(0)) / MICRO).alias(f"l{k}") for k in ks))
+    sums = rows.groupBy("doc_id").agg(F.sum("size").alias("n_tokens"), *(F.sum(f"w{k}").alias(f"s{k}") for k in ks))
+    scores = sums.select("doc_id", "n_tokens", *((F.lit(priors[k]) + F.coalesce(f"s{k}", F.lit(0)) / MICRO).alias(f"l{k}") for k in ks))
     most = F.greatest(*(F.col(f"l{k}") for k in ks)) if len(priors) > 1 else F.col("l0")
-    raised = scores.select("doc_id", "n_tokens", *(F.exp(F.col(f"l{k}") - most).alias(f"e{k}") for k in ks))
+    raised = scores.select("doc_id", "n_tokens", *(F.exp(F.greatest(F.col(f"l{k}") - most, F.lit(-softness))).alias(f"e{k}") for k in ks))
     total = sum((F.col(f"e{k}") for k in ks), F.lit(0.0))
     return raised.select("doc_id", "n_tokens", *((F.col(f"e{k}") / total).alias(f"p{k}") for k in ks))
 
@@ -124,7 +130,7 @@ def fit_rates(members: DataFrame, targets: list[float], anchor: int, ridge: floa
         pull = np.where(open_, (now - goal) / np.where(open_, sizes, 1), 0.0)
         rate = _stepped(rate, pull.tolist(), ridge)
         if step % 20 == 0:  # Keeps the expression short.
-            state = cut(state.drop("rate").withColumn("rate_", rate).withColumnRenamed("rate_", "rate"))
+            state = cut(state.withColumn("rate_", rate).drop("rate").withColumnRenamed("rate_", "rate"))
             rate = F.col("rate")
         before, now = now, totals(state, rate)
         if np.abs(now - before).max() <= SETTLED * sizes.sum():

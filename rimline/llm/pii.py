@@ -85,6 +85,8 @@ KINDS = (
 
 #: Code points before and after a span in which words count.
 REACH = 40
+#: Matches whose places are summed up at a time.
+BLOCK = 256
 FRIEND = 0.2
 FOE = -0.3
 #: What a kind beyond the base needs.
@@ -137,9 +139,17 @@ def _spans(text: Column, kind: Kind, rank: int, matches: Column, gaps: Column) -
         span = F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match"))
         return F.struct(end.alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
 
+    def shift(done: Column, block: Column) -> Column:
+        moved = F.transform(block["spans"], lambda s: F.struct((s["start"] + done["at"]).alias("start"), (s["end"] + done["at"]).alias("end"), s["match"].alias("match")))
+        return F.struct((done["at"] + block["at"]).alias("at"), F.concat(done["blocks"], F.array(moved)).alias("blocks"))
+
     pairs = F.zip_with(matches, F.slice(gaps, F.lit(1), F.size(matches)), lambda m, g: F.struct(g.alias("gap"), m.alias("match")))
+    # Every step copies what it has, so places are summed up block by block.
+    blocks = F.transform(F.sequence(F.lit(1), F.size(matches), F.lit(BLOCK)), lambda i: F.slice(pairs, i, F.lit(BLOCK)))
     none = F.expr("cast(array() as array<struct<start:int,end:int,match:string>>)")
-    placed = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("spans")), place, lambda done: done["spans"])
+    within = F.transform(blocks, lambda block: F.aggregate(block, F.struct(F.lit(0).alias("at"), none.alias("spans")), place))
+    nothing = F.expr("cast(array() as array<array<struct<start:int,end:int,match:string>>>)")
+    placed = F.flatten(F.aggregate(within, F.struct(F.lit(0).alias("at"), nothing.alias("blocks")), shift, lambda done: done["blocks"]))
     valid = F.filter(placed, lambda s: _valid(kind.name, s["match"]))
 
     def scored(s: Column) -> Column:
