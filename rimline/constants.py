@@ -44,5 +44,5 @@ MISSED_CODE = 2
 PLAYER_TYPES = (4, 5)
 TEAM_TYPES = (2, 3)
 
-# The one season that is served.
+# The one season that is served, as a calendar for the jobs that need one.
 SEASONS = ((2015, "2015-16", "2015-10-27", "2016-06-19"),)

@@ -22,6 +22,11 @@ def open_stints(roster: DataFrame, seasons: DataFrame) -> DataFrame:
     )
 
 
+def season_orphans(roster: DataFrame, seasons: DataFrame) -> DataFrame:
+    """Roster rows whose season the calendar does not have."""
+    return roster.join(seasons.select("season_id"), "season_id", "left_anti")
+
+
 def _change_dates(batch: DataFrame) -> DataFrame:
     """Per player, the two earliest teams of a batch.
 
@@ -63,14 +68,20 @@ def expired(current: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def inserted(current: DataFrame, batch: DataFrame) -> DataFrame:
-    """Batch stints that the snapshot does not hold yet."""
-    return batch.join(current, STINT, "left_anti").select(*current.columns)
+    """Batch stints that the snapshot does not hold yet.
+
+    The snapshot first shrinks to the stints of the batch's players, by a list that Spark broadcasts while it
+    is small; only what is left meets the batch.
+    """
+    players = batch.select("player_id").distinct()
+    of_batch = current.select(*STINT).join(players, "player_id", "left_semi")
+    return batch.join(of_batch, STINT, "left_anti").select(*current.columns)
 
 
 def apply_batch(current: DataFrame, batch: DataFrame) -> DataFrame:
     """Next snapshot: expire, then insert. Running a batch twice changes nothing more.
 
-    Closed history passes through without a shuffle; only open stints meet the batch.
+    Closed stints are carried over as they are; only their keys are looked at, for players of the batch.
     """
     is_open = F.col("is_current").eqNullSafe(True)
     return (

@@ -100,6 +100,15 @@ def release_frame(candidates: Column, shooter_id: Column) -> Column:
     )
 
 
+def shot_windows(events: DataFrame, shots: DataFrame) -> DataFrame:
+    """The event windows of shots; most events are none, and their frames need no search.
+
+    Only the shots' keys meet the windows.
+    """
+    keys = shots.select("game_id", "event_id").distinct()
+    return events.join(keys, ["game_id", "event_id"], "left_semi")
+
+
 def rim_windows(events: DataFrame) -> DataFrame:
     """Event windows -> rim frame and release candidates, the last listing of an event winning."""
     framed = events.select(

@@ -1,21 +1,19 @@
 """Jobs: read a layer of the lake, write the next.
 
-Per-game jobs handle all pending games in one Spark job. A game is pending while one of its
-outputs is missing; ``force`` redoes the given games and leaves all others alone.
+Per-game jobs handle all pending games in one Spark job. A game is pending until the ledger says
+that its outputs are written; ``force`` redoes the given games and leaves all others alone. A
+game whose input is not there yet, or is faulty, stays pending: the job does all other games
+and then raises an error that names every such game.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rimline import schemas
-from rimline.constants import SEASONS
 from rimline.operators import headers, manifest as scope, moments, scd2, trajectory
 from rimline.plans import conformed, event as events, gold
 from rimline.sinks import tables as sinks
 from rimline.sources import files
 
-# At most this many games are broadcast: two short strings each, some 100 MB in memory.
-BROADCAST_GAMES = 1_000_000
-
 SILVER_DIMS = ("dim_player", "dim_team", "dim_game", "roster")
 
 
@@ -23,51 +21,80 @@ class EmptyGames(ValueError):
     """Manifest games without source rows."""
 
 
-def _fail_if_any(games: DataFrame, what: str) -> None:
-    found = [row.game_id for row in games.select("game_id").take(20)]
+class MissingInput(EmptyGames):
+    """Manifest games whose input has not arrived."""
+
+
+class UnknownSeasons(ValueError):
+    """Roster rows of seasons that the calendar does not have."""
+
+
+def _raise_for(games: DataFrame, kind: type[ValueError], what: str) -> None:
+    """Raise with all of the games. A run that is missing games names them one by one, as the manifest does."""
+    found = sorted({row.game_id for row in games.select("game_id").collect()})
     if found:
-        raise EmptyGames(f"{what}: {sorted(found)}")
+        raise kind(f"{len(found)} game(s), {what}: {found}")
 
 
 def _of_games(df: DataFrame, games: DataFrame) -> DataFrame:
     """Rows of the given games from a table laid out by season and game.
 
-    The few distinct seasons become a plain filter, which skips season directories and lets
-    Spark skip the other games' directories at run time. The game list is counted: a short one
-    is broadcast, so wide rows are not shuffled just to be filtered; a longer one is joined.
+    Spark broadcasts a short game list and skips the other games' directories at run time; a longer one is joined.
     """
-    seasons = [row.season for row in games.select("season").distinct().collect()]
-    in_season = F.col("season").isin(seasons)
-    wanted = games.where(in_season).select("season", "game_id")
-    if games.count() <= BROADCAST_GAMES:
-        wanted = F.broadcast(wanted)
-    return df.where(in_season).join(wanted, ["season", "game_id"], "left_semi")
+    return df.join(games.select("season", "game_id").distinct(), ["season", "game_id"], "left_semi")
+
+
+def _start(spark: SparkSession, games: DataFrame, root: str, layer: str, datasets: list[str], force: bool) -> None:
+    """Forced games lose their old rows first, so that those without new ones keep none."""
+    if force:
+        sinks.note_games(spark, games, root, layer, datasets, done=False)
+        for dataset in datasets:
+            sinks.clear_games(spark, games, sinks.dataset_path(root, layer, dataset))
 
 
 def land_pbp(spark: SparkSession, manifest: DataFrame, season_files, root: str, force: bool = False) -> None:
-    """Season play-by-play files -> one partition per manifest game, rows and columns unchanged."""
+    """Season play-by-play files -> one partition per manifest game, rows and columns unchanged.
+
+    Games without rows in the files are left pending and raised once the others have landed.
+    """
     games = sinks.pending_games(spark, manifest, root, "bronze", ["pbp"], force)
     if games.isEmpty():
         return
     season = files.read_season_pbp(spark, season_files)
-    _fail_if_any(scope.games_without_rows(games, season), "no play-by-play rows for")
-    rows = scope.pbp_of_games(season, games)
-    sinks.write_games(rows, sinks.dataset_path(root, "bronze", "pbp"), ["EVENTNUM"])
+    _start(spark, games, root, "bronze", ["pbp"], True)
+    path = sinks.dataset_path(root, "bronze", "pbp")
+    sinks.write_games(scope.pbp_of_games(season, games), path, ["EVENTNUM"])
+    written = sinks.games_on_disk(spark, path).select("game_id")
+    sinks.note_games(spark, games.join(written, "game_id", "left_semi"), root, "bronze", ["pbp"])
+    _raise_for(games.join(written, "game_id", "left_anti"), EmptyGames, "no play-by-play rows for")
 
 
 def land_tracking(spark: SparkSession, manifest: DataFrame, root: str, force: bool = False) -> None:
     """Tracking documents -> typed event windows, once, for all later jobs.
 
     Each document is parsed by one task and stays one file; the row groups inside can be read
-    in parallel.
+    in parallel. Games whose document has not arrived stay pending and are raised at the end.
     """
     games = sinks.pending_games(spark, manifest, root, "bronze", ["tracking_event"], force)
     if games.isEmpty():
         return
-    documents = files.read_tracking_documents(spark, sinks.dataset_path(root, "bronze", "tracking"))
-    rows = moments.decode_events(moments.raw_event_rows(_of_games(documents, games)))
-    sinks.write_games(rows, sinks.dataset_path(root, "bronze", "tracking_event"), gather=False)
-    sinks.record_empty_games(spark, games, root, "bronze", "tracking_event")
+    source = sinks.dataset_path(root, "bronze", "tracking")
+    arrived = sinks.games_on_disk(spark, source)
+    there = games.join(arrived.select("game_id"), "game_id", "left_semi")
+    _start(spark, there, root, "bronze", ["tracking_event"], force)
+    if not there.isEmpty():
+        documents = files.read_tracking_documents(spark, source)
+        rows = moments.decode_events(moments.raw_event_rows(_of_games(documents, there)))
+        path = sinks.dataset_path(root, "bronze", "tracking_event")
+        sinks.write_games(rows, path, gather=False, row_group_bytes=sinks.WINDOW_ROW_GROUP_BYTES)
+        sinks.note_games(spark, there, root, "bronze", ["tracking_event"])
+    _raise_for(games.join(arrived.select("game_id"), "game_id", "left_anti"), MissingInput, "no tracking document for")
+
+
+def _landed(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    """Games that the landed table knows: by the ledger, or by rows that another writer put there."""
+    noted = sinks.finished_games(spark, root, "bronze", dataset)
+    return noted.union(sinks.games_on_disk(spark, sinks.dataset_path(root, "bronze", dataset))).select("game_id").distinct()
 
 
 def _tracking_events(spark: SparkSession, root: str) -> DataFrame:
@@ -78,30 +105,50 @@ def build_tracking(spark: SparkSession, manifest: DataFrame, root: str, force: b
     """Event windows -> ``tracking_moment`` and ``player_location``.
 
     The two tables are two passes on purpose: the moment pass moves no player positions.
-    Returns the number of moments dropped for want of a timestamp.
+    Returns the number of moments dropped for want of a timestamp; ``malformed_moments`` counts those that
+    could not be decoded.
     """
     outputs = ["tracking_moment", "player_location"]
     games = sinks.pending_games(spark, manifest, root, "silver", outputs, force)
     if games.isEmpty():
         return 0
-    windows = _of_games(_tracking_events(spark, root), games)
-    kept = moments.dedup_moments(moments.moment_rows(windows))
-    tables = {outputs[0]: moments.moment_table(kept), outputs[1]: moments.player_location_table(kept)}
-    for dataset, table in tables.items():
-        sinks.write_games(table, sinks.dataset_path(root, "silver", dataset), ["moment_id"])
-        sinks.record_empty_games(spark, games, root, "silver", dataset)
-    return moments.null_timestamp_counts(windows).agg(F.sum("dropped")).first()[0] or 0
+    landed = _landed(spark, root, "tracking_event")
+    there = games.join(landed, "game_id", "left_semi")
+    waiting = games.join(landed, "game_id", "left_anti")
+    dropped = 0
+    if not there.isEmpty():
+        _start(spark, there, root, "silver", outputs, force)
+        windows = _of_games(_tracking_events(spark, root), there)
+        kept = moments.dedup_moments(moments.moment_rows(windows))
+        tables = {outputs[0]: moments.moment_table(kept), outputs[1]: moments.player_location_table(kept)}
+        for dataset, table in tables.items():
+            sinks.write_games(table, sinks.dataset_path(root, "silver", dataset), ["moment_id"])
+        sinks.note_games(spark, there, root, "silver", outputs)
+        dropped = moments.null_timestamp_counts(windows).agg(F.sum("dropped")).first()[0] or 0
+    _raise_for(waiting, MissingInput, "no tracking landed for")
+    return dropped
+
+
+def malformed_moments(spark: SparkSession, manifest: DataFrame, root: str) -> DataFrame:
+    """``(game_id, malformed)`` of manifest games with listed moments that could not be decoded."""
+    return moments.malformed_counts(_of_games(_tracking_events(spark, root), manifest))
 
 
 def build_headers(spark: SparkSession, manifest: DataFrame, root: str, force: bool = False) -> None:
-    """Event headers -> per-game slices of players, teams, games and rosters."""
-    games = sinks.pending_games(spark, manifest, root, "silver", list(SILVER_DIMS), force)
+    """Event headers -> per-game slices of players, teams, games and rosters.
+
+    Games whose document lists no event, or has not landed, stay pending and are raised at the end.
+    """
+    outputs = list(SILVER_DIMS)
+    games = sinks.pending_games(spark, manifest, root, "silver", outputs, force)
     if games.isEmpty():
         return
     landed = _of_games(_tracking_events(spark, root), games)
-    _fail_if_any(headers.games_without_events(games, landed), "tracking document has no events for")
     # Positions are numbered from 0 at landing, so this filter reaches the file scan.
     first = headers.first_headers(landed.where("event_pos = 0"))
+    empty = headers.games_without_events(games, first)
+    there = games.join(empty, "game_id", "left_anti")
+    _start(spark, there, root, "silver", outputs, force)
     slices = {
         "dim_player": headers.player_rows(first),
         "dim_team": headers.team_rows(first),
@@ -110,24 +157,39 @@ def build_headers(spark: SparkSession, manifest: DataFrame, root: str, force: bo
     }
     for dataset in SILVER_DIMS:
         sinks.write_games(slices[dataset], sinks.dataset_path(root, "silver", dataset))
-        sinks.record_empty_games(spark, games, root, "silver", dataset)
+    sinks.note_games(spark, there, root, "silver", outputs)
+    _raise_for(empty, EmptyGames, "tracking document has no events for")
 
 
 def build_shot_locations(
     spark: SparkSession, manifest: DataFrame, root: str, force: bool = False, exclude_games: tuple[str, ...] = ()
 ) -> None:
-    """Play-by-play shots and event windows -> ``shot_location``; excluded games get no rows."""
-    games = sinks.pending_games(spark, manifest, root, "silver", ["shot_location"], force)
+    """Play-by-play shots and event windows -> ``shot_location``.
+
+    Excluded games have no rows afterwards, whatever earlier runs wrote, and stay pending. So do games without
+    landed play-by-play or windows, which are raised at the end.
+    """
+    output = ["shot_location"]
+    path = sinks.dataset_path(root, "silver", "shot_location")
+    excluded = F.col("game_id").isin(*exclude_games)
+    if exclude_games:
+        sinks.note_games(spark, manifest.where(excluded), root, "silver", output, done=False)
+        sinks.clear_games(spark, manifest.where(excluded), path)
+    games = sinks.pending_games(spark, manifest.where(~excluded) if exclude_games else manifest, root, "silver", output, force)
     if games.isEmpty():
         return
-    if exclude_games:
-        games = games.where(~F.col("game_id").isin(*exclude_games))
-    pbp = _of_games(files.read_pbp(spark, sinks.dataset_path(root, "bronze", "pbp")), games)
-    shots = trajectory.shot_attempts(pbp, F.col("game_id"), "season")
-    windows = trajectory.rim_windows(_of_games(_tracking_events(spark, root), games))
-    located = trajectory.locate_shots(shots, windows)
-    sinks.write_games(located, sinks.dataset_path(root, "silver", "shot_location"), ["event_id"])
-    sinks.record_empty_games(spark, games, root, "silver", "shot_location")
+    landed = _landed(spark, root, "pbp").join(_landed(spark, root, "tracking_event"), "game_id", "left_semi")
+    there = games.join(landed, "game_id", "left_semi")
+    waiting = games.join(landed, "game_id", "left_anti")
+    if not there.isEmpty():
+        _start(spark, there, root, "silver", output, force)
+        pbp = _of_games(files.read_pbp(spark, sinks.dataset_path(root, "bronze", "pbp")), there)
+        shots = trajectory.shot_attempts(pbp, F.col("game_id"), "season")
+        listed = _of_games(_tracking_events(spark, root), there)
+        windows = trajectory.rim_windows(trajectory.shot_windows(listed, shots))
+        sinks.write_games(trajectory.locate_shots(shots, windows), path, ["event_id"])
+        sinks.note_games(spark, there, root, "silver", output)
+    _raise_for(waiting, MissingInput, "no play-by-play or no tracking landed for")
 
 
 def build_events(spark: SparkSession, root: str) -> None:
@@ -139,8 +201,18 @@ def build_events(spark: SparkSession, root: str) -> None:
     sinks.write_clustered(participants, sinks.dataset_path(root, "silver", "event_participant"), partition, cluster)
 
 
-def build_dimensions(spark: SparkSession, root: str, seasons=SEASONS) -> None:
-    """Per-game slices -> conformed dimensions and the open load of roster stints."""
+def _known_seasons(roster: DataFrame, season: DataFrame) -> None:
+    """A roster row of a season without calendar would vanish from the join: raise instead."""
+    found = sorted(str(row.season_id) for row in scd2.season_orphans(roster, season).select("season_id").distinct().collect())
+    if found:
+        raise UnknownSeasons(f"roster rows of seasons without calendar: {found}")
+
+
+def build_dimensions(spark: SparkSession, root: str, seasons) -> None:
+    """Per-game slices -> conformed dimensions and the open load of roster stints.
+
+    ``seasons`` is the calendar: start year, label, first and last day. It has to know every season of the rosters.
+    """
 
     def read(dataset: str, schema: str) -> DataFrame:
         return files.read_table(spark, sinks.dataset_path(root, "silver", dataset), schema)
@@ -149,12 +221,13 @@ def build_dimensions(spark: SparkSession, root: str, seasons=SEASONS) -> None:
         sinks.write_clustered(df, sinks.dataset_path(root, "conformed", dataset), [], [key])
 
     season = conformed.dim_season(spark, seasons)
+    roster = read("roster", schemas.ROSTER_RAW)
+    _known_seasons(roster, season)
     write(conformed.dim_player(read("dim_player", schemas.DIM_PLAYER_RAW)), "dim_player", "player_id")
     write(conformed.dim_team(read("dim_team", schemas.DIM_TEAM_RAW)), "dim_team", "team_id")
     write(conformed.dim_game(read("dim_game", schemas.DIM_GAME_RAW)), "dim_game", "game_id")
     write(season, "dim_season", "season_id")
-    stints = scd2.open_stints(read("roster", schemas.ROSTER_RAW), season)
-    write(stints, "player_team_season", "player_id")
+    write(scd2.open_stints(roster, season), "player_team_season", "player_id")
 
 
 def build_gold(spark: SparkSession, root: str) -> None:
@@ -166,10 +239,12 @@ def build_gold(spark: SparkSession, root: str) -> None:
     sinks.write_clustered(mart, path, ["season_start_year"], ["game_id", "period", "event_id"])
 
 
-def advance_rosters(spark: SparkSession, snapshot: str, roster: DataFrame, target: str, seasons=SEASONS) -> None:
+def advance_rosters(spark: SparkSession, snapshot: str, roster: DataFrame, target: str, seasons) -> None:
     """Roster snapshot and a batch of roster rows -> the next snapshot, written beside the old one."""
     if snapshot.rstrip("/") == target.rstrip("/"):
         raise ValueError("the next snapshot needs a path of its own")
     current = files.read_table(spark, snapshot, schemas.PLAYER_TEAM_SEASON)
-    batch = scd2.open_stints(roster, conformed.dim_season(spark, seasons))
+    season = conformed.dim_season(spark, seasons)
+    _known_seasons(roster, season)
+    batch = scd2.open_stints(roster, season)
     sinks.write_clustered(scd2.apply_batch(current, batch), target, [], ["player_id"])

@@ -3,48 +3,80 @@
 Queries take one game, or ``game_id=None`` for all games at once; results carry ``game_id``.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rimline.functions.court import fold_x, fold_y
-from rimline.functions.keys import game_label
+from rimline.functions.keys import game_label, season_start_year
 
 RESULTS = ("All", "Made", "Missed")
 SHOT_TYPES = ("All", "2PT", "3PT")
 
 
 def _of_game(gold: DataFrame, game_id: str | None) -> DataFrame:
-    return gold if game_id is None else gold.where(F.col("game_id") == game_id)
+    """One game's rows; the season in its id skips the directories of all other seasons."""
+    if game_id is None:
+        return gold
+    # Folded to a literal, so it prunes directories; an id without a season finds its rows by the id alone.
+    in_season = F.col("season_start_year") == season_start_year(F.lit(game_id)) if game_id[3:5].isdigit() else F.lit(True)
+    return gold.where(in_season & (F.col("game_id") == game_id))
 
 
-def list_games(gold: DataFrame, dim_game: DataFrame, dim_team: DataFrame) -> DataFrame:
-    """Games with a located shot, oldest first, labelled 'AWAY @ HOME · DATE'.
+# The order of each list; ``place`` columns number rows by the same.
+GAME_ORDER = ("game_date", "game_id")
+PLAYER_ORDER = ("-located_shots", "event_player_name")
+SHOT_ORDER = ("period", "-event_clock_seconds", "event_id")
 
-    The mart shrinks to one row per game before it meets the dimensions.
-    """
+
+def _order(names: tuple[str, ...]) -> list[Column]:
+    """Columns of an order; a minus means descending."""
+    return [F.desc(n[1:]) if n.startswith("-") else F.asc(n) for n in names]
+
+
+def _numbered(df: DataFrame, within: str, order) -> DataFrame:
+    return df.withColumn("place", F.row_number().over(Window.partitionBy(within).orderBy(*_order(order))).cast("bigint"))
+
+
+def _labelled_games(gold: DataFrame, dim_game: DataFrame, dim_team: DataFrame) -> DataFrame:
+    """The mart shrinks to one row per game before it meets the dimensions."""
     located = gold.where("has_shot_location").select("game_id").distinct()
     team = dim_team.select("team_id", "abbreviation")
     home = team.select(F.col("team_id").alias("home_team_id"), F.col("abbreviation").alias("home"))
     away = team.select(F.col("team_id").alias("away_team_id"), F.col("abbreviation").alias("away"))
-    labelled = (
-        located.join(dim_game, "game_id")
-        .join(home, "home_team_id")
-        .join(away, "away_team_id")
-        .select("game_id", game_label(F.col("away"), F.col("home"), F.col("game_date")).alias("label"), "game_date")
-    )
-    return labelled.orderBy("game_date", "game_id").select("game_id", "label")
+    label = game_label(F.col("away"), F.col("home"), F.col("game_date")).alias("label")
+    met = located.join(dim_game, "game_id").join(home, "home_team_id").join(away, "away_team_id")
+    return met.select("game_id", label, "season_id", "game_date")
+
+
+def list_games(gold: DataFrame, dim_game: DataFrame, dim_team: DataFrame) -> DataFrame:
+    """Games with a located shot, oldest first, labelled 'AWAY @ HOME · DATE'."""
+    return _labelled_games(gold, dim_game, dim_team).orderBy(*_order(GAME_ORDER)).select("game_id", "label")
+
+
+def games_in_order(gold: DataFrame, dim_game: DataFrame, dim_team: DataFrame) -> DataFrame:
+    """The listed games with their place in their season."""
+    games = _numbered(_labelled_games(gold, dim_game, dim_team), "season_id", GAME_ORDER)
+    return games.select("game_id", "label", "season_id", "place")
+
+
+def _actors(gold: DataFrame, game_id: str | None) -> DataFrame:
+    acted = _of_game(gold, game_id).where("event_player_name IS NOT NULL")
+    return acted.groupBy("game_id", "event_player_name").agg(F.count_if("has_shot_location").alias("located_shots"))
 
 
 def list_players(gold: DataFrame, game_id: str | None = None) -> DataFrame:
     """Everyone who acted in a game, most located shots first; grouped by name."""
-    acted = _of_game(gold, game_id).where("event_player_name IS NOT NULL")
-    counted = acted.groupBy("game_id", "event_player_name").agg(F.count_if("has_shot_location").alias("located_shots"))
-    return counted.orderBy("game_id", F.desc("located_shots"), "event_player_name")
+    return _actors(gold, game_id).orderBy("game_id", *_order(PLAYER_ORDER))
+
+
+def players_in_order(gold: DataFrame, game_id: str | None = None) -> DataFrame:
+    """The listed players with their place in their game."""
+    return _numbered(_actors(gold, game_id), "game_id", PLAYER_ORDER)
 
 
 def get_shots(gold: DataFrame, game_id: str | None = None) -> DataFrame:
     """Located shots in playing order."""
     shots = _of_game(gold, game_id).where("has_shot_location")
-    return shots.orderBy("game_id", "period", F.desc("event_clock_seconds")).select(
+    return shots.orderBy("game_id", *_order(SHOT_ORDER)).select(
         "game_id",
         "event_player_name",
         "shooter_x",
@@ -58,6 +90,11 @@ def get_shots(gold: DataFrame, game_id: str | None = None) -> DataFrame:
     )
 
 
+def shots_in_order(gold: DataFrame, game_id: str | None = None) -> DataFrame:
+    """The mart's located shots with their place in their game."""
+    return _numbered(_of_game(gold, game_id).where("has_shot_location"), "game_id", SHOT_ORDER)
+
+
 def _matches(result: str, shot_type: str) -> Column:
     made, three = F.col("shot_made_flag"), F.col("is_three")
     by_result = {"All": F.lit(True), "Made": made, "Missed": ~made}[result]

@@ -1,19 +1,29 @@
-"""Sinks: per-game partitions, full rebuilds, and the games a sink already holds."""
+"""Sinks: per-game partitions, full rebuilds, and a ledger of the games that are finished."""
+
+import time
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 GAME_KEYS = ["season", "game_id"]
+_KEYS_DDL = "season STRING, game_id STRING"
+_LEDGER_DDL = f"{_KEYS_DDL}, at BIGINT, done BOOLEAN"
 # Event windows are wide rows; small row groups bound the memory of one read batch.
 WINDOW_ROW_GROUP_BYTES = 32 * 1024 * 1024
 
 
 def dataset_path(root: str, layer: str, dataset: str) -> str:
-    """``<root>/<layer>/<dataset>``; below it lie ``season=<s>/game_id=<g>`` directories."""
-    return "/".join([str(root).rstrip("/"), layer, dataset])
+    """Where a table of the lake lies; per-game tables have season and game directories inside."""
+    lake = str(root)
+    while lake.endswith("/"):
+        lake = lake[:-1]
+    return f"{lake}/{layer}/{dataset}"
 
 
-def write_games(df: DataFrame, path: str, sort_by: list[str] | None = None, gather: bool = True) -> None:
+def write_games(
+    df: DataFrame, path: str, sort_by: list[str] | None = None, gather: bool = True, row_group_bytes: int | None = None
+) -> None:
     """Replace the partitions of the games in ``df`` and leave all other games alone.
 
     ``gather`` brings the rows of a game together, so a game is a few files rather than one
@@ -23,66 +33,95 @@ def write_games(df: DataFrame, path: str, sort_by: list[str] | None = None, gath
     rows = df.hint("rebalance", *GAME_KEYS) if gather else df
     if sort_by:
         rows = rows.sortWithinPartitions(*GAME_KEYS, *sort_by)
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("parquet.block.size", WINDOW_ROW_GROUP_BYTES)
-        .partitionBy(*GAME_KEYS)
-        .parquet(path)
-    )
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
+    writer.partitionBy(*GAME_KEYS).parquet(path)
 
 
 def write_clustered(df: DataFrame, path: str, partition_by: list[str], cluster_by: list[str]) -> None:
     """Rebuild a table, files ordered by ``cluster_by`` so that a read of one game opens few of them.
 
     Ranges split a large game over tasks. The input partition number is the last range
-    column, so even many equal rows spread out.
+    column, so even many equal rows spread out. The new table is written beside the old one and
+    takes its place when it is whole, so a failed rebuild leaves the old table as it was.
     """
     order = [*partition_by, *cluster_by]
     ranged = df.withColumn("_part", F.spark_partition_id()).repartitionByRange(*order, "_part").drop("_part")
+    beside = f"{path}__next"
     writer = ranged.sortWithinPartitions(*order).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.parquet(beside)
+    _take_place(df.sparkSession, beside, path)
 
 
-def use_checkpoints(spark: SparkSession, root: str) -> None:
-    """Use the cluster's shared checkpoint folder; where none is named, one beside the tables."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or dataset_path(root, "work", "checkpoints"))
+def _file_system(spark: SparkSession, path: str):
+    """The file system that holds the path, and the path as it knows it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
 
 
-def _read_if_exists(spark: SparkSession, path: str) -> DataFrame:
-    keys = "season STRING, game_id STRING"
-    try:
-        return spark.read.schema(keys).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], keys)
+def _take_place(spark: SparkSession, beside: str, path: str) -> None:
+    system, new = _file_system(spark, beside)
+    _, here = _file_system(spark, path)
+    _, old = _file_system(spark, f"{path}__old")
+    system.delete(old, True)
+    if system.exists(here) and not system.rename(here, old):
+        raise OSError(f"cannot move {path} aside")
+    if not system.rename(new, here):
+        raise OSError(f"cannot move {beside} to {path}")
+    system.delete(old, True)
 
 
-def _empty_games_path(root: str, layer: str, dataset: str) -> str:
-    return dataset_path(root, "empty_games", f"{layer}_{dataset}")
+def games_on_disk(spark: SparkSession, path: str) -> DataFrame:
+    """``(season, game_id)`` of the game directories, by their names alone."""
+    system, where = _file_system(spark, f"{path}/season=*/game_id=*")
+    value = lambda p: p.getName().partition("=")[2]
+    found = [status.getPath() for status in system.globStatus(where) or []]
+    return spark.createDataFrame([(value(p.getParent()), value(p)) for p in found], _KEYS_DDL)
 
 
-def games_in_sink(spark: SparkSession, root: str, layer: str, dataset: str) -> DataFrame:
-    """Games that the dataset holds, those recorded as having no rows included.
+def clear_games(spark: SparkSession, games: DataFrame, path: str) -> None:
+    """Remove the rows of the games; what is not there needs no removal.
 
-    Only directory names and file footers are read.
+    One row per removed game comes to the driver.
     """
-    written = _read_if_exists(spark, dataset_path(root, layer, dataset))
-    empty = _read_if_exists(spark, _empty_games_path(root, layer, dataset))
-    return written.select("game_id").unionByName(empty.select("game_id")).distinct()
+    there = games_on_disk(spark, path).join(games.select(*GAME_KEYS), GAME_KEYS, "left_semi")
+    for row in there.distinct().collect():
+        system, where = _file_system(spark, f"{path}/season={row.season}/game_id={row.game_id}")
+        system.delete(where, True)
 
 
-def record_empty_games(spark: SparkSession, games: DataFrame, root: str, layer: str, dataset: str) -> None:
-    """Remember games that were processed but gave no rows, as they leave no directory behind."""
-    written = games_in_sink(spark, root, layer, dataset)
-    empty = games.select(*GAME_KEYS).join(written, "game_id", "left_anti")
-    empty.write.mode("append").parquet(_empty_games_path(root, layer, dataset))
+def _ledger_path(root: str, layer: str, dataset: str) -> str:
+    return dataset_path(root, "ledger", f"{layer}_{dataset}")
+
+
+def note_games(
+    spark: SparkSession, games: DataFrame, root: str, layer: str, datasets: list[str], done: bool = True
+) -> None:
+    """Add a line per game and dataset to the ledger. The latest line of a game holds.
+
+    Written after the rows, so a game is finished only if all its rows are there.
+    """
+    lines = games.select(*GAME_KEYS, F.lit(time.time_ns()).alias("at"), F.lit(done).alias("done")).distinct()
+    for dataset in datasets:
+        lines.write.mode("append").parquet(_ledger_path(root, layer, dataset))
+
+
+def finished_games(spark: SparkSession, root: str, layer: str, dataset: str) -> DataFrame:
+    """``(season, game_id)`` of games whose rows are all written, games without any rows included.
+
+    Reads the ledger, which has a line per game and run, and never the table.
+    """
+    try:
+        lines = spark.read.schema(_LEDGER_DDL).parquet(_ledger_path(root, layer, dataset))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        lines = spark.createDataFrame([], _LEDGER_DDL)
+    latest = lines.groupBy("game_id").agg(F.max(F.struct("at", "done", "season")).alias("last"))
+    return latest.where("last.done").select("last.season", "game_id")
 
 
 def pending_games(
@@ -90,12 +129,11 @@ def pending_games(
 ) -> DataFrame:
     """Manifest games that lack at least one of the outputs; with ``force`` all of them.
 
-    The list is fixed by a checkpoint, since the job goes on to write the sinks it came from.
+    The ledger's files are listed here once, so the list stays as it is while the job notes
+    its own games.
     """
-    use_checkpoints(spark, root)
     if force:
-        return manifest.checkpoint()
-    complete = games_in_sink(spark, root, layer, datasets[0])
-    for dataset in datasets[1:]:
-        complete = complete.join(games_in_sink(spark, root, layer, dataset), "game_id", "left_semi")
-    return manifest.join(complete, "game_id", "left_anti").checkpoint()
+        return manifest
+    complete = [finished_games(spark, root, layer, dataset).select("game_id") for dataset in datasets]
+    every = reduce(lambda a, b: a.join(b, "game_id", "left_semi"), complete)
+    return manifest.join(every, "game_id", "left_anti")

@@ -1,6 +1,8 @@
 """Readers. Keys in directory names come back as strings and prune directories."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rimline import schemas
 from rimline.operators.manifest import manifest_subset, missing_games
@@ -22,7 +24,7 @@ def load_manifest(spark: SparkSession, path: str, game_ids: list[str] | None = N
     requested = spark.createDataFrame([(g,) for g in sorted(set(game_ids))], "game_id string")
     unknown = [row.game_id for row in missing_games(requested, manifest).collect()]
     if unknown:
-        raise UnknownGames(f"game_id(s) not in manifest: {sorted(unknown)}")
+        raise UnknownGames(f"the manifest does not list {len(unknown)} of the games asked for: {sorted(unknown)}")
     return manifest_subset(manifest, requested)
 
 
@@ -31,22 +33,55 @@ def read_tracking_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.TRACKING_DOCUMENT).option("multiLine", True).json(path)
 
 
-def read_season_pbp(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Season play-by-play files in one scan, whatever their number.
+class MistypedFields(ValueError):
+    """Text in a season file that does not fit the type of its column."""
+
+
+def _typed(name: str) -> Column:
+    """A text field as its column's type: whole numbers may be written as 12 or as 12.0; empty text is NULL."""
+    kind = schemas.PBP_TYPES[name].lower()
+    text = F.nullif(F.trim(F.col(name)), F.lit(""))
+    if kind not in ("bigint", "int"):
+        return F.col(name) if kind == "string" else text.try_cast(kind)
+    number = text.try_cast("decimal(38,10)")
+    return F.when(number == F.floor(number), number).try_cast(kind)
+
+
+def typed_pbp(rows: DataFrame) -> DataFrame:
+    """Text rows with the columns in use typed. ``mistyped`` counts the fields of a row that lose their text.
+
+    A column in use that the rows lack is NULL; other columns stay text.
+    """
+    wanted = [n for n in schemas.PBP_TYPES if n in rows.columns]
+    lost = [F.nullif(F.trim(F.col(n)), F.lit("")).isNotNull() & _typed(n).isNull() for n in wanted]
+    others = [F.col(n) for n in rows.columns if n not in schemas.PBP_TYPES]
+    absent = [F.lit(None).cast(t.lower()).alias(n) for n, t in schemas.PBP_TYPES.items() if n not in rows.columns]
+    mistyped = sum((flag.cast("int") for flag in lost), F.lit(0))
+    return rows.select(*[_typed(n).alias(n) for n in wanted], *absent, *others, mistyped.alias("mistyped"))
+
+
+def _season_paths(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The season files themselves, one per season."""
+    listed = spark.read.format("binaryFile").load(paths).select("path")
+    return sorted(row.path for row in listed.collect())
+
+
+def read_season_pbp(spark: SparkSession, paths: str | list[str], check: bool = True) -> DataFrame:
+    """Season play-by-play files, each read by its own header and matched by column name.
 
-    Columns are found by their header names, which every file must share. Columns in use get
-    their types, the others stay text.
+    A column that one file lacks is NULL there. Columns in use get their types, the others stay text. With
+    ``check``, text that does not fit its column's type is counted in one pass and raised.
     """
-    names = spark.read.option("header", True).csv(paths).columns
-    text = ", ".join(f"`{name}` STRING" for name in names)
-    rows = (
-        spark.read.schema(text)
-        .options(header=True, enforceSchema=False, escape='"')
-        .csv(paths)
-    )
-    return rows.select(
-        *[F.col(n).try_cast(schemas.PBP_TYPES[n].lower()).alias(n) if n in schemas.PBP_TYPES else F.col(n) for n in names]
-    )
+    text = [
+        spark.read.options(header=True, inferSchema=False, escape='"').csv(path)
+        for path in _season_paths(spark, paths)
+    ]
+    rows = typed_pbp(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), text))
+    if check:
+        lost = rows.agg(F.sum("mistyped")).first()[0]
+        if lost:
+            raise MistypedFields(f"{lost} field(s) of the season files do not fit the type of their column")
+    return rows.drop("mistyped")
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rimline import schemas
 from rimline.operators.moments import decode_events, raw_event_rows
-from rimline.sinks.tables import dataset_path, write_games
+from rimline.sinks.tables import WINDOW_ROW_GROUP_BYTES, dataset_path, note_games, write_games
 
 
 def land_new_documents(spark: SparkSession, root: str, checkpoint: str, files_per_batch: int = 1000):
@@ -22,7 +22,10 @@ def land_new_documents(spark: SparkSession, root: str, checkpoint: str, files_pe
     target = dataset_path(root, "bronze", "tracking_event")
 
     def land(batch: DataFrame, _batch_id: int) -> None:
-        write_games(decode_events(raw_event_rows(batch)), target, gather=False)
+        rows = decode_events(raw_event_rows(batch))
+        write_games(rows, target, gather=False, row_group_bytes=WINDOW_ROW_GROUP_BYTES)
+        # A document is read again for its keys only; documents without events are noted, too.
+        note_games(batch.sparkSession, batch.select("season", "game_id"), root, "bronze", ["tracking_event"])
 
     return (
         documents.writeStream.trigger(availableNow=True)

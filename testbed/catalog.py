@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rimline.functions import keys, play
 from rimline.operators import headers, manifest, moments, participants, quality, scd2, trajectory
 from rimline.plans import conformed, event, gold, serving
+from rimline.sources import files
 from testbed import derive
 
 HOME_SIDE = "BUILDING"
@@ -72,12 +73,12 @@ def _dim_team(spark, sf_dir):
     return conformed.dim_team(derive.dim_team_slices(spark, sf_dir))
 
 
-def _seasons(spark):
+def _calendar(spark):
     return conformed.dim_season(spark, derive.season_rows())
 
 
 def _stints(spark, sf_dir):
-    return scd2.open_stints(derive.roster(spark, sf_dir), _seasons(spark))
+    return scd2.open_stints(derive.roster(spark, sf_dir), derive.seasons(spark, sf_dir))
 
 
 def _loaded(spark, sf_dir):
@@ -119,6 +120,15 @@ def overlong_ids(spark, sf_dir):
     return quality.overlong_ids(pbp.select(joined.alias("GAME_ID")))
 
 
+@query
+def pbp_typed(spark, sf_dir):
+    """Text fields typed: whole numbers in any form, empty text, and text that does not fit."""
+    typed = files.typed_pbp(derive.pbp_text(spark, sf_dir))
+    return typed.select(
+        "GAME_ID", "EVENTNUM", "EVENTMSGTYPE", "PERIOD", "PERSON1TYPE", "PCTIMESTRING", "PLAYER2_ID", "mistyped"
+    )
+
+
 # Play-by-play conform.
 
 
@@ -334,8 +344,15 @@ def dim_game(spark, sf_dir):
 
 @query
 def dim_season(spark, sf_dir):
-    """Calendar rows of the seasons that have a roster."""
-    return _seasons(spark).join(derive.roster(spark, sf_dir).select("season_id").distinct(), "season_id", "left_semi")
+    """Calendar rows of the known seasons that have a roster."""
+    return _calendar(spark).join(derive.roster(spark, sf_dir).select("season_id").distinct(), "season_id", "left_semi")
+
+
+@query
+def roster_season_orphans(spark, sf_dir):
+    """Seasons of roster rows that the literal calendar lacks."""
+    orphans = scd2.season_orphans(derive.roster(spark, sf_dir), _calendar(spark))
+    return orphans.groupBy("season_id").agg(F.count("*").alias("n"))
 
 
 @query
@@ -403,6 +420,34 @@ def roster_lines(spark, sf_dir):
     return serving.roster_lines(_gold(spark, sf_dir))
 
 
+# Serving of one game, and the order of lists as a column.
+
+
+@query
+def list_players_of_game(spark, sf_dir):
+    return serving.list_players(_gold(spark, sf_dir), derive.SERVED_GAME)
+
+
+@query
+def get_shots_of_game(spark, sf_dir):
+    return serving.get_shots(_gold(spark, sf_dir), derive.SERVED_GAME)
+
+
+@query
+def games_in_order(spark, sf_dir):
+    return serving.games_in_order(_gold(spark, sf_dir), _dim_game(spark, sf_dir), _dim_team(spark, sf_dir))
+
+
+@query
+def players_in_order(spark, sf_dir):
+    return serving.players_in_order(_gold(spark, sf_dir))
+
+
+@query
+def shots_in_order(spark, sf_dir):
+    return serving.shots_in_order(_gold(spark, sf_dir)).select("game_id", "event_id", "place")
+
+
 # Quality.
 
 

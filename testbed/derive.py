@@ -14,7 +14,9 @@ from rimline.operators.trajectory import shot_attempts
 FRAMES = 40
 TEAM_BASE = 1610612737
 PLAYER_BASE = 200000
-SEASON_YEARS = range(1990, 2041)
+# A literal calendar that lacks the later seasons of the rosters.
+KNOWN_SEASONS = range(1990, 1997)
+SERVED_GAME = "0021500004"
 
 
 # The columns in use of the given tables.
@@ -94,15 +96,6 @@ def shots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shot_attempts(pbp_raw(spark, sf_dir), canonical_game_id(F.col("GAME_ID")))
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Use all cores where a small file would be one task; larger inputs stay as they are.
-
-    One row per shot becomes a window of some 20 KB below, so the rows are worth moving first.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, "event_id")
-
-
 def _windows(spark: SparkSession, sf_dir: str, moments: str) -> DataFrame:
     """Two listings of each shot's window, the first one 50 ft off; every 13th shot has none.
 
@@ -111,7 +104,8 @@ def _windows(spark: SparkSession, sf_dir: str, moments: str) -> DataFrame:
     raw = table(spark, sf_dir, "events").select("event_id", "user_id")
     shots_only = raw.where("event_id % 18 IN (0, 1) AND event_id % 7 < 5 AND event_id % 13 <> 0")
     game = game_key(F.col("user_id"))
-    placed = _spread(shots_only).select(
+    # One row per shot becomes a window of some 20 KB below, so the rows are worth dealing out first.
+    placed = shots_only.repartition("event_id").select(
         season_label(season_start_year(game)).alias("season"),
         game.alias("game_id"),
         "event_id",
@@ -258,6 +252,29 @@ def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calendar with every season that has a roster row, late October to mid June."""
+    year = F.col("season_id")
+    return roster(spark, sf_dir).select("season_id").distinct().select(
+        "season_id",
+        season_label(year).alias("season_label"),
+        F.make_date(year, F.lit(10), F.lit(27)).alias("start_date"),
+        F.make_date(year + 1, F.lit(6), F.lit(19)).alias("end_date"),
+    )
+
+
 def season_rows() -> tuple:
-    """Literal season calendar, late October to mid June."""
-    return tuple((y, f"{y}-{(y + 1) % 100:02d}", f"{y}-10-27", f"{y + 1}-06-19") for y in SEASON_YEARS)
+    """Literal calendar of the known seasons."""
+    return tuple((y, f"{y}-{(y + 1) % 100:02d}", f"{y}-10-27", f"{y + 1}-06-19") for y in KNOWN_SEASONS)
+
+
+def pbp_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Play-by-play as text, as season files hold it: numbers written in several ways, gaps and faults in PERIOD."""
+    return pbp_raw(spark, sf_dir).selectExpr(
+        "string(GAME_ID) AS GAME_ID",
+        "IF(EVENTNUM % 2 = 0, EVENTNUM || '.0', string(EVENTNUM)) AS EVENTNUM",
+        "CASE EVENTNUM % 3 WHEN 0 THEN ' ' || EVENTMSGTYPE || ' ' WHEN 1 THEN EVENTMSGTYPE || '.00' ELSE string(EVENTMSGTYPE) END AS EVENTMSGTYPE",
+        "CASE EVENTNUM % 50 WHEN 0 THEN 'x' WHEN 1 THEN '' WHEN 2 THEN '1.5' ELSE string(PERIOD) END AS PERIOD",
+        "IF(EVENTNUM % 7 = 6, '', string(PERSON1TYPE)) AS PERSON1TYPE",
+        "PCTIMESTRING",
+    )

@@ -1,13 +1,16 @@
 """Jobs over a small lake: files in, tables out, and what a second run does."""
 
 import csv
+import json
 import os
+import pathlib
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from rimline import schemas
+from rimline.constants import SEASONS
 from rimline.operators import manifest as scope
 from rimline.plans import jobs, serving
 from rimline.sinks import tables as sinks
@@ -123,7 +126,7 @@ def test_whole_flow(spark, lake):
     assert run_games(spark, lake, list(GAMES[:2])) == 0
     jobs.build_headers(spark, files.load_manifest(spark, lake[1], list(GAMES[:2])), root)
     jobs.build_events(spark, root)
-    jobs.build_dimensions(spark, root)
+    jobs.build_dimensions(spark, root, SEASONS)
     jobs.build_gold(spark, root)
     moment_table = read(spark, root, "silver", "tracking_moment", schemas.MOMENT)
     assert rows(moment_table, "season", "game_id", "moment_id", "ball_z") == [
@@ -212,15 +215,122 @@ def test_excluded_games_have_no_shots(spark, lake):
     assert rows(shots, "game_id") == [(GAMES[0],)]
 
 
-def test_guards(spark, lake, tmp_path):
+def test_guards_name_every_faulty_game_and_do_the_others(spark, lake, tmp_path):
     root, manifest_path, season = lake
     manifest = files.read_manifest(spark, manifest_path)
-    absent = manifest.unionByName(spark.createDataFrame([("0021500001", "f", "d", "a", "h", "2015-16")], manifest.schema))
-    with pytest.raises(jobs.EmptyGames, match="0021500001"):
-        jobs.land_pbp(spark, absent, season, root)
-    jobs.land_tracking(spark, manifest, root)
+    absent = [f"00215{n:05d}" for n in range(1, 39)]
+    more = manifest.unionByName(spark.createDataFrame([(g, "f", "d", "a", "h", "2015-16") for g in absent], manifest.schema))
+    with pytest.raises(jobs.EmptyGames) as raised:
+        jobs.land_pbp(spark, more, season, root)
+    assert all(game in str(raised.value) for game in absent)
+    landed = files.read_pbp(spark, sinks.dataset_path(root, "bronze", "pbp"))
+    assert rows(landed.select("game_id").distinct()) == [(g,) for g in GAMES]
+    with pytest.raises(jobs.MissingInput, match=GAMES[2]):
+        jobs.land_tracking(spark, manifest, root)
     with pytest.raises(jobs.EmptyGames, match=GAMES[2]):
         jobs.build_headers(spark, manifest, root)
+    assert read(spark, root, "silver", "dim_game", schemas.DIM_GAME_RAW).count() == 2
+
+
+def test_late_document_is_picked_up_without_force(spark, lake):
+    root, manifest_path, season = lake
+    manifest = files.read_manifest(spark, manifest_path)
+    jobs.land_pbp(spark, manifest, season, root)
+    for job in (jobs.land_tracking, jobs.build_tracking, jobs.build_shot_locations):
+        with pytest.raises(jobs.MissingInput, match=GAMES[2]):
+            job(spark, manifest, root)
+    write_document(tmp(root) / "bronze" / "tracking", GAMES[2], game_events(5), SEASON[GAMES[2]])
+    before = stamps(root, "silver")
+    for job in (jobs.land_tracking, jobs.build_tracking, jobs.build_shot_locations):
+        job(spark, manifest, root)
+    table = read(spark, root, "silver", "tracking_moment", schemas.MOMENT)
+    assert rows(table.select("game_id").distinct()) == [(g,) for g in GAMES]
+    shots = read(spark, root, "silver", "shot_location", schemas.SHOT_LOCATION)
+    assert rows(shots, "game_id", "shooter_x") == [(g, 20.5) for g in GAMES]
+    assert set(before) <= set(stamps(root, "silver"))
+
+
+def tmp(root):
+    return pathlib.Path(root)
+
+
+def test_shots_wait_for_windows(spark, lake):
+    root, manifest_path, season = lake
+    manifest = files.load_manifest(spark, manifest_path, [GAMES[0]])
+    jobs.land_pbp(spark, manifest, season, root)
+    with pytest.raises(jobs.MissingInput, match=GAMES[0]):
+        jobs.build_shot_locations(spark, manifest, root)
+    jobs.land_tracking(spark, manifest, root)
+    jobs.build_shot_locations(spark, manifest, root)
+    shots = read(spark, root, "silver", "shot_location", schemas.SHOT_LOCATION)
+    assert rows(shots, "shooter_x") == [(20.5,)]
+
+
+def test_the_check_for_pending_games_reads_the_ledger_only(spark, lake):
+    root, manifest_path, _ = lake
+    run_games(spark, lake, list(GAMES[:2]))
+    pending = sinks.pending_games(spark, files.read_manifest(spark, manifest_path), root, "silver", ["tracking_moment"])
+    read_from = {os.path.dirname(path) for path in pending.inputFiles()}
+    assert read_from == {"file://" + os.path.dirname(manifest_path), f"file://{root}/ledger/silver_tracking_moment"}
+    assert rows(pending, "game_id") == [(GAMES[2],)]
+
+
+def test_excluded_games_lose_the_rows_they_had(spark, lake):
+    root, manifest_path, season = lake
+    manifest = files.load_manifest(spark, manifest_path, list(GAMES[:2]))
+    run_games(spark, lake, list(GAMES[:2]))
+    jobs.build_shot_locations(spark, manifest, root, exclude_games=(GAMES[1],))
+    shots = lambda: rows(read(spark, root, "silver", "shot_location", schemas.SHOT_LOCATION), "game_id")
+    assert shots() == [(GAMES[0],)]
+    jobs.build_shot_locations(spark, manifest, root, force=True, exclude_games=(GAMES[1],))
+    assert shots() == [(GAMES[0],)]
+    jobs.build_shot_locations(spark, manifest, root)
+    assert shots() == [(GAMES[0],), (GAMES[1],)]
+
+
+def test_forced_game_without_rows_keeps_none(spark, lake):
+    root, manifest_path, season = lake
+    run_games(spark, lake, list(GAMES[:2]))
+    write = lambda events: (tmp(root) / "bronze" / "tracking" / f"season={SEASON[GAMES[0]]}" / f"game_id={GAMES[0]}" / f"{GAMES[0]}.json").write_text(
+        json.dumps({"gamedate": "2015-12-25", "events": events})
+    )
+    write([{"eventId": "1", "moments": []}])
+    manifest = files.load_manifest(spark, manifest_path, [GAMES[0]])
+    jobs.land_tracking(spark, manifest, root, force=True)
+    jobs.build_tracking(spark, manifest, root, force=True)
+    table = read(spark, root, "silver", "tracking_moment", schemas.MOMENT)
+    assert rows(table.select("game_id").distinct()) == [(GAMES[1],)]
+
+
+def write_season(path, columns, *lines):
+    with open(path, "w", newline="") as f:
+        out = csv.writer(f)
+        out.writerow(columns)
+        out.writerows(lines)
+
+
+def test_season_files_of_other_shapes(spark, tmp_path):
+    write_season(tmp_path / "a.csv", ["GAME_ID", "EVENTNUM", "EVENTMSGTYPE", "PERIOD"], [21500001, 1, 1, 1])
+    write_season(tmp_path / "b.csv", ["PERIOD", "EVENTMSGTYPE", "GAME_ID", "EVENTNUM", "NEW"], ["2.0", "2.0", "21400001.0", "7.0", "x"])
+    pbp = files.read_season_pbp(spark, str(tmp_path))
+    assert rows(pbp, "GAME_ID", "EVENTNUM", "EVENTMSGTYPE", "PERIOD", "NEW", "PLAYER1_ID") == [
+        (21400001, 7, 2, 2, "x", None),
+        (21500001, 1, 1, 1, None, None),
+    ]
+
+
+def test_season_text_that_does_not_fit_is_raised(spark, tmp_path):
+    write_season(tmp_path / "a.csv", ["GAME_ID", "EVENTNUM", "PERIOD"], [21500001, 1, "one"], [21500001, "2.5", ""])
+    with pytest.raises(files.MistypedFields, match="2 field"):
+        files.read_season_pbp(spark, str(tmp_path))
+
+
+def test_rosters_of_unknown_seasons_are_raised(spark, tmp_path):
+    first = str(tmp_path / "first")
+    spark.createDataFrame([], schemas.PLAYER_TEAM_SEASON).write.parquet(first)
+    roster = spark.createDataFrame([(2015, 1, 7), (2099, 1, 7)], "season_id int, team_id long, player_id long")
+    with pytest.raises(jobs.UnknownSeasons, match="2099"):
+        jobs.advance_rosters(spark, first, roster, str(tmp_path / "second"), SEASONS)
 
 
 def test_stream_lands_each_document_once(spark, lake, tmp_path):
@@ -259,7 +369,7 @@ def test_roster_snapshots(spark, tmp_path):
 
 def test_tables_skip_other_directories(spark, lake):
     root, manifest_path, _ = lake
-    manifest = files.read_manifest(spark, manifest_path)
+    manifest = files.load_manifest(spark, manifest_path, list(GAMES[:2]))
     jobs.land_tracking(spark, manifest, root)
     events = files.read_table(spark, sinks.dataset_path(root, "bronze", "tracking_event"), schemas.TRACKING_EVENT)
     plan = events.where(F.col("game_id") == GAMES[0])._jdf.queryExecution().executedPlan().toString()

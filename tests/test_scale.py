@@ -61,6 +61,7 @@ def test_serving_reads_one_game_and_few_columns(spark, tmp_path):
     assert stored.count() == mart.count()
     text = plan(serving.get_shots(stored, "0021500004"))
     read = text.split("ReadSchema: ")[1]
+    assert "PartitionFilters: [isnotnull(season_start_year" in text and "= 2015)" in text
     assert "EqualTo(game_id,0021500004)" in text and "event_team_id" not in read and "ball_x" not in read
 
 
