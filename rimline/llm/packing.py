@@ -14,6 +14,7 @@ equal ids are packed as documents of their own; an empty table gives no rows.
 
 from __future__ import annotations
 
+import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
@@ -74,13 +75,30 @@ def core_and_tail(word: bytes) -> tuple[bytes, bytes]:
     punctuation, so after other than ASCII and Latin letters the word stays whole.
     """
     core = word.rstrip(PUNCTUATION)
+    tail = word[len(core) :]
     if b"<|" in word or not core:
         return word, b""
-    if len(core) < len(word):
-        last = core.decode()[-1] if core[-1] >= 128 else chr(core[-1])
-        if not (last.isascii() and last.isalnum() or "\u00c0" <= last <= "\u024f" and last.lower()[-1].isalpha()):
+    if tail and not core[-1:].isalnum():
+        last = core.decode()[-1]
+        if not ("\u00c0" <= last <= "\u024f" and last.lower()[-1].isalpha()):
             return word, b""
-    return core.lower(), word[len(core) :]
+    return core.lower(), tail
+
+
+def byte_signs() -> dict[int, int]:
+    """The sign that stands for each byte in byte-level vocabularies: printable Latin ones are themselves, the others follow from 256 on."""
+    own = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
+    others = [b for b in range(256) if b not in own]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+BYTE_SIGNS = byte_signs()
+
+
+def is_plain(part: bytes) -> bool:
+    """Whether folding changes nothing: Latin letters in lower case, composed."""
+    text = part.decode()
+    return text.isalpha() and max(text) <= "\u024f" and text == text.lower() and unicodedata.is_normalized("NFC", text)
 
 
 class WordIds:
@@ -93,9 +111,21 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.words, self.parts = Recent(REMEMBERED), Recent(REMEMBERED)
 
     def _encode(self, parts: list[bytes]) -> None:
+        rest = []
+        tokenize, ids = self.model.tokenize, self.parts
+        for part in parts:
+            if part.isalpha() or is_plain(part):
+                # One run of lower-case letters, which the tokenizer passes to its model as it is, byte by byte.
+                ids[part] = array("I", [token.id for token in tokenize(part.decode("latin-1").translate(BYTE_SIGNS))]).tobytes()
+            else:
+                rest.append(part)
+        self._encode_others(rest)
+
+    def _encode_others(self, parts: list[bytes]) -> None:
         for at in range(0, len(parts), 50_000):
             some = parts[at : at + 50_000]
             found = self.tokenizer.encode([p.decode() for p in some], is_pretokenized=True, add_special_tokens=False)
@@ -112,9 +142,13 @@ class WordIds:
         parts.turn()
         split = [text.split() for text in texts]
         cores = {}
+        known = words.older.get
         for word in {word for each in split for word in each if word not in words}:
-            if word not in words.older:
+            value = known(word)
+            if value is None:
                 cores[word] = core_and_tail(word)
+            else:
+                words[word] = value
         self._encode(sorted({p for pair in cores.values() for p in pair if p and not parts.knows(p)}))
         parts[b""] = b""
         for word, (core, tail) in cores.items():
