@@ -83,7 +83,7 @@ KINDS = (
     ),
 )
 
-#: Code points before and after a span in which words count.
+#: Code points before and after a span, up to the next match of its kind, in which words count.
 REACH = 40
 #: Matches whose places are summed up at a time.
 BLOCK = 256
@@ -124,36 +124,37 @@ def _valid(kind: str, text: Column) -> Column:
     return F.lit(True)
 
 
-def _near(text: Column, start: Column, end: Column) -> Column:
-    before = F.greatest(start - REACH, F.lit(0))
-    around = F.concat(F.substring(text, before + 1, start - before), F.lit(" "), F.substring(text, end + 1, F.lit(REACH)))
-    return F.lower(around)
+def _near(before: Column, after: Column) -> Column:
+    """The ends of the gaps about a match that are next to it. Cut from gaps, as places in a long text take long to find."""
+    return F.lower(F.concat(F.substring(before, -REACH, REACH), F.lit(" "), F.substring(after, 1, REACH)))
 
 
-def _spans(text: Column, kind: Kind, rank: int, matches: Column, gaps: Column) -> Column:
+def _spans(kind: Kind, rank: int, matches: Column, gaps: Column) -> Column:
     """(start, rank, end, kind, score) of the valid matches."""
 
     def place(done: Column, pair: Column) -> Column:
         start = done["at"] + F.length(pair["gap"])
         end = start + F.length(pair["match"])
-        span = F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match"))
+        span = F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match"), pair["near"].alias("near"))
         return F.struct(end.alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
 
     def shift(done: Column, block: Column) -> Column:
-        moved = F.transform(block["spans"], lambda s: F.struct((s["start"] + done["at"]).alias("start"), (s["end"] + done["at"]).alias("end"), s["match"].alias("match")))
+        moved = F.transform(block["spans"], lambda s: F.struct((s["start"] + done["at"]).alias("start"), (s["end"] + done["at"]).alias("end"), s["match"], s["near"]))
         return F.struct((done["at"] + block["at"]).alias("at"), F.concat(done["blocks"], F.array(moved)).alias("blocks"))
 
-    pairs = F.zip_with(matches, F.slice(gaps, F.lit(1), F.size(matches)), lambda m, g: F.struct(g.alias("gap"), m.alias("match")))
+    size = F.size(matches)
+    about = F.zip_with(F.slice(gaps, F.lit(1), size), F.slice(gaps, F.lit(2), size), lambda b, a: F.struct(b.alias("gap"), _near(b, a).alias("near")))
+    pairs = F.zip_with(matches, about, lambda m, g: F.struct(g["gap"].alias("gap"), g["near"].alias("near"), m.alias("match")))
     # Every step copies what it has, so places are summed up block by block.
     blocks = F.transform(F.sequence(F.lit(1), F.size(matches), F.lit(BLOCK)), lambda i: F.slice(pairs, i, F.lit(BLOCK)))
-    none = F.expr("cast(array() as array<struct<start:int,end:int,match:string>>)")
+    none = F.expr("cast(array() as array<struct<start:int,end:int,match:string,near:string>>)")
     within = F.transform(blocks, lambda block: F.aggregate(block, F.struct(F.lit(0).alias("at"), none.alias("spans")), place))
-    nothing = F.expr("cast(array() as array<array<struct<start:int,end:int,match:string>>>)")
+    nothing = F.expr("cast(array() as array<array<struct<start:int,end:int,match:string,near:string>>>)")
     placed = F.flatten(F.aggregate(within, F.struct(F.lit(0).alias("at"), nothing.alias("blocks")), shift, lambda done: done["blocks"]))
     valid = F.filter(placed, lambda s: _valid(kind.name, s["match"]))
 
     def scored(s: Column) -> Column:
-        near = _near(text, s["start"], s["end"])
+        near = s["near"]
         score = F.lit(kind.prior) + F.when(near.rlike(kind.friends), FRIEND).otherwise(0.0) + F.when(near.rlike(kind.foes), FOE).otherwise(0.0)
         return F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(kind.name).alias("kind"), F.least(F.lit(1.0), score).alias("score"))
 
@@ -173,7 +174,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     found = []
     for rank, kind in enumerate(KINDS):
         held = F.col(f"m_{kind.name}")
-        spans = _spans(F.col("text"), kind, rank, held, F.split("text", kind.pattern, -1))
+        spans = _spans(kind, rank, held, F.split("text", kind.pattern, -1))
         nothing = F.expr("cast(array() as array<struct<start:int,rank:int,end:int,kind:string,score:double>>)")
         found.append(F.when(F.size(held) > 0, spans).otherwise(nothing).alias(f"s_{kind.name}"))
     rows = rows.select("doc_id", *found)
