@@ -39,6 +39,8 @@ MICRO = 1_000_000
 SOFTNESS = 6.0
 RIDGE = 1e-3
 STEPS = 40
+#: How much more often than in those of the largest domain a word must be in the texts of some domain.
+RATIO = 8.0
 #: Steps stop when no domain's share of the total moves by more.
 SETTLED = 1e-6
 
@@ -81,7 +83,11 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domains: list[str], sampl
     parts = (F.col(f"n{k}") * F.log(F.greatest(F.col(f"n{k}"), F.lit(1)) / (found * max(n, 1) / max(sum(sums), 1))) for k, n in enumerate(sums))
     telling = sum(parts, F.lit(0.0))
     held = [(F.col(f"n{k}") + SMOOTHING) / (n + 2 * SMOOTHING) for k, n in enumerate(sums)]
-    best = counted.withColumn("_telling", telling).where(F.col("_telling") >= float(np.log(max(size, 2))))
+    # Words usual in the largest domain are missing from short texts and other languages, too, so that their absence
+    # tells nothing: a marking word is far more usual in another domain.
+    usual = held[int(np.argmax(sums))]
+    marking = (F.greatest(*held) / usual >= RATIO) if len(domains) > 1 else F.lit(True)
+    best = counted.withColumn("_telling", telling).where((F.col("_telling") >= float(np.log(max(size, 2)))) & marking)
     best = best.orderBy(F.desc("_telling"), "word").limit(features)
     present = (F.round(F.log(h / (1 - h)) * MICRO).cast("long").alias(f"w{k}") for k, h in enumerate(held))
     absent = (F.round(F.log(1 - h) * MICRO).cast("long").alias(f"b{k}") for k, h in enumerate(held))
