@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from rimline.llm import fingerprints, licenses, lines, mixing, near, packing, pii, quality, toxicity, warc
+from rimline.llm import fingerprints, licenses, lines, mixing, near, packing, pii, quality, toxicity, twins, warc
 
 QUERIES = {
     "op1_soft_membership_mixing": mixing.op1_soft_membership_mixing,
@@ -19,4 +19,4 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(twins.ORACLE)
