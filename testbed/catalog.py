@@ -46,7 +46,9 @@ def _windows(spark, sf_dir):
 
 
 def _shot_location(spark, sf_dir):
-    return trajectory.locate_shots(derive.shots(spark, sf_dir), _windows(spark, sf_dir))
+    shots = derive.shots(spark, sf_dir)
+    windows = trajectory.shot_windows(derive.tracking_events(spark, sf_dir), shots)
+    return trajectory.locate_shots(shots, trajectory.rim_windows(windows))
 
 
 def _gold(spark, sf_dir):

@@ -11,12 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rimline.functions.keys import canonical_game_id, season_label, season_start_year
 from rimline.operators.trajectory import shot_attempts
 
+# Frames in the window of a shot, and of any other event.
 FRAMES = 40
+SHORT_FRAMES = 4
 TEAM_BASE = 1610612737
 PLAYER_BASE = 200000
 # A literal calendar that lacks the later seasons of the rosters.
 KNOWN_SEASONS = range(1990, 1997)
-SERVED_GAME = "0021500004"
+SERVED_GAME = "0021500000"
 
 
 # The columns in use of the given tables.
@@ -97,15 +99,15 @@ def shots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _windows(spark: SparkSession, sf_dir: str, moments: str) -> DataFrame:
-    """Two listings of each shot's window, the first one 50 ft off; every 13th shot has none.
+    """Two listings of each event's window, the first one 50 ft off; every 13th event has none.
 
     ``moments`` is worked out inside the generator, hence once per listing whatever is asked of it.
     """
     raw = table(spark, sf_dir, "events").select("event_id", "user_id")
-    shots_only = raw.where("event_id % 18 IN (0, 1) AND event_id % 7 < 5 AND event_id % 13 <> 0")
+    listed = raw.where("event_id % 13 <> 0")
     game = game_key(F.col("user_id"))
-    # One row per shot becomes a window of some 20 KB below, so the rows are worth dealing out first.
-    placed = shots_only.repartition("event_id").select(
+    # A shot's row becomes a window of some 20 KB below, so the rows are worth dealing out first.
+    placed = listed.repartition("event_id").select(
         season_label(season_start_year(game)).alias("season"),
         game.alias("game_id"),
         "event_id",
@@ -114,6 +116,7 @@ def _windows(spark: SparkSession, sf_dir: str, moments: str) -> DataFrame:
         F.expr("double(5 + (37 * event_id) % 84)").alias("x0"),
         F.expr("double(2 + (13 * event_id) % 46)").alias("y0"),
         F.expr("IF(5 + (37 * event_id) % 84 <= 47, 5.25D, 88.75D)").alias("hx"),
+        F.expr(f"IF(event_id % 18 IN (0, 1) AND event_id % 7 < 5, {FRAMES}, {SHORT_FRAMES})").alias("n_frames"),
     )
     # The second listing of some events has no moments at all.
     listings = F.expr(
@@ -161,7 +164,7 @@ _FRAMES = """
       'shot_clock', IF(event_id % 6 <> 0, 24 - p.i / 8D, NULL),
       'positions', IF(event_id % 2 = 0, concat(p.ball, p.shooter, p.defender),
                       concat(p.defender, p.shooter, p.ball))))"""
-_ALL_FRAMES = f"sequence(0, {FRAMES - 1})"
+_ALL_FRAMES = "sequence(0, n_frames - 1)"
 # Frames whose raw form is one element short.
 _MALFORMED = "(11 * event_id + {i}) % 53 = 0"
 
