@@ -20,15 +20,16 @@ grade 0; an empty table gives no rows; other columns are never read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimline.llm.common import slices, table, utf8
+from rimline.llm.common import cut, slices, table, utf8
 from rimline.llm.licenses import FOLD
 
 #: Labelled rows the model may be fitted on: of either label half of them, those of the least id hashes.
@@ -107,64 +108,82 @@ def fit(texts: list[set[str]], grades: np.ndarray, features: list[str], steps: i
     return Model(dict(zip(features, state[: len(features)].tolist())), tuple(cuts.tolist()))
 
 
-def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[set[str]], np.ndarray]:
-    """Words and toxic labels of at most ``sample`` labelled documents."""
-    known = labels.where("doc_id is not null and toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").alias("_toxic"))
-    known = known.groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
-    halves = [known.where(F.col("_toxic") == v).orderBy(F.xxhash64("_id"), "_id").limit(sample // 2) for v in (0, 1)]
+def sampled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(toxic, text) of at most ``sample`` labelled documents."""
+    known = labels.where("doc_id is not null and toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
+    known = known.groupBy("_id").agg(F.max("toxic").alias("toxic"))
+    halves = [known.where(F.col("toxic") == v).orderBy(F.xxhash64("_id"), "_id").limit(sample // 2) for v in (0, 1)]
     # The sample bounds this side.
-    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), utf8().alias("text")).join(F.broadcast(halves[0].union(halves[1])), "_id")
+    picked = F.broadcast(cut(halves[0].union(halves[1])))
+    return docs.select(F.col("doc_id").cast("long").alias("_id"), utf8().alias("text")).join(picked, "_id").select("toxic", "text")
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            words = [" ".join(sorted(features_of(text))) for text in part["text"]]
-            yield pa.RecordBatch.from_arrays([pa.array(part["_toxic"], pa.int32()), pa.array(words, pa.string())], names=["toxic", "words"])
 
-    found = rows.select(F.col("_toxic").cast("int").alias("_toxic"), "text").mapInArrow(run, "toxic int, words string").toPandas()
-    found = found.sort_values(["words", "toxic"])
-    return [set(w.split()) for w in found["words"]], found["toxic"].to_numpy(int)
+def candidates(rows: DataFrame, n_clean: int, n_bad: int, most: int) -> list[tuple[str, int, int]]:
+    """The features that part the labels best, with their clean and toxic documents. Counted by tasks, ranked by Spark."""
 
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, list[int]] = {}
+        for part in slices(batches):
+            for label, text in zip(part["toxic"], part["text"]):
+                for feature in features_of(text):
+                    counts.setdefault(feature, [0, 0])[label] += 1
+        clean, bad = zip(*counts.values()) if counts else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(clean, pa.int64()), pa.array(bad, pa.int64())], names=["feature", "clean", "bad"])
+
+    size = n_clean + n_bad
+    counted = rows.mapInArrow(count, "feature string, clean long, bad long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
+    counted = cut(counted.where(F.col("clean") + F.col("bad") >= min(LEAST_DOCUMENTS, size // 2)))
+
+    def part(seen: Column, share: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / share)).otherwise(0.0)
+
+    held = F.col("clean") + F.col("bad")
+    # The likelihood ratio of a feature's documents against the labels.
+    parting = 2 * (
+        part(F.col("bad"), held * n_bad / size)
+        + part(F.col("clean"), held * n_clean / size)
+        + part(n_bad - F.col("bad"), (size - held) * n_bad / size)
+        + part(n_clean - F.col("clean"), (size - held) * n_clean / size)
+    )
+    # Chance alone brings the best of so many candidates about to this.
+    least = 2 * math.log(max(counted.count(), 2))
+    best = counted.withColumn("parting", F.round(parting, 6)).where(F.col("parting") >= least)
+    return [(r["feature"], r["clean"], r["bad"]) for r in best.orderBy(F.desc("parting"), "feature").limit(most).collect()]
 
-def parting(clean: np.ndarray, bad: np.ndarray, n_clean: int, n_bad: int) -> np.ndarray:
-    """The likelihood-ratio statistic of each feature's documents against the labels."""
 
-    def part(seen: np.ndarray, share: np.ndarray) -> np.ndarray:
-        return seen * np.log(np.maximum(seen, 1e-300) / np.maximum(share, 1e-300))
+def learn(docs: DataFrame, labels: DataFrame, features: int = FEATURES, sample: int = SAMPLE) -> Model | None:
+    """The model of labelled texts; none if all have one label or nothing parts them.
 
-    held, rest, size = clean + bad, n_clean + n_bad - clean - bad, n_clean + n_bad
-    return 2 * (
-        part(bad, held * n_bad / size) + part(clean, held * n_clean / size) + part(n_bad - bad, rest * n_bad / size) + part(n_clean - clean, rest * n_clean / size)
-    )
+    What comes to the driver: twice as many features as the model may have, and for each sampled text which of them it has.
+    """
+    rows = cut(sampled(docs, labels, sample))
+    sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    n_clean, n_bad = sizes.get(0, 0), sizes.get(1, 0)
+    if not n_clean or not n_bad:
+        return None
+    found = candidates(rows, n_clean, n_bad, 2 * features)
+    place = {feature: i for i, (feature, _, _) in enumerate(found)}
 
+    def hold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            held = [sorted(place[f] for f in features_of(text) if f in place) for text in part["text"]]
+            yield pa.RecordBatch.from_arrays([pa.array(part["toxic"], pa.int32()), pa.array(held, pa.list_(pa.int32()))], names=["toxic", "held"])
 
-def learn(texts: list[set[str]], toxic: np.ndarray, features: int = FEATURES) -> Model | None:
-    """The model of labelled texts; none if all have one label."""
-    size, n_toxic = len(toxic), int(toxic.sum())
-    if not 0 < n_toxic < size:
-        return None
-    counts: dict[str, list[int]] = {}
-    for words, label in zip(texts, toxic.tolist()):
-        for word in words:
-            counts.setdefault(word, [0, 0])[label] += 1
-    words = sorted(w for w, c in counts.items() if sum(c) >= min(LEAST_DOCUMENTS, size // 2))
-    if not words:
-        return None
-    clean, bad = np.array([counts[w] for w in words], float).T
-    best = np.argsort(-parting(clean, bad, size - n_toxic, n_toxic), kind="stable")[:features]
-    # Chance alone brings the best of so many candidates about to this.
+    texts = sorted((list(r["held"]), r["toxic"]) for r in rows.mapInArrow(hold, "toxic int, held array<int>").collect())
+    toxic = np.array([label for _, label in texts])
     # Of features in the same documents one will do: the longest, which comes with a word's beginnings.
-    places: dict[str, list[int]] = {words[i]: [] for i in best}
-    for row, known in enumerate(texts):
-        for word in known & places.keys():
-            places[word].append(row)
-    whole = {tuple(rows): word for word, rows in sorted(places.items(), key=lambda p: (len(p[0]), p[0]))}
-    best = np.array([i for i in best if whole[tuple(places[words[i]])] == words[i]], int)
-    best = best[parting(clean, bad, size - n_toxic, n_toxic)[best] >= 2 * np.log(len(words))]
-    rates = bad / n_toxic / (bad / n_toxic + clean / (size - n_toxic))
-    marks = {words[i] for i in best if rates[i] >= MARKING}
-    strength = np.array([len(marks & t) for t in texts])
+    places: dict[int, list[int]] = {i: [] for i in place.values()}
+    for row, (held, _) in enumerate(texts):
+        for i in held:
+            places[i].append(row)
+    whole = {tuple(at): i for i, at in sorted(places.items(), key=lambda p: (len(found[p[0]][0]), found[p[0]][0]))}
+    best = sorted(whole.values())[:features]
+    if not best:
+        return None
+    marks = {i for i in best if found[i][2] / n_bad >= MARKING * (found[i][2] / n_bad + found[i][1] / n_clean)}
+    strength = np.array([len(marks.intersection(held)) for held, _ in texts])
     grades = toxic * (1 + (strength > np.median(strength[toxic == 1])))
-    return fit(texts, grades.astype(int), [words[i] for i in best]) if len(best) else None
+    return fit([{found[i][0] for i in held} for held, _ in texts], grades.astype(int), [found[i][0] for i in best])
 
 
 SCORED = "doc_id long, grade int, expected_severity double, p_clean double, p_toxic double, p_severe double"
@@ -193,5 +212,5 @@ def severity(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def op8_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = learn(*sampled(docs, table(spark, sf_dir, "labels")))
+    model = learn(docs, table(spark, sf_dir, "labels"))
     return severity(docs, model).withColumn("toxic", F.col("grade") > 0)

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from rimline.llm.common import table
-from rimline.llm.toxicity import Model, fit, learn, op8_ordinal_toxicity, sampled, severity
+from rimline.llm.toxicity import Model, fit, learn, op8_ordinal_toxicity, severity
 
 
 def test_thresholds_share_weights_and_stay_in_order():
@@ -29,7 +29,7 @@ def test_held_out_labels(spark):
     sf_dir = "/root/testdata/sf0.1"
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(2)) == 0
-    model = learn(*sampled(docs, labels.where(~held)))
+    model = learn(docs, labels.where(~held))
     found = severity(docs, model).join(labels.where(held), "doc_id").toPandas()
     # Texts turned to junk have lost the words that made them toxic, but not the label.
     toxic = found[(found.toxic == 1) & (found.quality == 1)]
@@ -51,7 +51,7 @@ def test_odd_rows_and_labels(spark):
     docs = spark.createDataFrame([(1, None, 1), (2, "", 2), (2, "bad " * 50_000, 3), (None, "good", 4)], "doc_id long, text string, grade int")
     labels = spark.createDataFrame([(1, 0), (2, 1), (2, 1), (None, 1), (3, None)], "doc_id long, toxic int")
     assert severity(docs, None).agg(F.max("grade")).first()[0] == 0
-    model = learn(*sampled(docs, labels))
+    model = learn(docs, labels)
     assert severity(docs, model).count() == 4
-    assert learn(*sampled(docs, labels.limit(0))) is None
+    assert learn(docs, labels.limit(0)) is None
     assert severity(docs.limit(0), Model({"x": 1.0}, (0.0, 1.0))).count() == 0
