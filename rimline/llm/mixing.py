@@ -45,7 +45,7 @@ RATIO = 8.0
 SETTLED = 1e-6
 
 #: Target shares of the tokens by domain.
-TARGETS = {"clean": 0.95, "poor": 0.02, "toxic": 0.03}
+TARGETS = {"clean": 0.98, "poor": 0.005, "toxic": 0.015}
 ANCHOR = "clean"
 WORD_BREAK = r"[\x09-\x0D\x20]+"
 
