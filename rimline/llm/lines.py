@@ -133,7 +133,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     docs = docs.withColumn("text", F.col("text").cast("string"))
     same = (docs.doc_id.cast("long") == ranges._cut_id) & (F.xxhash64(docs.text) == ranges._cut_part)
     joined = docs.join(ranges.hint("shuffle_hash"), same, "left").drop("_cut_id", "_cut_part")
-    schema = StructType(docs.schema.fields).add("_n_lines", "long").add("_n_cut_lines", "long").add("_n_cut_words", "long")
+    schema = StructType(list(docs.schema.fields)).add("_n_lines", "long").add("_n_cut_lines", "long").add("_n_cut_words", "long")
     assert schema["text"].dataType == StringType()
     return joined.mapInArrow(_cut_lines(to_arrow_schema(schema)), schema)
 

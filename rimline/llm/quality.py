@@ -111,7 +111,7 @@ def counted(docs: DataFrame) -> DataFrame:
     """The rows with the counts of their texts, each named with a leading underscore."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    schema = StructType(docs.schema.fields)
+    schema = StructType(list(docs.schema.fields))
     for name in COUNTS:
         schema = schema.add(f"_{name}", "long")
     return docs.withColumn("_bytes", utf8()).mapInArrow(_counting(to_arrow_schema(schema)), schema)
