@@ -42,9 +42,8 @@ def _labelled_games(gold: DataFrame, dim_game: DataFrame, dim_team: DataFrame) -
     team = dim_team.select("team_id", "abbreviation")
     home = team.select(F.col("team_id").alias("home_team_id"), F.col("abbreviation").alias("home"))
     away = team.select(F.col("team_id").alias("away_team_id"), F.col("abbreviation").alias("away"))
-    label = game_label(F.col("away"), F.col("home"), F.col("game_date")).alias("label")
     met = located.join(dim_game, "game_id").join(home, "home_team_id").join(away, "away_team_id")
-    return met.select("game_id", label, "season_id", "game_date")
+    return met.withColumn("label", game_label(F.col("away"), F.col("home"), F.col("game_date")))
 
 
 def list_games(gold: DataFrame, dim_game: DataFrame, dim_team: DataFrame) -> DataFrame:
