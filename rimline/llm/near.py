@@ -274,6 +274,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     gone = ids.where("gone").select(F.col("doc_id").alias("_near_id"))
     again = ids.where("not gone").select(F.col("doc_id").alias("_near_id"))
     left = docs.join(gone, docs.doc_id == gone._near_id, "left_anti")
+    if again.isEmpty():
+        return left  # No id is repeated, so no text need be moved to compare rows.
     once = left.join(again, left.doc_id == again._near_id, "left_semi").dropDuplicates(["doc_id", "text"])
     return left.join(again, left.doc_id == again._near_id, "left_anti").unionByName(once)
 
