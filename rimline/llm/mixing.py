@@ -41,8 +41,6 @@ RIDGE = 1e-3
 STEPS = 40
 #: How much more often than in those of the largest domain a word must be in the texts of some domain.
 RATIO = 8.0
-#: Share of some domain's texts that a word must be in: rarer ones are mostly of a group of copies, and mislead in long texts.
-COMMON = 0.02
 #: Steps stop when no domain's share of the total moves by more.
 SETTLED = 1e-6
 
@@ -73,12 +71,14 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domains: list[str], sampl
     known = known.where(F.col("_domain").isin(domains)).groupBy("_id").agg(F.min("_domain").alias("_domain"))
     # The sample bounds this side: 20,000 rows of an id and a name.
     known = F.broadcast(cut(known.orderBy(F.xxhash64("_id"), "_id").limit(sample)))
-    words = _words(docs.join(known, F.col("doc_id") == F.col("_id")).select("doc_id", "text"), "_doc")
+    held_rows = docs.join(known, F.col("doc_id") == F.col("_id"))
+    words = _words(held_rows.select("doc_id", "text"), "_doc")
     words = words.where("word is not null").join(known, F.col("_doc") == F.col("_id"))
     each = [F.count(F.when(F.col("_domain") == d, 1)).alias(f"n{k}") for k, d in enumerate(domains)]
     counted = cut(words.groupBy("word").agg(*each))
     size = counted.count()
-    seen = {r["_domain"]: r["count"] for r in known.groupBy("_domain").count().collect()}
+    # Of the labelled rows, those that are there: labels may outnumber the documents.
+    seen = {r["_domain"]: r["count"] for r in held_rows.groupBy("_domain").count().collect()}
     sums = [float(seen.get(d, 0)) for d in domains]
     priors = [float(np.log((n + 1) / (sum(sums) + len(domains)))) for n in sums]
     found = sum((F.col(f"n{k}") for k in range(len(domains))), F.lit(0))
@@ -87,9 +87,10 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domains: list[str], sampl
     telling = sum(parts, F.lit(0.0))
     held = [(F.col(f"n{k}") + SMOOTHING) / (n + 2 * SMOOTHING) for k, n in enumerate(sums)]
     # Words usual in the largest domain are missing from short texts and other languages, too, so that their absence
-    # tells nothing: a marking word is far more usual in another domain.
+    # tells nothing: a marking word is far more usual in another domain. No share of a domain's texts is asked for, as a
+    # smaller language's words would never have it.
     usual = held[int(np.argmax(sums))]
-    marking = ((F.greatest(*held) / usual >= RATIO) & (F.greatest(*held) >= COMMON)) if len(domains) > 1 else F.lit(True)
+    marking = (F.greatest(*held) / usual >= RATIO) if len(domains) > 1 else F.lit(True)
     best = counted.withColumn("_telling", telling).where((F.col("_telling") >= float(np.log(max(size, 2)))) & marking)
     best = best.orderBy(F.desc("_telling"), "word").limit(features)
     present = (F.round(F.log(h / (1 - h)) * MICRO).cast("long").alias(f"w{k}") for k, h in enumerate(held))

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from rimline.llm.common import table
-from rimline.llm.mixing import TARGETS, copies, fit_rates, mixed, op1_soft_membership_mixing, rates
+from rimline.llm.mixing import TARGETS, copies, fit_classifier, fit_rates, mixed, op1_soft_membership_mixing, rates
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -63,3 +63,21 @@ def test_odd_rows(spark):
 def test_copies_average_to_the_rate(spark):
     df = spark.range(20_000).select(copies(F.lit(1.3), F.col("id")).alias("n"))
     assert abs(df.agg(F.avg("n")).first()[0] - 1.3) < 0.02
+
+
+def test_toxic_texts_of_each_language_are_found(spark):
+    folder = "/root/testdata/sf0.1"
+    found = op1_soft_membership_mixing(spark, folder)
+    labels = table(spark, folder, "labels").where("toxic = 1 and quality = 1")
+    langs = table(spark, folder, "documents").select("doc_id", "lang")
+    each = found.join(labels, "doc_id").join(langs, "doc_id").groupBy("lang").agg(F.avg((F.col("p_toxic") > 0.5).cast("int")).alias("share"))
+    shares = {r.lang: r.share for r in each.collect()}
+    assert len(shares) == 4 and min(shares.values()) > 0.7, shares
+
+
+def test_class_sizes_are_of_documents_that_are_there(spark):
+    docs = spark.createDataFrame([(i, f"own{i} " + ("foul" if i < 10 else "fine")) for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i < 10)) for i in range(200)], "doc_id long, quality int, toxic int")
+    absent = spark.createDataFrame([(i, 1, 1) for i in range(1000, 9000)], labels.schema)
+    alone, beside = fit_classifier(docs, labels, ["clean", "toxic"]), fit_classifier(docs, labels.union(absent), ["clean", "toxic"])
+    assert alone[1] == beside[1] and alone[0].collect() == beside[0].collect() != []
