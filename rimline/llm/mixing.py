@@ -23,6 +23,8 @@ document is expected in is left out of the fit; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,15 +47,17 @@ RATIO = 8.0
 SETTLED = 1e-6
 
 #: Target shares of the tokens by domain.
-TARGETS = {"clean": 0.985, "toxic": 0.015}
+TARGETS = {"clean": 0.98, "poor": 0.005, "toxic": 0.015}
 ANCHOR = "clean"
 WORD_BREAK = r"[\x09-\x0D\x20]+"
 
 
-def label_domain() -> Column:
-    """The domain of a row of the labels table. Quality makes none: words can't part poor texts that rules let pass from
-    clean ones, and no rates could then meet a target but by giving up clean documents."""
-    return F.when(F.col("toxic") == 1, "toxic").when(F.col("toxic") == 0, "clean")
+def label_domain(domains: Iterable[str]) -> Column:
+    """The domain of a row of the labels table. Where poor is not among the domains, poor texts are clean unless toxic."""
+    toxic = F.when(F.col("toxic") == 1, "toxic")
+    if "poor" in domains:
+        return toxic.when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "clean")
+    return toxic.when(F.col("toxic") == 0, "clean")
 
 
 def _words(docs: DataFrame, id_name: str) -> DataFrame:
@@ -67,7 +71,7 @@ def _words(docs: DataFrame, id_name: str) -> DataFrame:
 def fit_classifier(docs: DataFrame, labels: DataFrame, domains: list[str], sample: int = SAMPLE, features: int = FEATURES) -> tuple[DataFrame, list[float]]:
     """(word, w0, w1, ...) of the telling words, and the log scores of a text with none of them. Weights are what a
     word's presence adds, in whole millionths, so that sums don't depend on the order of rows."""
-    known = labels.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("_id"), label_domain().alias("_domain"))
+    known = labels.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("_id"), label_domain(domains).alias("_domain"))
     known = known.where(F.col("_domain").isin(domains)).groupBy("_id").agg(F.min("_domain").alias("_domain"))
     # The sample bounds this side: 20,000 rows of an id and a name.
     known = F.broadcast(cut(known.orderBy(F.xxhash64("_id"), "_id").limit(sample)))
@@ -164,9 +168,9 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
     return fit_rates(members, list(targets.values()), domains.index(anchor))
 
 
-def mixed(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, anchor: str = ANCHOR) -> DataFrame:
     """The documents, each as often as its rate says."""
-    found = rates(docs, labels).select(F.col("doc_id").alias("_mix_id"), copies(F.col("rate"), F.col("doc_id")).alias("_mix_copies"))
+    found = rates(docs, labels, targets, anchor).select(F.col("doc_id").alias("_mix_id"), copies(F.col("rate"), F.col("doc_id")).alias("_mix_copies"))
     joined = docs.join(found.hint("shuffle_hash"), docs.doc_id.cast("long").eqNullSafe(found._mix_id), "left")
     taken = F.explode(F.expr("array_repeat(0, cast(_mix_copies as int))"))
     return joined.withColumn("_mix_again", taken).select(docs.columns)

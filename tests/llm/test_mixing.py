@@ -81,3 +81,16 @@ def test_class_sizes_are_of_documents_that_are_there(spark):
     absent = spark.createDataFrame([(i, 1, 1) for i in range(1000, 9000)], labels.schema)
     alone, beside = fit_classifier(docs, labels, ["clean", "toxic"]), fit_classifier(docs, labels.union(absent), ["clean", "toxic"])
     assert alone[1] == beside[1] and alone[0].collect() == beside[0].collect() != []
+
+
+def test_poor_texts_have_a_posterior_and_a_lower_rate(spark):
+    found = op1_soft_membership_mixing(spark, SF_DIR)
+    assert "p_poor" in found.columns
+    each = found.join(table(spark, SF_DIR, "labels").where("toxic = 0"), "doc_id").groupBy("quality")
+    rows = {r.quality: r for r in each.agg(F.avg("rate").alias("rate"), F.avg("p_poor").alias("poor")).collect()}
+    assert rows[0].poor > rows[1].poor and rows[0].rate < rows[1].rate
+
+
+def test_domains_are_those_of_the_targets(spark):
+    docs, labels = table(spark, SF_DIR, "documents"), table(spark, SF_DIR, "labels")
+    assert rates(docs, labels, {"clean": 0.985, "toxic": 0.015}).columns == ["doc_id", "n_tokens", "p0", "p1", "rate"]
