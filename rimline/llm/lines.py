@@ -2,7 +2,8 @@
 
 A run is consecutive lines of one document (lines of white space alone are passed over, and stay) with at
 least ``min_words`` words. A line goes if it lies in a run whose lines stand, equal but for outer white
-space, earlier: in a document of smaller id, or above in the same one without overlap.
+space, earlier: in a document of smaller id, or above in the same one without overlap. With ``min_line``, a shorter line
+alone is a run, too, if it has that many words and stands in more than one document.
 
 1. Windows: from every line the shortest run that begins there, and the shortest that ends there.
    Together they cover every line of any run. A window's fingerprint is its least line hash,
@@ -33,12 +34,12 @@ from rimline.llm.common import cut, slices, table, utf8
 #: Words a run must have to be deleted.
 MIN_WORDS = 30
 
-PLACES = "fingerprint long, doc_id long, part long, windows array<struct<first:int, last:int, key:binary>>"
+PLACES = "fingerprint long, doc_id long, part long, windows array<struct<first:int, last:int, key:binary, short:boolean>>"
 RANGES = "array<struct<first:int, last:int>>"
 
 
-def windows(text: bytes, min_words: int) -> Iterator[tuple[int, list[tuple[int, int, bytes]]]]:
-    """(fingerprint, its windows) of each selected place; a window is its first and last line and its key."""
+def windows(text: bytes, min_words: int, min_line: int | None = None) -> Iterator[tuple[int, list[tuple[int, int, bytes, bool]]]]:
+    """(fingerprint, its windows) of each selected place; a window is its first and last line, its key, and whether it has fewer words than a run."""
     at, words, hashes = [], [], []
     for number, line in enumerate(text.split(b"\n")):
         if count := len(line.split()):
@@ -50,29 +51,31 @@ def windows(text: bytes, min_words: int) -> Iterator[tuple[int, list[tuple[int,
     each = np.array(hashes, np.uint64)
     ends = np.cumsum(words)
     starts = ends - words
-    if ends[-1] < min_words:
+    if ends[-1] < min(min_words, min_line or min_words):
         return
     last = np.searchsorted(ends, starts + min_words)
     first = np.searchsorted(starts, ends - min_words, side="right") - 1
     spans = {(i, int(j)) for i, j in enumerate(last) if j < len(at)} | {(int(i), j) for j, i in enumerate(first) if i >= 0}
+    if min_line:
+        spans |= {(i, i) for i, n in enumerate(words) if n >= min_line}
     places: dict[int, list] = {}
     for i, j in sorted(spans):
         run = each[i : j + 1]
         least = j - int(run[::-1].argmin()) if j > i else i
-        places.setdefault(least, []).append((at[i], at[j], xxhash.xxh3_128_digest(run.tobytes())))
+        places.setdefault(least, []).append((at[i], at[j], xxhash.xxh3_128_digest(run.tobytes()), bool(ends[j] - starts[i] < min_words)))
     for place, found in places.items():
         yield int(each[place].astype(np.int64)), found
 
 
-def _places(min_words: int):
-    kinds = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("key", pa.binary())]))
+def _places(min_words: int, min_line: int | None):
+    kinds = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("key", pa.binary()), ("short", pa.bool_())]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
             out = [
-                (fingerprint, doc_id, part, [dict(zip(("first", "last", "key"), w)) for w in found])
+                (fingerprint, doc_id, part, [dict(zip(("first", "last", "key", "short"), w)) for w in found])
                 for doc_id, part, text in zip(rows["doc_id"], rows["part"], rows["text"])
-                for fingerprint, found in windows(text, min_words)
+                for fingerprint, found in windows(text, min_words, min_line)
             ]
             columns = list(zip(*out)) or [[]] * 4
             yield pa.RecordBatch.from_arrays(
@@ -83,19 +86,20 @@ def _places(min_words: int):
     return run
 
 
-def repeated_ranges(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_ranges(docs: DataFrame, min_words: int = MIN_WORDS, min_line: int | None = None) -> DataFrame:
     """(doc_id, part, ranges): the line numbers, from 0, of the runs to delete; part is a hash of the text."""
     texts = docs.where("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("part"), utf8().alias("text")
     )
-    places = cut(texts.mapInArrow(_places(min_words), PLACES))
+    places = cut(texts.mapInArrow(_places(min_words, min_line), PLACES))
     shared = cut(places.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint"))
     runs = cut(
         places.join(shared, "fingerprint")
         .select("doc_id", "part", F.explode("windows").alias("w"))
-        .select("w.key", F.struct("doc_id", "part", "w.first", "w.last").alias("place"))
+        .select("w.key", "w.short", F.struct("doc_id", "part", "w.first", "w.last").alias("place"))
     )
-    earliest = cut(runs.groupBy("key").agg(F.min("place").alias("earliest"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    again = runs.groupBy("key").agg(F.min("place").alias("earliest"), F.max("place.doc_id").alias("most"), F.max("short").alias("short"), F.count("*").alias("n"))
+    earliest = cut(again.where("n > 1 and (not short or earliest.doc_id < most)").select("key", "earliest"))
     apart = F.expr("place.doc_id <> earliest.doc_id or place.part <> earliest.part or place.first > earliest.last")
     later = runs.join(earliest, "key").where(apart).select("place.*")
     return later.groupBy("doc_id", "part").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("ranges"))
@@ -125,11 +129,11 @@ def _cut_lines(schema: pa.Schema):
     return run
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_line: int | None = None) -> DataFrame:
     """The rows with shorter texts, and _n_lines, _n_cut_lines, _n_cut_words (long) beside them."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    ranges = repeated_ranges(docs, min_words).select(F.col("doc_id").alias("_cut_id"), F.col("part").alias("_cut_part"), F.col("ranges").alias("_cut_ranges"))
+    ranges = repeated_ranges(docs, min_words, min_line).select(F.col("doc_id").alias("_cut_id"), F.col("part").alias("_cut_part"), F.col("ranges").alias("_cut_ranges"))
     docs = docs.withColumn("text", F.col("text").cast("string"))
     same = (docs.doc_id.cast("long") == ranges._cut_id) & (F.xxhash64(docs.text) == ranges._cut_part)
     joined = docs.join(ranges.hint("shuffle_hash"), same, "left").drop("_cut_id", "_cut_part")

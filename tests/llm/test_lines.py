@@ -72,3 +72,30 @@ def test_rows_with_one_id(spark):
 
 def test_empty_table(spark):
     assert dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_short_lines_that_stand_in_several_documents(spark):
+    docs = [(r.doc_id, r.text) for r in table(spark, SF_DIR, "documents").select("doc_id", "text").collect()]
+    docs += [(10_001, "one alone of five words\nx\none alone of five words"), (10_002, "these are five words here"), (10_003, "these are five words here\nfour words are few"), (10_004, "four words are few")]
+    by_runs, stands = brute(docs, 30), {}
+    for doc, text in sorted(docs):
+        for n, line in enumerate((text or "").split("\n")):
+            stands.setdefault(line.strip().encode(), []).append((doc, n))
+    expected = {}
+    for doc, text in docs:
+        alone = {n for n, x in enumerate(text.split("\n")) for s in [stands[x.strip().encode()]] if len(x.encode().split()) >= 5 and s[0] != (doc, n) and s[0][0] != s[-1][0]}
+        left = by_runs[doc].split("\n")
+        kept = []
+        # Lines that the rule for runs deleted are passed over.
+        at = 0
+        for n, x in enumerate(text.split("\n")):
+            if at < len(left) and left[at] == x:
+                at += 1
+                if n not in alone:
+                    kept.append(x)
+        expected[doc] = "\n".join(kept)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in dedup_lines(df, 30, 5).collect()}
+    assert found == expected
+    assert found[10_001] == docs[-4][1] and found[10_003] == "four words are few" == found[10_004]
+    assert sum(found[i] != by_runs[i] for i in found) > 10
