@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from rimline.llm import fingerprints, licenses, lines, mixing, near, packing, pii, quality, toxicity, twins, warc
+from rimline.llm import conversations, fingerprints, licenses, lines, mixing, near, packing, pii, quality, toxicity, twins, urls, warc, whitening
 
 QUERIES = {
     "op1_soft_membership_mixing": mixing.op1_soft_membership_mixing,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_ordinal_toxicity": toxicity.op8_ordinal_toxicity,
     "op9_hierarchical_packing": packing.op9_hierarchical_packing,
     "op10_ngram_jaccard_join": near.op10_ngram_jaccard_join,
+    "op11_conversation_repair": conversations.op11_conversation_repair,
+    "op12_embedding_whitening": whitening.op12_embedding_whitening,
+    "op13_url_filter": urls.op13_url_filter,
     "pipeline": corpus_pipeline.run,
 }
 
