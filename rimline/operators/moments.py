@@ -7,6 +7,8 @@ from rimline.operators.ranking import first_per_key
 
 MOMENT_SIZE = 6
 POSITION_SIZE = 5
+# Windows of a game that are written by one task; a game has some 500.
+BLOCK_WINDOWS = 128
 
 
 def _position(p: Column) -> Column:
@@ -139,6 +141,42 @@ def moment_table(deduped: DataFrame) -> DataFrame:
     )
 
 
+def _block() -> Column:
+    """Windows that lie together in the written table: a game's, in runs of document order."""
+    return F.floor(F.col("event_pos") / BLOCK_WINDOWS).alias("block")
+
+
+def survivors(events: DataFrame) -> DataFrame:
+    """Which listings ``dedup_moments`` keeps, by block of windows: from each window the places of its moments that are first.
+
+    Only keys are read and moved: a game's timestamps with the least place of each, which tasks find before the shuffle,
+    then these places by window.
+    """
+    listed = events.select("season", "game_id", "event_pos", F.posexplode("moments.moment_id").alias("moment_pos", "moment_id"))
+    # Both places in one number, whose least is found without sorting.
+    place = F.shiftleft("event_pos", 32) + F.col("moment_pos")
+    first = listed.where("moment_id IS NOT NULL").groupBy("season", "game_id", "moment_id").agg(F.min(place).alias("at"))
+    placed = first.select("season", "game_id", F.shiftright("at", 32).alias("event_pos"), F.col("at").bitwiseAND(0xFFFFFFFF).cast("int").alias("moment_pos"))
+    windows = placed.groupBy("season", "game_id", "event_pos").agg(F.sort_array(F.collect_list("moment_pos")).alias("kept"))
+    held = F.map_from_entries(F.collect_list(F.struct("event_pos", "kept")))
+    return windows.groupBy("season", "game_id", _block()).agg(held.alias("kept_of"))
+
+
+def player_locations(events: DataFrame) -> DataFrame:
+    """Event windows -> one row per player position of each first listing, laid out for the written table.
+
+    ``(game_id, event_pos)`` is a window's key. Windows move once, by game and block, where they meet the survivors, and their
+    positions are taken out after that: what leaves the join is already together by game, so it can be written
+    as it is. A game of any length is dealt out by its blocks, and copies of a moment are in windows of their own,
+    so no group of them meets in one task.
+    """
+    windows = events.select("season", "game_id", "event_pos", "moments", _block())
+    met = windows.join(survivors(events), ["season", "game_id", "block"])
+    kept = F.transform(F.element_at("kept_of", F.col("event_pos")), lambda at: F.get(F.col("moments"), at))
+    rows = met.select("season", "game_id", F.inline(kept))
+    return player_location_table(rows)
+
+
 def player_location_table(deduped: DataFrame) -> DataFrame:
     """One row per player position of each kept moment; every listed position but the ball's stays."""
     positions = deduped.select("game_id", "season", "moment_id", F.inline("positions"))

@@ -36,20 +36,11 @@ def _raise_for(games: DataFrame, kind: type[ValueError], what: str) -> None:
         raise kind(f"{len(found)} game(s), {what}: {found}")
 
 
-def _of_games(df: DataFrame, games: DataFrame) -> DataFrame:
-    """Rows of the given games from a table laid out by season and game.
-
-    Spark broadcasts a short game list and skips the other games' directories at run time; a longer one is joined.
-    """
-    return df.join(games.select("season", "game_id").distinct(), ["season", "game_id"], "left_semi")
-
-
-def _start(spark: SparkSession, games: DataFrame, root: str, layer: str, datasets: list[str], force: bool) -> None:
-    """Forced games lose their old rows first, so that those without new ones keep none."""
+def _start(spark: SparkSession, games: DataFrame, root: str, layer: str, datasets: list[str], force: bool) -> str:
+    """The name of the run. Forced games are without rows from here on, until the run names theirs."""
     if force:
-        sinks.note_games(spark, games, root, layer, datasets, done=False)
-        for dataset in datasets:
-            sinks.clear_games(spark, games, sinks.dataset_path(root, layer, dataset))
+        sinks.note_games(spark, games, None, root, layer, datasets, done=False)
+    return sinks.new_run()
 
 
 def land_pbp(spark: SparkSession, manifest: DataFrame, season_files, root: str, force: bool = False) -> None:
@@ -61,50 +52,55 @@ def land_pbp(spark: SparkSession, manifest: DataFrame, season_files, root: str,
     if games.isEmpty():
         return
     season = files.read_season_pbp(spark, season_files)
-    _start(spark, games, root, "bronze", ["pbp"], True)
+    run = _start(spark, games, root, "bronze", ["pbp"], force)
     path = sinks.dataset_path(root, "bronze", "pbp")
-    sinks.write_games(scope.pbp_of_games(season, games), path, ["EVENTNUM"])
-    written = sinks.games_on_disk(spark, path).select("game_id")
-    sinks.note_games(spark, games.join(written, "game_id", "left_semi"), root, "bronze", ["pbp"])
+    sinks.write_games(scope.pbp_of_games(season, games), path, run, ["EVENTNUM"])
+    written = sinks.written_games(spark, path, run).select("game_id")
+    sinks.note_games(spark, games.join(written, "game_id", "left_semi"), run, root, "bronze", ["pbp"])
     _raise_for(games.join(written, "game_id", "left_anti"), EmptyGames, "no play-by-play rows for")
 
 
 def land_tracking(spark: SparkSession, manifest: DataFrame, root: str, force: bool = False) -> None:
     """Tracking documents -> typed event windows, once, for all later jobs.
 
-    Each document is parsed by one task and stays one file; the row groups inside can be read
-    in parallel. Games whose document has not arrived stay pending and are raised at the end.
+    Games whose document has not arrived stay pending and are raised at the end.
     """
     games = sinks.pending_games(spark, manifest, root, "bronze", ["tracking_event"], force)
     if games.isEmpty():
         return
     source = sinks.dataset_path(root, "bronze", "tracking")
-    arrived = sinks.games_on_disk(spark, source)
+    seasons = sorted(row.season for row in games.select("season").distinct().collect())
+    arrived = files.arrived_documents(spark, source, seasons)
     there = games.join(arrived.select("game_id"), "game_id", "left_semi")
-    _start(spark, there, root, "bronze", ["tracking_event"], force)
+    run = _start(spark, there, root, "bronze", ["tracking_event"], force)
     if not there.isEmpty():
-        documents = files.read_tracking_documents(spark, source)
-        rows = moments.decode_events(moments.raw_event_rows(_of_games(documents, there)))
+        documents = files.read_tracking_documents(spark, source, seasons)
+        documents = documents.join(there.select("season", "game_id").distinct(), ["season", "game_id"], "left_semi")
+        rows = moments.decode_events(moments.raw_event_rows(documents))
         path = sinks.dataset_path(root, "bronze", "tracking_event")
-        sinks.write_games(rows, path, gather=False, row_group_bytes=sinks.WINDOW_ROW_GROUP_BYTES)
-        sinks.note_games(spark, there, root, "bronze", ["tracking_event"])
+        sinks.write_games(rows, path, run, gather=False, row_group_bytes=sinks.WINDOW_ROW_GROUP_BYTES)
+        sinks.note_games(spark, there, run, root, "bronze", ["tracking_event"])
     _raise_for(games.join(arrived.select("game_id"), "game_id", "left_anti"), MissingInput, "no tracking document for")
 
 
 def _landed(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """Games that the landed table knows: by the ledger, or by rows that another writer put there."""
-    noted = sinks.finished_games(spark, root, "bronze", dataset)
-    return noted.union(sinks.games_on_disk(spark, sinks.dataset_path(root, "bronze", dataset))).select("game_id").distinct()
+    """Games that have landed whole, by the ledger."""
+    return sinks.finished_games(spark, root, "bronze", dataset).select("game_id")
+
+
+def _tracking_events(spark: SparkSession, root: str, games: DataFrame) -> DataFrame:
+    return sinks.read_games(spark, root, "bronze", "tracking_event", schemas.TRACKING_EVENT, games)
 
 
-def _tracking_events(spark: SparkSession, root: str) -> DataFrame:
-    return files.read_table(spark, sinks.dataset_path(root, "bronze", "tracking_event"), schemas.TRACKING_EVENT)
+def _landed_pbp(spark: SparkSession, root: str, games: DataFrame | None = None) -> DataFrame:
+    return sinks.read_games(spark, root, "bronze", "pbp", schemas.PBP_LANDED, games)
 
 
 def build_tracking(spark: SparkSession, manifest: DataFrame, root: str, force: bool = False) -> int:
     """Event windows -> ``tracking_moment`` and ``player_location``.
 
-    The two tables are two passes on purpose: the moment pass moves no player positions.
+    The two tables are two passes on purpose: the moment pass moves no player positions, and the positions move once,
+    straight to the layout in which they are written.
     Returns the number of moments dropped for want of a timestamp; ``malformed_moments`` counts those that
     could not be decoded.
     """
@@ -117,13 +113,13 @@ def build_tracking(spark: SparkSession, manifest: DataFrame, root: str, force: b
     waiting = games.join(landed, "game_id", "left_anti")
     dropped = 0
     if not there.isEmpty():
-        _start(spark, there, root, "silver", outputs, force)
-        windows = _of_games(_tracking_events(spark, root), there)
+        run = _start(spark, there, root, "silver", outputs, force)
+        windows = _tracking_events(spark, root, there)
         kept = moments.dedup_moments(moments.moment_rows(windows))
-        tables = {outputs[0]: moments.moment_table(kept), outputs[1]: moments.player_location_table(kept)}
-        for dataset, table in tables.items():
-            sinks.write_games(table, sinks.dataset_path(root, "silver", dataset), ["moment_id"])
-        sinks.note_games(spark, there, root, "silver", outputs)
+        path = lambda dataset: sinks.dataset_path(root, "silver", dataset)
+        sinks.write_games(moments.moment_table(kept), path(outputs[0]), run, ["moment_id"])
+        sinks.write_games(moments.player_locations(windows), path(outputs[1]), run, ["moment_id"], gather=False)
+        sinks.note_games(spark, there, run, root, "silver", outputs)
         dropped = moments.null_timestamp_counts(windows).agg(F.sum("dropped")).first()[0] or 0
     _raise_for(waiting, MissingInput, "no tracking landed for")
     return dropped
@@ -131,7 +127,7 @@ def build_tracking(spark: SparkSession, manifest: DataFrame, root: str, force: b
 
 def malformed_moments(spark: SparkSession, manifest: DataFrame, root: str) -> DataFrame:
     """``(game_id, malformed)`` of manifest games with listed moments that could not be decoded."""
-    return moments.malformed_counts(_of_games(_tracking_events(spark, root), manifest))
+    return moments.malformed_counts(_tracking_events(spark, root, manifest))
 
 
 def build_headers(spark: SparkSession, manifest: DataFrame, root: str, force: bool = False) -> None:
@@ -143,12 +139,12 @@ def build_headers(spark: SparkSession, manifest: DataFrame, root: str, force: bo
     games = sinks.pending_games(spark, manifest, root, "silver", outputs, force)
     if games.isEmpty():
         return
-    landed = _of_games(_tracking_events(spark, root), games)
+    landed = _tracking_events(spark, root, games)
     # Positions are numbered from 0 at landing, so this filter reaches the file scan.
     first = headers.first_headers(landed.where("event_pos = 0"))
     empty = headers.games_without_events(games, first)
     there = games.join(empty, "game_id", "left_anti")
-    _start(spark, there, root, "silver", outputs, force)
+    run = _start(spark, there, root, "silver", outputs, force)
     slices = {
         "dim_player": headers.player_rows(first),
         "dim_team": headers.team_rows(first),
@@ -156,8 +152,8 @@ def build_headers(spark: SparkSession, manifest: DataFrame, root: str, force: bo
         "roster": headers.roster_rows(first),
     }
     for dataset in SILVER_DIMS:
-        sinks.write_games(slices[dataset], sinks.dataset_path(root, "silver", dataset))
-    sinks.note_games(spark, there, root, "silver", outputs)
+        sinks.write_games(slices[dataset], sinks.dataset_path(root, "silver", dataset), run)
+    sinks.note_games(spark, there, run, root, "silver", outputs)
     _raise_for(empty, EmptyGames, "tracking document has no events for")
 
 
@@ -173,8 +169,7 @@ def build_shot_locations(
     path = sinks.dataset_path(root, "silver", "shot_location")
     excluded = F.col("game_id").isin(*exclude_games)
     if exclude_games:
-        sinks.note_games(spark, manifest.where(excluded), root, "silver", output, done=False)
-        sinks.clear_games(spark, manifest.where(excluded), path)
+        sinks.note_games(spark, manifest.where(excluded), None, root, "silver", output, done=False)
     games = sinks.pending_games(spark, manifest.where(~excluded) if exclude_games else manifest, root, "silver", output, force)
     if games.isEmpty():
         return
@@ -182,19 +177,19 @@ def build_shot_locations(
     there = games.join(landed, "game_id", "left_semi")
     waiting = games.join(landed, "game_id", "left_anti")
     if not there.isEmpty():
-        _start(spark, there, root, "silver", output, force)
-        pbp = _of_games(files.read_pbp(spark, sinks.dataset_path(root, "bronze", "pbp")), there)
+        run = _start(spark, there, root, "silver", output, force)
+        pbp = _landed_pbp(spark, root, there)
         shots = trajectory.shot_attempts(pbp, F.col("game_id"), "season")
-        listed = _of_games(_tracking_events(spark, root), there)
+        listed = _tracking_events(spark, root, there)
         windows = trajectory.rim_windows(trajectory.shot_windows(listed, shots))
-        sinks.write_games(trajectory.locate_shots(shots, windows), path, ["event_id"])
-        sinks.note_games(spark, there, root, "silver", output)
+        sinks.write_games(trajectory.locate_shots(shots, windows), path, run, ["event_id"])
+        sinks.note_games(spark, there, run, root, "silver", output)
     _raise_for(waiting, MissingInput, "no play-by-play or no tracking landed for")
 
 
 def build_events(spark: SparkSession, root: str) -> None:
     """Landed play-by-play -> ``event`` and ``event_participant``, both rebuilt in full."""
-    pbp = files.read_pbp(spark, sinks.dataset_path(root, "bronze", "pbp"))
+    pbp = _landed_pbp(spark, root)
     partition, cluster = ["season_start_year"], ["game_id", "event_id"]
     sinks.write_clustered(events.event(pbp), sinks.dataset_path(root, "silver", "event"), partition, cluster)
     participants = events.event_participant(pbp)
@@ -215,7 +210,7 @@ def build_dimensions(spark: SparkSession, root: str, seasons) -> None:
     """
 
     def read(dataset: str, schema: str) -> DataFrame:
-        return files.read_table(spark, sinks.dataset_path(root, "silver", dataset), schema)
+        return sinks.read_games(spark, root, "silver", dataset, schema)
 
     def write(df: DataFrame, dataset: str, key: str) -> None:
         sinks.write_clustered(df, sinks.dataset_path(root, "conformed", dataset), [], [key])
@@ -233,7 +228,7 @@ def build_dimensions(spark: SparkSession, root: str, seasons) -> None:
 def build_gold(spark: SparkSession, root: str) -> None:
     """Events and shot locations -> the mart, rebuilt in full and clustered by game and period."""
     event = files.read_table(spark, sinks.dataset_path(root, "silver", "event"), schemas.EVENT)
-    shots = files.read_table(spark, sinks.dataset_path(root, "silver", "shot_location"), schemas.SHOT_LOCATION)
+    shots = sinks.read_games(spark, root, "silver", "shot_location", schemas.SHOT_LOCATION)
     mart = gold.events_with_location(event, shots)
     path = sinks.dataset_path(root, "gold", "events_with_location")
     sinks.write_clustered(mart, path, ["season_start_year"], ["game_id", "period", "event_id"])

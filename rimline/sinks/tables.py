@@ -1,14 +1,15 @@
-"""Sinks: per-game partitions, full rebuilds, and a ledger of the games that are finished."""
+"""Sinks: per-game partitions in a folder per run, full rebuilds, and which games are finished."""
 
 import time
+import uuid
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rimline.sinks import ledger
+
 GAME_KEYS = ["season", "game_id"]
 _KEYS_DDL = "season STRING, game_id STRING"
-_LEDGER_DDL = f"{_KEYS_DDL}, at BIGINT, done BOOLEAN"
 # Event windows are wide rows; small row groups bound the memory of one read batch.
 WINDOW_ROW_GROUP_BYTES = 32 * 1024 * 1024
 
@@ -21,22 +22,28 @@ def dataset_path(root: str, layer: str, dataset: str) -> str:
     return f"{lake}/{layer}/{dataset}"
 
 
+def new_run() -> str:
+    """A name for a run's folders, which sorts by time."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
 def write_games(
-    df: DataFrame, path: str, sort_by: list[str] | None = None, gather: bool = True, row_group_bytes: int | None = None
+    df: DataFrame, path: str, run: str, sort_by: list[str] | None = None, gather: bool = True, row_group_bytes: int | None = None
 ) -> None:
-    """Replace the partitions of the games in ``df`` and leave all other games alone.
+    """Write the rows of games into the run's folder of a table, a directory per game inside.
 
-    ``gather`` brings the rows of a game together, so a game is a few files rather than one
+    Readers see the games once the ledger names the run; a run that broke off is never read. A repeated run replaces its
+    folder. ``gather`` brings the rows of a game together, so a game is a few files rather than one
     per task; Spark splits a game that is too large for one task. Frames that already arrive
-    file by file skip it.
+    game by game skip it.
     """
     rows = df.hint("rebalance", *GAME_KEYS) if gather else df
     if sort_by:
         rows = rows.sortWithinPartitions(*GAME_KEYS, *sort_by)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = rows.write.mode("overwrite")
     if row_group_bytes:
         writer = writer.option("parquet.block.size", row_group_bytes)
-    writer.partitionBy(*GAME_KEYS).parquet(path)
+    writer.partitionBy(*GAME_KEYS).parquet(f"{path}/run={run}")
 
 
 def write_clustered(df: DataFrame, path: str, partition_by: list[str], cluster_by: list[str]) -> None:
@@ -56,16 +63,10 @@ def write_clustered(df: DataFrame, path: str, partition_by: list[str], cluster_b
     _take_place(df.sparkSession, beside, path)
 
 
-def _file_system(spark: SparkSession, path: str):
-    """The file system that holds the path, and the path as it knows it."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
-
-
 def _take_place(spark: SparkSession, beside: str, path: str) -> None:
-    system, new = _file_system(spark, beside)
-    _, here = _file_system(spark, path)
-    _, old = _file_system(spark, f"{path}__old")
+    system, new = ledger.file_system(spark, beside)
+    _, here = ledger.file_system(spark, path)
+    _, old = ledger.file_system(spark, f"{path}__old")
     system.delete(old, True)
     if system.exists(here) and not system.rename(here, old):
         raise OSError(f"cannot move {path} aside")
@@ -74,54 +75,61 @@ def _take_place(spark: SparkSession, beside: str, path: str) -> None:
     system.delete(old, True)
 
 
-def games_on_disk(spark: SparkSession, path: str) -> DataFrame:
-    """``(season, game_id)`` of the game directories, by their names alone."""
-    system, where = _file_system(spark, f"{path}/season=*/game_id=*")
-    value = lambda p: p.getName().partition("=")[2]
-    found = [status.getPath() for status in system.globStatus(where) or []]
-    return spark.createDataFrame([(value(p.getParent()), value(p)) for p in found], _KEYS_DDL)
-
-
-def clear_games(spark: SparkSession, games: DataFrame, path: str) -> None:
-    """Remove the rows of the games; what is not there needs no removal.
+def read_games(
+    spark: SparkSession, root: str, layer: str, dataset: str, schema: str, games: DataFrame | None = None
+) -> DataFrame:
+    """The rows of a per-game table: of each finished game those of the run that its ledger line names.
 
-    One row per removed game comes to the driver.
+    With ``games`` only theirs. Only the folders of runs that hold such games are listed, and Spark skips other games'
+    directories at run time where the list is short enough to broadcast. The names of these runs come to the driver.
     """
-    there = games_on_disk(spark, path).join(games.select(*GAME_KEYS), GAME_KEYS, "left_semi")
-    for row in there.distinct().collect():
-        system, where = _file_system(spark, f"{path}/season={row.season}/game_id={row.game_id}")
-        system.delete(where, True)
+    path = dataset_path(root, layer, dataset)
+    live = ledger.lines(spark, root, layer, dataset).where("done").select("run", *GAME_KEYS)
+    if games is not None:
+        live = live.join(games.select("game_id").distinct(), "game_id", "left_semi")
+    runs = sorted(row.run for row in live.select("run").distinct().collect())
+    # A run of games without any rows has written no folder of rows.
+    if not runs:
+        return spark.createDataFrame([], schema)
+    stored = spark.read.schema(f"{schema}, run STRING").option("basePath", path).option("pathGlobFilter", "*.parquet")
+    rows = stored.parquet(*(f"{path}/run={run}" for run in runs))
+    return rows.join(live, ["run", *GAME_KEYS], "left_semi").drop("run")
 
 
-def _ledger_path(root: str, layer: str, dataset: str) -> str:
-    return dataset_path(root, "ledger", f"{layer}_{dataset}")
+def written_games(spark: SparkSession, path: str, run: str) -> DataFrame:
+    """``(season, game_id)`` of the games that have rows in a run's folder."""
+    stored = spark.read.schema(f"{_KEYS_DDL}, run STRING").option("basePath", path).option("pathGlobFilter", "*.parquet")
+    return stored.parquet(f"{path}/run={run}").select(*GAME_KEYS).distinct()
 
 
 def note_games(
-    spark: SparkSession, games: DataFrame, root: str, layer: str, datasets: list[str], done: bool = True
+    spark: SparkSession, games: DataFrame, run: str | None, root: str, layer: str, datasets: list[str], done: bool = True
 ) -> None:
     """Add a line per game and dataset to the ledger. The latest line of a game holds.
 
-    Written after the rows, so a game is finished only if all its rows are there.
+    Written after the rows, so a game is finished only if all its rows are there; games noted as not done have none.
     """
-    lines = games.select(*GAME_KEYS, F.lit(time.time_ns()).alias("at"), F.lit(done).alias("done")).distinct()
     for dataset in datasets:
-        lines.write.mode("append").parquet(_ledger_path(root, layer, dataset))
+        ledger.add(spark, games, run, root, layer, dataset, done)
 
 
 def finished_games(spark: SparkSession, root: str, layer: str, dataset: str) -> DataFrame:
-    """``(season, game_id)`` of games whose rows are all written, games without any rows included.
+    """``(season, game_id)`` of games whose rows are all written, games without any rows included."""
+    return ledger.lines(spark, root, layer, dataset).where("done").select(*GAME_KEYS)
+
+
+def sweep(spark: SparkSession, root: str, layer: str, dataset: str) -> list[str]:
+    """Delete the folders of runs that no finished game is read from any more, broken-off ones included; their names.
 
-    Reads the ledger, which has a line per game and run, and never the table.
+    Not to be called while a job writes the table: a run is named in the ledger after its rows are there.
     """
-    try:
-        lines = spark.read.schema(_LEDGER_DDL).parquet(_ledger_path(root, layer, dataset))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        lines = spark.createDataFrame([], _LEDGER_DDL)
-    latest = lines.groupBy("game_id").agg(F.max(F.struct("at", "done", "season")).alias("last"))
-    return latest.where("last.done").select("last.season", "game_id")
+    path = dataset_path(root, layer, dataset)
+    live = ledger.lines(spark, root, layer, dataset).where("done").select("run").distinct()
+    used = {f"run={row.run}" for row in live.collect()}
+    stale = [name for name in ledger.children(spark, path) if name.startswith("run=") and name not in used]
+    for name in stale:
+        ledger.delete(spark, f"{path}/{name}")
+    return stale
 
 
 def pending_games(
@@ -129,7 +137,7 @@ def pending_games(
 ) -> DataFrame:
     """Manifest games that lack at least one of the outputs; with ``force`` all of them.
 
-    The ledger's files are listed here once, so the list stays as it is while the job notes
+    Reads the ledger alone, whose files are picked here once, so the list stays as it is while the job notes
     its own games.
     """
     if force:

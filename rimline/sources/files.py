@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rimline import schemas
 from rimline.operators.manifest import manifest_subset, missing_games
+from rimline.sinks.ledger import children
 
 
 class UnknownGames(ValueError):
@@ -28,9 +29,26 @@ def load_manifest(spark: SparkSession, path: str, game_ids: list[str] | None = N
     return manifest_subset(manifest, requested)
 
 
-def read_tracking_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row per game document. A document is one JSON object, so one task reads one file."""
-    return spark.read.schema(schemas.TRACKING_DOCUMENT).option("multiLine", True).json(path)
+def _season_folders(spark: SparkSession, path: str, seasons: list[str]) -> list[str]:
+    """The folders of these seasons that are there."""
+    there = set(children(spark, path))
+    return [f"{path}/season={season}" for season in seasons if f"season={season}" in there]
+
+
+def arrived_documents(spark: SparkSession, path: str, seasons: list[str]) -> DataFrame:
+    """``(season, game_id)`` of the documents of some seasons. Spark's tasks list the games' folders; no document is opened."""
+    listed = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY, season STRING, game_id STRING"
+    folders = _season_folders(spark, path, seasons)
+    if not folders:
+        return spark.createDataFrame([], "season STRING, game_id STRING")
+    found = spark.read.format("binaryFile").schema(listed).option("basePath", path).option("pathGlobFilter", "*.json")
+    return found.load(folders).select("season", "game_id").distinct()
+
+
+def read_tracking_documents(spark: SparkSession, path: str, seasons: list[str] | None = None) -> DataFrame:
+    """One row per game document, of some seasons or all. A document is one JSON object, so one task reads one file."""
+    reader = spark.read.schema(schemas.TRACKING_DOCUMENT).option("multiLine", True).option("basePath", path)
+    return reader.json(path if seasons is None else _season_folders(spark, path, seasons))
 
 
 class MistypedFields(ValueError):
@@ -87,8 +105,3 @@ def read_season_pbp(spark: SparkSession, paths: str | list[str], check: bool = T
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A partitioned Parquet table; stray files of other kinds are left out."""
     return spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path)
-
-
-def read_pbp(spark: SparkSession, path: str) -> DataFrame:
-    """Landed play-by-play with the columns in use; the key comes from the directory names."""
-    return read_table(spark, path, schemas.PBP_LANDED)

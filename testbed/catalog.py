@@ -38,7 +38,7 @@ def _moment(spark, sf_dir):
 
 
 def _player_location(spark, sf_dir):
-    return moments.player_location_table(moments.dedup_moments(_moment_rows(spark, sf_dir)))
+    return moments.player_locations(derive.tracking_events(spark, sf_dir))
 
 
 def _windows(spark, sf_dir):

@@ -20,8 +20,8 @@ SF_DIR = "/root/testdata/sf0.001"
 def landed(spark, tmp_path_factory):
     """Event windows on disk, so that plans start from a real scan."""
     path = str(tmp_path_factory.mktemp("windows") / "tracking_event")
-    sinks.write_games(derive.tracking_events(spark, SF_DIR), path, gather=False)
-    return files.read_table(spark, path, schemas.TRACKING_EVENT)
+    sinks.write_games(derive.tracking_events(spark, SF_DIR), path, "one", gather=False)
+    return files.read_table(spark, f"{path}/run=one", schemas.TRACKING_EVENT)
 
 
 def test_copies_are_dropped_before_the_shuffle(landed):
@@ -37,6 +37,46 @@ def test_moment_pass_moves_no_players(landed):
     assert "positions" not in exchanged and "home" not in exchanged
 
 
+def above(text, node):
+    """The exchanges that stand above a scan with the column."""
+    lines = text.split("\n")
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and node in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    found, least = [], depth(lines[scan])
+    for line in reversed(lines[:scan]):
+        if depth(line) < least:
+            least = depth(line)
+            found += ["Exchange"] if line.lstrip(" :+-*()0123456789").startswith("Exchange") else []
+    return found
+
+
+def test_positions_move_once(spark, landed):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.optimizer.dynamicPartitionPruning.enabled", "false")  # Its subqueries show the scans again.
+    text = plan(moments.player_locations(landed).sortWithinPartitions("season", "game_id", "moment_id"))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.optimizer.dynamicPartitionPruning.enabled")
+    assert above(text, "array<struct<period") == ["Exchange"]
+    # The survivors come from timestamps alone.
+    scans = [line for line in text.split("\n") if "FileScan" in line]
+    assert len(scans) == 2 and sum("array<struct<period" in line for line in scans) == 1
+
+
+def test_a_game_of_positions_is_spread_and_gathered(spark, landed, tmp_path):
+    path = str(tmp_path / "player_location")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sinks.write_games(moments.player_locations(landed), path, "one", ["moment_id"], gather=False)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    written = spark.read.parquet(path)
+    assert written.count() == moments.player_location_table(moments.dedup_moments(moments.moment_rows(landed))).count()
+    blocks = landed.select("game_id", F.floor(F.col("event_pos") / moments.BLOCK_WINDOWS)).distinct().groupBy("game_id").count()
+    of_game = {r["game_id"]: r["count"] for r in blocks.collect()}
+    files_of_game = written.withColumn("f", F.input_file_name()).groupBy(F.format_string("%010d", F.col("game_id").cast("long")).alias("g")).agg(F.countDistinct("f").alias("n"))
+    assert all(r.n <= of_game[r.g] for r in files_of_game.collect())
+
+
 def test_timestamp_count_reads_timestamps_only(landed):
     text = plan(moments.null_timestamp_counts(landed))
     assert "ReadSchema: struct<moments:array<struct<moment_id:bigint>>>" in text
@@ -74,9 +114,9 @@ def test_one_game_with_most_rows_is_split(spark, tmp_path):
     )
     path = str(tmp_path / "games")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
-    sinks.write_games(rows, path, ["moment_id"])
+    sinks.write_games(rows, path, "one", ["moment_id"])
     spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    hot = os.listdir(os.path.join(path, "season=2015-16", "game_id=0021500001"))
+    hot = os.listdir(os.path.join(path, "run=one", "season=2015-16", "game_id=0021500001"))
     assert len([f for f in hot if f.endswith(".parquet")]) > 3
     assert spark.read.parquet(path).count() == 200_000
 
