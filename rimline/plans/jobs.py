@@ -12,7 +12,7 @@ from rimline import schemas
 from rimline.operators import headers, manifest as scope, moments, scd2, trajectory
 from rimline.plans import conformed, event as events, gold
 from rimline.sinks import tables as sinks
-from rimline.sources import files
+from rimline.sources import documents, files
 
 SILVER_DIMS = ("dim_player", "dim_team", "dim_game", "roster")
 
@@ -63,7 +63,7 @@ def land_pbp(spark: SparkSession, manifest: DataFrame, season_files, root: str,
 def land_tracking(spark: SparkSession, manifest: DataFrame, root: str, force: bool = False) -> None:
     """Tracking documents -> typed event windows, once, for all later jobs.
 
-    Games whose document has not arrived stay pending and are raised at the end.
+    A document is read by many tasks, by ranges of its bytes; one of a shape that can't be is read whole, by one task. Games whose document has not arrived stay pending and are raised at the end.
     """
     games = sinks.pending_games(spark, manifest, root, "bronze", ["tracking_event"], force)
     if games.isEmpty():
@@ -74,12 +74,17 @@ def land_tracking(spark: SparkSession, manifest: DataFrame, root: str, force: bo
     there = games.join(arrived.select("game_id"), "game_id", "left_semi")
     run = _start(spark, there, root, "bronze", ["tracking_event"], force)
     if not there.isEmpty():
-        documents = files.read_tracking_documents(spark, source, seasons)
-        documents = documents.join(there.select("season", "game_id").distinct(), ["season", "game_id"], "left_semi")
-        rows = moments.decode_events(moments.raw_event_rows(documents))
         path = sinks.dataset_path(root, "bronze", "tracking_event")
-        sinks.write_games(rows, path, run, gather=False, row_group_bytes=sinks.WINDOW_ROW_GROUP_BYTES)
-        sinks.note_games(spark, there, run, root, "bronze", ["tracking_event"])
+        write = lambda rows, name: sinks.write_games(rows, path, name, gather=False, row_group_bytes=sinks.WINDOW_ROW_GROUP_BYTES)
+        folders = files.season_folders(spark, source, seasons)
+        events, others = documents.read_events(spark, source, folders, there)
+        write(events, run)
+        by_ranges = there.join(others, ["season", "game_id"], "left_anti")
+        sinks.note_games(spark, by_ranges, run, root, "bronze", ["tracking_event"])
+        if not others.isEmpty():
+            read = files.read_tracking_documents(spark, source, seasons).join(others, ["season", "game_id"], "left_semi")
+            write(moments.decode_events(moments.raw_event_rows(read)), f"{run}-whole")
+            sinks.note_games(spark, others, f"{run}-whole", root, "bronze", ["tracking_event"])
     _raise_for(games.join(arrived.select("game_id"), "game_id", "left_anti"), MissingInput, "no tracking document for")
 
 

@@ -29,7 +29,7 @@ def load_manifest(spark: SparkSession, path: str, game_ids: list[str] | None = N
     return manifest_subset(manifest, requested)
 
 
-def _season_folders(spark: SparkSession, path: str, seasons: list[str]) -> list[str]:
+def season_folders(spark: SparkSession, path: str, seasons: list[str]) -> list[str]:
     """The folders of these seasons that are there."""
     there = set(children(spark, path))
     return [f"{path}/season={season}" for season in seasons if f"season={season}" in there]
@@ -38,7 +38,7 @@ def _season_folders(spark: SparkSession, path: str, seasons: list[str]) -> list[
 def arrived_documents(spark: SparkSession, path: str, seasons: list[str]) -> DataFrame:
     """``(season, game_id)`` of the documents of some seasons. Spark's tasks list the games' folders; no document is opened."""
     listed = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY, season STRING, game_id STRING"
-    folders = _season_folders(spark, path, seasons)
+    folders = season_folders(spark, path, seasons)
     if not folders:
         return spark.createDataFrame([], "season STRING, game_id STRING")
     found = spark.read.format("binaryFile").schema(listed).option("basePath", path).option("pathGlobFilter", "*.json")
@@ -48,7 +48,7 @@ def arrived_documents(spark: SparkSession, path: str, seasons: list[str]) -> Dat
 def read_tracking_documents(spark: SparkSession, path: str, seasons: list[str] | None = None) -> DataFrame:
     """One row per game document, of some seasons or all. A document is one JSON object, so one task reads one file."""
     reader = spark.read.schema(schemas.TRACKING_DOCUMENT).option("multiLine", True).option("basePath", path)
-    return reader.json(path if seasons is None else _season_folders(spark, path, seasons))
+    return reader.json(path if seasons is None else season_folders(spark, path, seasons))
 
 
 class MistypedFields(ValueError):
