@@ -11,9 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rimline.functions.keys import canonical_game_id, season_label, season_start_year
 from rimline.operators.trajectory import shot_attempts
 
-# Frames in the window of a shot, and of any other event.
+# Frames in the window of an event.
 FRAMES = 40
-SHORT_FRAMES = 4
 TEAM_BASE = 1610612737
 PLAYER_BASE = 200000
 # A literal calendar that lacks the later seasons of the rosters.
@@ -98,16 +97,30 @@ def shots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shot_attempts(pbp_raw(spark, sf_dir), canonical_game_id(F.col("GAME_ID")))
 
 
-def _windows(spark: SparkSession, sf_dir: str, moments: str) -> DataFrame:
-    """Two listings of each event's window, the first one 50 ft off; every 13th event has none.
+# Where windows were stored, by what they are and the tables they come from.
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def store_windows(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Write both kinds of windows once; from then on they are read from there, as jobs read landed ones."""
+    for kind, made in (("typed", tracking_events), ("raw", raw_tracking_events)):
+        made(spark, sf_dir).write.mode("overwrite").parquet(f"{folder}/{kind}")
+    for kind in ("typed", "raw"):
+        _STORED[kind, sf_dir] = f"{folder}/{kind}"
+
+
+def _windows(spark: SparkSession, sf_dir: str, kind: str, moments: str) -> DataFrame:
+    """Two listings of each event's window, the first one 50 ft off; those of every 13th event are empty or missing.
 
     ``moments`` is worked out inside the generator, hence once per listing whatever is asked of it.
     """
-    raw = table(spark, sf_dir, "events").select("event_id", "user_id")
-    listed = raw.where("event_id % 13 <> 0")
+    if (kind, sf_dir) in _STORED:
+        return spark.read.parquet(_STORED[kind, sf_dir])
+    listed = table(spark, sf_dir, "events").select("event_id", "user_id")
     game = game_key(F.col("user_id"))
-    # A shot's row becomes a window of some 20 KB below, so the rows are worth dealing out first.
-    placed = listed.repartition("event_id").select(
+    # A row becomes a window of some 20 KB below: few rows are worth dealing out to all cores, which Spark can't know.
+    wide = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    placed = listed.repartition(wide, "event_id").select(
         season_label(season_start_year(game)).alias("season"),
         game.alias("game_id"),
         "event_id",
@@ -116,7 +129,6 @@ def _windows(spark: SparkSession, sf_dir: str, moments: str) -> DataFrame:
         F.expr("double(5 + (37 * event_id) % 84)").alias("x0"),
         F.expr("double(2 + (13 * event_id) % 46)").alias("y0"),
         F.expr("IF(5 + (37 * event_id) % 84 <= 47, 5.25D, 88.75D)").alias("hx"),
-        F.expr(f"IF(event_id % 18 IN (0, 1) AND event_id % 7 < 5, {FRAMES}, {SHORT_FRAMES})").alias("n_frames"),
     )
     # The second listing of some events has no moments at all.
     listings = F.expr(
@@ -164,7 +176,7 @@ _FRAMES = """
       'shot_clock', IF(event_id % 6 <> 0, 24 - p.i / 8D, NULL),
       'positions', IF(event_id % 2 = 0, concat(p.ball, p.shooter, p.defender),
                       concat(p.defender, p.shooter, p.ball))))"""
-_ALL_FRAMES = "sequence(0, n_frames - 1)"
+_ALL_FRAMES = f"IF(event_id % 13 = 0, array(), sequence(0, {FRAMES - 1}))"
 # Frames whose raw form is one element short.
 _MALFORMED = "(11 * event_id + {i}) % 53 = 0"
 
@@ -176,7 +188,7 @@ def _frames(indexes: str) -> str:
 def tracking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed event windows, as the landing job writes them."""
     well_formed = f"filter({_ALL_FRAMES}, i -> NOT ({_MALFORMED.format(i='i')}))"
-    return _windows(spark, sf_dir, _frames(well_formed))
+    return _windows(spark, sf_dir, "typed", _frames(well_formed))
 
 
 def raw_tracking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,7 +202,7 @@ def raw_tracking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = f"""
       transform({_frames(_ALL_FRAMES)}, (m, i) -> IF({_MALFORMED.format(i='i')},
         array({scalars}, {absent}), array({scalars}, {absent}, {positions})))"""
-    return _windows(spark, sf_dir, raw)
+    return _windows(spark, sf_dir, "raw", raw)
 
 
 def _header_side(offset: int) -> str:
