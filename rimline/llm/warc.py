@@ -8,7 +8,8 @@ writes the same records. Blocks are text; ``archived`` gives the records as byte
 
 Defined cases: a page without html has an empty payload; one without a url has an empty target; a row whose id is
 null is a page like any other; rows with equal ids have records with ids of their own unless
-url and html are the same, too; markup that never ends is dropped to the end; an empty table gives no rows; other
+url and html are the same, too; markup that never ends is dropped to the end; for links and the language a tag
+ends at the next angle bracket; an empty table gives no rows; other
 columns are never read.
 """
 
@@ -51,9 +52,12 @@ BLOCKS = frozenset(
     "main nav ol p pre section table tbody td tfoot th thead title tr ul".split()
 )
 SPACES = re.compile(r"[ \t\r\f\v\xa0]+")
-TITLE = re.compile(r"<title\b[^>]*>([^<]*)", re.IGNORECASE)
-LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.IGNORECASE)
-LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.IGNORECASE)
+# A tag ends at the next bracket of either kind, so tags that never end are each looked at once.
+TITLE = re.compile(r"<title\b[^<>]*>([^<]*)", re.IGNORECASE)
+ROOT = re.compile(r"<html\b[^<>]*", re.IGNORECASE)
+LANGUAGE = re.compile(r"\blang\s*+=\s*+[\"']?([A-Za-z-]+)", re.IGNORECASE)
+ANCHOR = re.compile(r"<a\b[^<>]*", re.IGNORECASE)
+LINK = re.compile(r"\bhref\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.IGNORECASE)
 
 
 def digest(block: bytes) -> str:
@@ -112,8 +116,10 @@ def derive(page_id: int, response: str, target: str, date: str, headers: str, pa
     body = payload.encode()
     payload_digest = digest(body)
     text = plain_text(payload)
-    title, language = TITLE.search(payload), LANGUAGE.search(payload)
-    links = [next(filter(None, groups), "") for groups in LINK.findall(payload)]
+    title = TITLE.search(payload)
+    language = next(filter(None, (LANGUAGE.search(tag.group()) for tag in ROOT.finditer(payload))), None)
+    hrefs = (LINK.search(tag.group()) for tag in ANCHOR.finditer(payload))
+    links = [next(filter(None, href.groups()), "") for href in hrefs if href]
     conversion = record_id("conversion", response)
     about = [
         ("source-record-id", response),

@@ -1,10 +1,11 @@
 """Records read back from their bytes, links between them, and the text of pages."""
 
 import hashlib
+import time
 from base64 import b32encode
 
 from rimline.llm.common import table
-from rimline.llm.warc import archived, derivatives, digest, op7_warc_derivatives, parsed, plain_text, responses
+from rimline.llm.warc import archived, derivatives, derive, digest, op7_warc_derivatives, parsed, plain_text, responses
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -50,3 +51,20 @@ def test_odd_rows(spark):
     assert len(found) == 10
     assert {r.block for r in found if r.warc_type == "conversion"} == {"", "t", "l" * 5000}
     assert derivatives(responses(pages.limit(0))).count() == 0
+
+
+def test_tags_that_never_end(spark):
+    """A megabyte of each, in time that grows with its length."""
+    for piece in ("<a ", "<html ", "<title ", "<a href='", '<a href="x ', "<script ", "<!-- ", "</script ", "<a href= ", "<html lang ", "href  "):
+        page = piece * (1_000_000 // len(piece))
+        started = time.perf_counter()
+        assert len(list(derive(1, "<urn:uuid:1>", "u", "d", "h", page))) == 2
+        assert time.perf_counter() - started < 2, piece
+
+
+def test_links_and_language():
+    page = "<HTML class=x lang='de-AT'><a class=b href=one>1</a><A HREF = 'two x'>2</A><a name=n>3</a><a href=\"three\" <a href=four>"
+    block = next(derive(1, "<urn:uuid:1>", "u", "d", "h", page))[-1]
+    fields = [line.split(": ", 1) for line in block.split("\r\n") if line]
+    assert [v for k, v in fields if k == "outlink"] == ["one", "two x", "three", "four"]
+    assert dict(fields)["language"] == "de-AT"
