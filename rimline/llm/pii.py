@@ -5,7 +5,7 @@ pattern and the gaps between them give places in code points. Patterns are writt
 looks at a run of characters twice and never recurses, whatever the length of the text.
 
 Kinds: email; ip (parts at most 255); card (14 to 19 digits, Luhn); phone (10 to 15 digits); and, beyond
-those, iban (mod 97). A span's score is its kind's prior, raised if a word that goes with the kind stands
+those, iban (as long as its country's, mod 97). A span's score is its kind's prior, raised if a word that goes with the kind stands
 near and lowered if one that speaks against it does. Spans of the first four kinds are kept whatever their
 score; an iban is kept if its check digits are right and no word speaks against it.
 
@@ -37,6 +37,20 @@ class Kind:
     base: bool = True
 
 
+# Characters of an account number by the country that it begins with.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def iban_pattern() -> str:
+    """As many letters and digits as the country's numbers have, whatever follows after a space."""
+    whole = "|".join(f"(?:{names.replace(' ', '|')})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{size - 4}}}" for size, names in IBAN_LENGTHS.items())
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{whole})(?![A-Za-z0-9])"
+
+
 # Where a match may begin: at the start of a run of its characters, or right after the match before.
 # In an email's last part, dots stand alone and between other characters.
 KINDS = (
@@ -74,7 +88,7 @@ KINDS = (
     ),
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+        iban_pattern(),
         "",
         0.7,
         r"iban|bank|account|transfer|konto",

@@ -84,6 +84,13 @@ def test_accounts_and_scores(spark):
     assert found[4]["phone"] > 0.7 > found[5]["phone"]
 
 
+def test_accounts_end_where_their_country_says(spark):
+    texts = ["DE89370400440532013000 BIC COBADEFFXXX", "GB82 WEST 1234 5698 7654 32 USD 500", "DE89370400440532013000 2024", "NO93 8601 1117 947", "DE893704004405320130001", "XX89370400440532013000", "DE89 3704 0044 0532 0130 01 and GB82WEST12345698765432"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == "iban"] for r in personal_data(docs).collect()}
+    assert found == {0: [texts[0][:22]], 1: [texts[1][:27]], 2: [texts[2][:22]], 3: [texts[3]], 4: [], 5: [], 6: ["GB82WEST12345698765432"]}
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, "a"), (1, "", "b"), (None, "x@y.zz", "c")], "doc_id long, text string, spans string")
     assert sorted(len(r.spans) for r in personal_data(docs).collect()) == [0, 0, 1]
