@@ -29,6 +29,15 @@ def utf8(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")
 
 
+def quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
+def whole_row(docs: DataFrame, *but: str) -> Column:
+    """The caller's columns in one, named row, beside which helper columns of any name can stand."""
+    return F.struct(*(F.col(quoted(c)) for c in docs.columns if c not in but)).alias("row")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder: what ``spark.checkpoint.dir`` names; one of its own only where the setting is
     absent, as in tests on one machine."""

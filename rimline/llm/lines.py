@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from rimline.llm.common import cut, slices, table, utf8
+from rimline.llm.common import cut, slices, table, utf8, whole_row
 
 #: Words a run must have to be deleted.
 MIN_WORDS = 30
@@ -120,7 +120,7 @@ def _cut_lines(schema: pa.Schema):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ranges = batch.column("text"), batch.column("_cut_ranges")
+            texts, ranges = batch.column("text"), batch.column("ranges")
             made = [shorter(t.as_py(), r.as_py()) for t, r in zip(texts, ranges)]
             new = dict(zip(("text", "_n_lines", "_n_cut_lines", "_n_cut_words"), zip(*made) if made else [[]] * 4))
             columns = [pa.array(new[f.name], f.type) if f.name in new else batch.column(f.name) for f in schema]
@@ -129,27 +129,35 @@ def _cut_lines(schema: pa.Schema):
     return run
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_line: int | None = None) -> DataFrame:
-    """The rows with shorter texts, and _n_lines, _n_cut_lines, _n_cut_words (long) beside them."""
+def _shortened(docs: DataFrame, min_words: int, min_line: int | None) -> DataFrame:
+    """(row, text, _n_lines, _n_cut_lines, _n_cut_words): the other columns, packed, and what becomes of the text."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    ranges = repeated_ranges(docs, min_words, min_line).select(F.col("doc_id").alias("_cut_id"), F.col("part").alias("_cut_part"), F.col("ranges").alias("_cut_ranges"))
-    docs = docs.withColumn("text", F.col("text").cast("string"))
-    same = (docs.doc_id.cast("long") == ranges._cut_id) & (F.xxhash64(docs.text) == ranges._cut_part)
-    joined = docs.join(ranges.hint("shuffle_hash"), same, "left").drop("_cut_id", "_cut_part")
-    schema = StructType(list(docs.schema.fields)).add("_n_lines", "long").add("_n_cut_lines", "long").add("_n_cut_words", "long")
-    assert schema["text"].dataType == StringType()
+    ranges = repeated_ranges(docs, min_words, min_line)
+    rows = docs.select(whole_row(docs, "text"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    same = (F.col("id") == F.col("doc_id")) & (F.xxhash64("text") == F.col("part"))
+    joined = rows.join(ranges.hint("shuffle_hash"), same, "left").select("row", "text", "ranges")
+    schema = StructType(list(rows.select("row", "text").schema.fields)).add("_n_lines", "long").add("_n_cut_lines", "long").add("_n_cut_words", "long")
     return joined.mapInArrow(_cut_lines(to_arrow_schema(schema)), schema)
 
 
+def _unpacked(docs: DataFrame) -> list:
+    return [F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
+
+
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_line: int | None = None) -> DataFrame:
+    """The rows with shorter texts, and _n_lines, _n_cut_lines, _n_cut_words (long) beside them."""
+    return _shortened(docs, min_words, min_line).select(*_unpacked(docs), "_n_lines", "_n_cut_lines", "_n_cut_words")
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents with repeated runs of lines deleted; one that loses every word goes.
 
-    Such a document consists of runs that earlier ones hold.
+    Such a document consists of runs that earlier ones hold. Other columns are passed on, whatever their names.
     """
-    done = dedup_lines(docs)
+    done = _shortened(docs, MIN_WORDS, None)
     gone = F.col("_n_cut_words") > 0
-    return done.where(~(gone & ~F.col("text").rlike(r"[^\x09-\x0D\x20]"))).select(docs.columns)
+    return done.where(~(gone & ~F.col("text").rlike(r"[^\x09-\x0D\x20]"))).select(_unpacked(docs))
 
 
 def op2_winnowed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimline.llm.common import cut, table
+from rimline.llm.common import cut, table, whole_row
 
 #: Labelled rows that the classifier may be fitted on: those of the least id hashes.
 SAMPLE = 20_000
@@ -75,7 +75,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domains: list[str], sampl
     known = known.where(F.col("_domain").isin(domains)).groupBy("_id").agg(F.min("_domain").alias("_domain"))
     # The sample bounds this side: 20,000 rows of an id and a name.
     known = F.broadcast(cut(known.orderBy(F.xxhash64("_id"), "_id").limit(sample)))
-    held_rows = docs.join(known, F.col("doc_id") == F.col("_id"))
+    held_rows = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id"))
     words = _words(held_rows.select("doc_id", "text"), "_doc")
     words = words.where("word is not null").join(known, F.col("_doc") == F.col("_id"))
     each = [F.count(F.when(F.col("_domain") == d, 1)).alias(f"n{k}") for k, d in enumerate(domains)]
@@ -169,11 +169,11 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, anchor: str = ANCHOR) -> DataFrame:
-    """The documents, each as often as its rate says."""
-    found = rates(docs, labels, targets, anchor).select(F.col("doc_id").alias("_mix_id"), copies(F.col("rate"), F.col("doc_id")).alias("_mix_copies"))
-    joined = docs.join(found.hint("shuffle_hash"), docs.doc_id.cast("long").eqNullSafe(found._mix_id), "left")
-    taken = F.explode(F.expr("array_repeat(0, cast(_mix_copies as int))"))
-    return joined.withColumn("_mix_again", taken).select(docs.columns)
+    """The documents, each as often as its rate says. Other columns are passed on, whatever their names."""
+    found = rates(docs, labels, targets, anchor).select(F.col("doc_id").alias("known"), copies(F.col("rate"), F.col("doc_id")).alias("copies"))
+    rows = docs.select(whole_row(docs), F.col("doc_id").cast("long").alias("id"))
+    joined = rows.join(found.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("known")), "left")
+    return joined.select("row", F.explode(F.expr("array_repeat(0, cast(copies as int))"))).select("row.*")
 
 
 def op1_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rimline.llm.common import table, utf8
+from rimline.llm.common import table, utf8, whole_row
 
 #: Labelled rows that rules may be learned from: those of the least id hashes.
 SAMPLE = 20_000
@@ -36,7 +36,7 @@ PRECISION = 0.97
 LEAST_COVERED = 5
 MOST_CONDITIONS = 3
 MOST_RULES = 12
-#: Thresholds tried for a statistic: quantiles of its values.
+#: Thresholds tried for a statistic: beside so many quantiles of its values.
 CUTS = 32
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_marks")
@@ -153,6 +153,14 @@ def _covers(rule: Rule, values: dict[str, np.ndarray], size: int) -> np.ndarray:
     return held
 
 
+def _thresholds(found: np.ndarray) -> list[float]:
+    """Midpoints between neighbouring values, at the quantiles: a rule keeps a margin to the values on either side."""
+    known = np.unique(found)
+    places = np.searchsorted(known, np.quantile(found, np.linspace(0, 1, CUTS + 1)[:-1], method="lower"))
+    places = np.unique(places[places < len(known) - 1])
+    return ((known[places] + known[places + 1]) / 2).tolist()
+
+
 def _grow(values: dict[str, np.ndarray], poor: np.ndarray) -> Rule:
     """Conditions added one by one, each of the largest gain, until only poor rows are covered."""
     rule: Rule = ()
@@ -163,7 +171,7 @@ def _grow(values: dict[str, np.ndarray], poor: np.ndarray) -> Rule:
             break
         best, gain = None, 1e-9
         for name, found in values.items():
-            for threshold in np.unique(np.quantile(found[held], np.linspace(0, 1, CUTS + 1)[1:-1])).tolist():
+            for threshold in _thresholds(found[held]):
                 for above in (True, False):
                     condition = Condition(name, above, threshold)
                     now = held & condition.holds(values)
@@ -243,7 +251,7 @@ def judged(docs: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def only_kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rules = fit_rules(docs, labels)
-    return judged(docs, rules).where("_kept").select(docs.columns)
+    return judged(docs.select(whole_row(docs), "text"), rules).where("_kept").select("row.*")
 
 
 def op6_learned_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,3 +70,26 @@ def test_run_on_nothing(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+HELPERS = (
+    "row", "id", "part", "ranges", "known", "copies", "n", "size", "head", "node", "bytes", "kept", "text_", "_id", "_bytes", "_kept", "_base_failed", "_n_words", "_word_chars",
+    "_n_lines", "_n_cut_lines", "_n_cut_words", "_cut_id", "_cut_part", "_cut_ranges", "_mix_id", "_mix_copies", "_mix_again", "_near_id", "_quality", "a b", "a.b", "a`b",
+)
+
+
+def test_columns_of_any_name_come_through_unchanged(spark, tmp_path):
+    words = [" ".join(f"{w}{i}" for i in range(60)) for w in ("alpha", "beta", "gamma")]
+    base = [(1, words[0]), (2, words[0] + " end"), (3, words[1] + "\n" + words[2]), (4, "own words here\n" * 12 + words[2]), (None, words[1][:150]), (5, None)]
+    extra = ", ".join(f"`{name.replace('`', '``')}` string" for name in HELPERS)
+    rows = [(i, t, "en", *(f"{name}-{k}" for name in HELPERS)) for k, (i, t) in enumerate(base)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, {extra}")
+    labels = spark.createDataFrame([(1, 1, 0), (3, 1, 0), (5, 0, 1)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    whole = {r[3:] for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        found = out.collect()
+        assert found and {r[3:] for r in found} <= whole, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() > 0
