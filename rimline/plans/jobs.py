@@ -6,6 +6,8 @@ game whose input is not there yet, or is faulty, stays pending: the job does all
 and then raises an error that names every such game.
 """
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rimline import schemas
@@ -192,13 +194,43 @@ def build_shot_locations(
     _raise_for(waiting, MissingInput, "no play-by-play or no tracking landed for")
 
 
-def build_events(spark: SparkSession, root: str) -> None:
-    """Landed play-by-play -> ``event`` and ``event_participant``, both rebuilt in full."""
-    pbp = _landed_pbp(spark, root)
-    partition, cluster = ["season_start_year"], ["game_id", "event_id"]
-    sinks.write_clustered(events.event(pbp), sinks.dataset_path(root, "silver", "event"), partition, cluster)
-    participants = events.event_participant(pbp)
-    sinks.write_clustered(participants, sinks.dataset_path(root, "silver", "event_participant"), partition, cluster)
+def _games_of(spark: SparkSession, root: str, layer: str, dataset: str, parts: DataFrame) -> DataFrame:
+    """Finished games of a per-game table that lie in the mart parts."""
+    there = sinks.mart_parts(sinks.finished_games(spark, root, layer, dataset))
+    named = parts.select("season", F.col("game_id").alias("part"))
+    return there.join(named, ["season", "part"], "left_semi").select("game_id")
+
+
+def _rebuild(spark: SparkSession, root: str, layer: str, dataset: str, sources: list, make, sort_by: list[str]) -> int:
+    """Write the mart parts whose sources changed, and no others; how many there were."""
+    looked = time.time_ns()  # What lands from here on makes a part stale again.
+    parts = sinks.stale_parts(spark, sources, root, layer, dataset)
+    # As many rows as seasons times buckets; fixed, so that the job sees one list.
+    names = [(r.season, r.game_id) for r in parts.collect()]
+    if not names:
+        return 0
+    parts = spark.createDataFrame(names, "season STRING, game_id STRING")
+    run = sinks.new_run()
+    rows = make(parts).withColumn("bucket", sinks.game_bucket(F.col("game_id")))
+    sinks.write_parts(rows, sinks.dataset_path(root, layer, dataset), run, sinks.MART_KEYS, sort_by)
+    sinks.ledger.add(spark, parts, run, root, layer, dataset, True, looked)
+    return len(names)
+
+
+def build_events(spark: SparkSession, root: str) -> int:
+    """Landed play-by-play -> ``event`` and ``event_participant``; only the parts with games that changed are written.
+
+    Returns how many parts of the two tables were written.
+    """
+    sources = [("games", "bronze", "pbp")]
+
+    def of(plan):
+        return lambda parts: plan(_landed_pbp(spark, root, _games_of(spark, root, "bronze", "pbp", parts)))
+
+    return sum(
+        _rebuild(spark, root, "silver", dataset, sources, of(plan), ["game_id", "event_id"])
+        for dataset, plan in (("event", events.event), ("event_participant", events.event_participant))
+    )
 
 
 def _known_seasons(roster: DataFrame, season: DataFrame) -> None:
@@ -230,13 +262,20 @@ def build_dimensions(spark: SparkSession, root: str, seasons) -> None:
     write(scd2.open_stints(roster, season), "player_team_season", "player_id")
 
 
-def build_gold(spark: SparkSession, root: str) -> None:
-    """Events and shot locations -> the mart, rebuilt in full and clustered by game and period."""
-    event = files.read_table(spark, sinks.dataset_path(root, "silver", "event"), schemas.EVENT)
-    shots = sinks.read_games(spark, root, "silver", "shot_location", schemas.SHOT_LOCATION)
-    mart = gold.events_with_location(event, shots)
-    path = sinks.dataset_path(root, "gold", "events_with_location")
-    sinks.write_clustered(mart, path, ["season_start_year"], ["game_id", "period", "event_id"])
+def build_gold(spark: SparkSession, root: str) -> int:
+    """Events and shot locations -> the mart; only the parts with games that changed are written, by game and period.
+
+    Returns how many parts were written.
+    """
+
+    def make(parts: DataFrame) -> DataFrame:
+        event = sinks.read_parts(spark, root, "silver", "event", f"{schemas.EVENT}, bucket INT", sinks.MART_KEYS, parts)
+        games = _games_of(spark, root, "silver", "shot_location", parts)
+        shots = sinks.read_games(spark, root, "silver", "shot_location", schemas.SHOT_LOCATION, games)
+        return gold.events_with_location(event, shots)
+
+    sources = [("mart", "silver", "event"), ("games", "silver", "shot_location")]
+    return _rebuild(spark, root, "gold", "events_with_location", sources, make, ["game_id", "period", "event_id"])
 
 
 def advance_rosters(spark: SparkSession, snapshot: str, roster: DataFrame, target: str, seasons) -> None:

@@ -1,4 +1,7 @@
-"""The index of games: which run's folder holds the rows of each game of a table, and which games are finished.
+"""The index of a table's parts: which run's folder holds the rows of each part, and which parts are finished.
+
+A part is named by two keys, here ``season`` and ``game_id``: of per-game tables they are just these, of marts a season and a
+bucket of games, of the roster history a state and a bucket of players.
 
 A table's index is a log of small batches, one per run, and a snapshot of the latest line of each game, written anew once the log
 has grown. Jobs read the newest whole snapshot and what the log holds, and never the table's directory tree, so the check
@@ -73,15 +76,20 @@ def lines(spark: SparkSession, root: str, layer: str, dataset: str) -> DataFrame
 
 
 def _latest(found: DataFrame) -> DataFrame:
-    latest = found.groupBy("game_id").agg(F.max(F.struct("at", "done", "season", "run")).alias("last"))
-    return latest.select("last.season", "game_id", "last.run", "last.at", "last.done")
+    latest = found.groupBy("season", "game_id").agg(F.max(F.struct("at", "done", "run")).alias("last"))
+    return latest.select("season", "game_id", "last.run", "last.at", "last.done")
+
 
+def add(
+    spark: SparkSession, games: DataFrame, run: str | None, root: str, layer: str, dataset: str, done: bool, at: int | None = None
+) -> None:
+    """A line for each game; written after its rows, so a finished game's rows are all there.
 
-def add(spark: SparkSession, games: DataFrame, run: str | None, root: str, layer: str, dataset: str, done: bool) -> None:
-    """A line for each game; written after its rows, so a finished game's rows are all there."""
+    ``at`` is the time that the lines stand for: now, or when a job that depends on other tables looked at them.
+    """
     index = index_path(root, layer, dataset)
     own = games.select("season", "game_id").distinct()
-    own = own.withColumns({"run": F.lit(run).cast("string"), "at": F.lit(time.time_ns()), "done": F.lit(done)})
+    own = own.withColumns({"run": F.lit(run).cast("string"), "at": F.lit(at or time.time_ns()), "done": F.lit(done)})
     own.write.parquet(f"{index}/log/{_name()}")
     if len(_batches(spark, index)) >= COMPACT_AFTER + len(_folded(spark, index)):
         compact(spark, root, layer, dataset)

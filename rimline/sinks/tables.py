@@ -4,8 +4,9 @@ import time
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from rimline.functions.keys import season_start_year
 from rimline.sinks import ledger
 
 GAME_KEYS = ["season", "game_id"]
@@ -63,6 +64,72 @@ def write_clustered(df: DataFrame, path: str, partition_by: list[str], cluster_b
     _take_place(df.sparkSession, beside, path)
 
 
+#: Buckets of games in a season of a mart.
+GAME_BUCKETS = 64
+MART_KEYS = ["season_start_year", "bucket"]
+
+
+def game_bucket(game_id: Column) -> Column:
+    return F.pmod(F.xxhash64(game_id), F.lit(GAME_BUCKETS)).cast("int")
+
+
+def write_parts(df: DataFrame, path: str, run: str, keys: list[str], sort_by: list[str]) -> None:
+    """Write the rows of some parts of a table into the run's folder, a part's rows together and ordered."""
+    rows = df.hint("rebalance", *keys).sortWithinPartitions(*keys, *sort_by)
+    rows.write.mode("overwrite").partitionBy(*keys).parquet(f"{path}/run={run}")
+
+
+def read_parts(
+    spark: SparkSession, root: str, layer: str, dataset: str, schema: str, keys: list[str], wanted: DataFrame | None = None
+) -> DataFrame:
+    """The rows of a table's parts, of each those of the run that its ledger line names; with ``wanted`` (season, game_id) only theirs.
+
+    ``schema`` holds the keys, which come from directory names. As many names of runs come to the driver as the parts are from.
+    """
+    path = dataset_path(root, layer, dataset)
+    live = ledger.lines(spark, root, layer, dataset).where("done")
+    if wanted is not None:
+        live = live.join(wanted, GAME_KEYS, "left_semi")
+    runs = sorted(row.run for row in live.select("run").distinct().collect())
+    if not runs:
+        return spark.createDataFrame([], schema)
+    stored = spark.read.schema(f"{schema}, run STRING").option("basePath", path).option("pathGlobFilter", "*.parquet")
+    rows = stored.parquet(*(f"{path}/run={run}" for run in runs))
+    kinds = dict(rows.dtypes)
+    named = [F.col(own).cast(kinds[key]).alias(key) for own, key in zip(GAME_KEYS, keys)]
+    return rows.join(live.select("run", *named), ["run", *keys], "left_semi").select([c for c in rows.columns if c != "run"])
+
+
+def read_mart(spark: SparkSession, root: str, layer: str, dataset: str, schema: str, game_id: str | None = None) -> DataFrame:
+    """A table laid out by season and bucket of games; with ``game_id`` only the one bucket that holds the game is opened."""
+    rows = read_parts(spark, root, layer, dataset, f"{schema}, bucket INT", MART_KEYS)
+    if game_id is not None:
+        game = F.lit(game_id)
+        rows = rows.where((F.col("season_start_year") == season_start_year(game)) & (F.col("bucket") == game_bucket(game)))
+    return rows.drop("bucket")
+
+
+def mart_parts(games: DataFrame) -> DataFrame:
+    """(season, game_id) names of the mart parts that hold the games, and when their lines are from."""
+    start, bucket = season_start_year(F.col("game_id")), game_bucket(F.col("game_id"))
+    return games.select(start.cast("string").alias("season"), bucket.cast("string").alias("part"), *[c for c in games.columns if c != "season"])
+
+
+def stale_parts(spark: SparkSession, sources: list[tuple[str, str, str]], root: str, layer: str, dataset: str) -> DataFrame:
+    """(season, game_id) names of the mart parts with games of the sources (kind, layer, dataset) that changed after the part was written.
+
+    Kinds of sources: ``games`` for per-game tables, ``mart`` for tables with the same parts. Reads ledgers only.
+    """
+    changed = []
+    for kind, own_layer, own in sources:
+        lines = ledger.lines(spark, root, own_layer, own)
+        named = mart_parts(lines).select("season", F.col("part").alias("game_id"), "at") if kind == "games" else lines.select(*GAME_KEYS, "at")
+        changed.append(named)
+    newest = reduce(lambda a, b: a.union(b), changed).groupBy(*GAME_KEYS).agg(F.max("at").alias("changed"))
+    built = ledger.lines(spark, root, layer, dataset).select(*GAME_KEYS, "at")
+    return newest.join(built, GAME_KEYS, "left").where("at IS NULL OR changed >= at").select(*GAME_KEYS)
+
+
 def _take_place(spark: SparkSession, beside: str, path: str) -> None:
     system, new = ledger.file_system(spark, beside)
     _, here = ledger.file_system(spark, path)

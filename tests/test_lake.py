@@ -85,11 +85,13 @@ def run_games(spark, lake, games=None, **options):
     return dropped
 
 
-REBUILT = ("event", "event_participant")
+MARTS = ("event", "event_participant", "events_with_location")
 
 
 def read(spark, root, layer, dataset, schema):
-    if layer in ("bronze", "silver") and dataset not in REBUILT:
+    if dataset in MARTS:
+        return sinks.read_mart(spark, root, layer, dataset, schema)
+    if layer in ("bronze", "silver"):
         return sinks.read_games(spark, root, layer, dataset, schema)
     return files.read_table(spark, sinks.dataset_path(root, layer, dataset), schema)
 
@@ -383,3 +385,29 @@ def test_tables_skip_other_directories(spark, lake):
     events = read(spark, root, "bronze", "tracking_event", schemas.TRACKING_EVENT)
     plan = events.where(F.col("game_id") == GAMES[0])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(game_id" in plan
+
+
+def test_one_new_game_rewrites_one_bucket(spark, lake):
+    root, manifest_path, season = lake
+    run_games(spark, lake, list(GAMES[:2]))
+    assert jobs.build_events(spark, root) == 4 and jobs.build_gold(spark, root) == 2
+    before = {layer: stamps(root, layer) for layer in ("silver", "gold")}
+    assert jobs.build_events(spark, root) == 0 and jobs.build_gold(spark, root) == 0
+    assert stamps(root, "gold") == before["gold"]
+    write_document(tmp(root) / "bronze" / "tracking", GAMES[2], game_events(5), SEASON[GAMES[2]])
+    run_games(spark, lake)
+    assert jobs.build_events(spark, root) == 2 and jobs.build_gold(spark, root) == 1
+    new = set(stamps(root, "gold")) - set(before["gold"])
+    assert before["gold"].items() <= stamps(root, "gold").items()
+    assert new and all("season_start_year=1999" in path for path in new)
+    mart = read(spark, root, "gold", "events_with_location", schemas.EVENTS_WITH_LOCATION)
+    assert rows(mart, "game_id", "event_id", "has_shot_location") == [(g, e, e == 1) for g in GAMES for e in (1, 2)]
+    # A game that loses its shots makes its own bucket stale, and no other.
+    manifest = files.load_manifest(spark, manifest_path, [GAMES[0]])
+    jobs.build_shot_locations(spark, manifest, root, exclude_games=(GAMES[0],))
+    assert jobs.build_events(spark, root) == 0 and jobs.build_gold(spark, root) == 1
+    mart = read(spark, root, "gold", "events_with_location", schemas.EVENTS_WITH_LOCATION)
+    assert rows(mart.where("has_shot_location"), "game_id") == [(g,) for g in GAMES[1:]]
+    one = sinks.read_mart(spark, root, "gold", "events_with_location", schemas.EVENTS_WITH_LOCATION, GAMES[1])
+    text = one._jdf.queryExecution().executedPlan().toString()
+    assert rows(one, "game_id", "event_id") == [(GAMES[1], 1), (GAMES[1], 2)] and "(bucket#" in text.split("PartitionFilters: ")[1]
