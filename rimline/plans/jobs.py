@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rimline import schemas
 from rimline.operators import headers, manifest as scope, moments, scd2, trajectory
 from rimline.plans import conformed, event as events, gold
-from rimline.sinks import tables as sinks
+from rimline.sinks import history, tables as sinks
 from rimline.sources import documents, files
 
 SILVER_DIMS = ("dim_player", "dim_team", "dim_game", "roster")
@@ -278,6 +278,16 @@ def build_gold(spark: SparkSession, root: str) -> int:
     return _rebuild(spark, root, "gold", "events_with_location", sources, make, ["game_id", "period", "event_id"])
 
 
+def advance_history(spark: SparkSession, root: str, roster: DataFrame, seasons) -> list[int]:
+    """A batch of roster rows -> the lake's roster history, where only the batch's buckets of players are replaced.
+
+    Returns these buckets. The first batch opens the history.
+    """
+    season = conformed.dim_season(spark, seasons)
+    _known_seasons(roster, season)
+    return history.advance(spark, root, scd2.open_stints(roster, season))
+
+
 def advance_rosters(spark: SparkSession, snapshot: str, roster: DataFrame, target: str, seasons) -> None:
     """Roster snapshot and a batch of roster rows -> the next snapshot, written beside the old one."""
     if snapshot.rstrip("/") == target.rstrip("/"):
