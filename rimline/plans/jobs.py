@@ -8,7 +8,7 @@ and then raises an error that names every such game.
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from rimline import schemas
 from rimline.operators import headers, manifest as scope, moments, scd2, trajectory
@@ -45,21 +45,56 @@ def _start(spark: SparkSession, games: DataFrame, root: str, layer: str, dataset
     return sinks.new_run()
 
 
-def land_pbp(spark: SparkSession, manifest: DataFrame, season_files, root: str, force: bool = False) -> None:
+#: Where rows lie whose own game id does not fit.
+UNKNOWN = ("unknown", "unknown")
+
+
+def land_pbp(spark: SparkSession, manifest: DataFrame, season_files, root: str, force: bool = False) -> int:
     """Season play-by-play files -> one partition per manifest game, rows and columns unchanged.
 
-    Games without rows in the files are left pending and raised once the others have landed.
+    Rows with text that does not fit its column go to a side table, with their file, and all others land: one bad field stops
+    no game. Returns how many rows went aside; ``quarantined_pbp`` lists them. Games without rows in the files are
+    left pending and raised once the others have landed.
     """
     games = sinks.pending_games(spark, manifest, root, "bronze", ["pbp"], force)
     if games.isEmpty():
-        return
-    season = files.read_season_pbp(spark, season_files)
+        return 0
+    season = files.season_rows(spark, season_files)
     run = _start(spark, games, root, "bronze", ["pbp"], force)
     path = sinks.dataset_path(root, "bronze", "pbp")
-    sinks.write_games(scope.pbp_of_games(season, games), path, run, ["EVENTNUM"])
+    faulty = F.col("mistyped") > 0
+    # Faulty rows are counted as the good ones are written; the side table is another pass only where there are any.
+    seen = Observation()
+    about = [c for c in files.ABOUT_ROWS if c != "mistyped"]
+    scoped = scope.pbp_of_games(season.drop(*about), games).observe(seen, F.count(F.when(faulty, 1)).alias("faulty"))
+    sinks.write_games(scoped.where(~faulty).drop("mistyped"), path, run, ["EVENTNUM"])
+    aside = seen.get["faulty"]
+    without_game = season.where(F.array_contains("faults", "GAME_ID"))
+    lost = without_game.count()
+    _set_aside(spark, root, run, season if aside else None, without_game if lost else None, games)
     written = sinks.written_games(spark, path, run).select("game_id")
     sinks.note_games(spark, games.join(written, "game_id", "left_semi"), run, root, "bronze", ["pbp"])
     _raise_for(games.join(written, "game_id", "left_anti"), EmptyGames, "no play-by-play rows for")
+    return aside + lost
+
+
+def _set_aside(spark: SparkSession, root: str, run: str, season: DataFrame | None, without_game: DataFrame | None, games: DataFrame) -> None:
+    """Write the run's faulty rows; the games' earlier ones are replaced, and so are those without a game."""
+    found = []
+    if season is not None:
+        found.append(scope.pbp_of_games(season.where("mistyped > 0"), games))
+    if without_game is not None:
+        found.append(without_game.withColumns({"season": F.lit(UNKNOWN[0]), "game_id": F.lit(UNKNOWN[1])}))
+    columns = ["faults", "source_file", "source_text", "season", "game_id"]
+    for part in found:
+        part.select(columns).write.mode("append").partitionBy("season", "game_id").parquet(f"{sinks.dataset_path(root, 'bronze', 'pbp_quarantine')}/run={run}")
+    parts = games.select("season", "game_id").union(spark.createDataFrame([UNKNOWN], "season STRING, game_id STRING"))
+    sinks.note_games(spark, parts, run if found else None, root, "bronze", ["pbp_quarantine"], done=bool(found))
+
+
+def quarantined_pbp(spark: SparkSession, root: str) -> DataFrame:
+    """Rows of the latest run of each game that were not landed: the columns at fault, the file and the row's text."""
+    return sinks.read_games(spark, root, "bronze", "pbp_quarantine", schemas.QUARANTINE)
 
 
 def land_tracking(spark: SparkSession, manifest: DataFrame, root: str, force: bool = False) -> None:

@@ -54,6 +54,8 @@ PBP_TYPES = {
 PBP_LANDED = ", ".join(
     [f"{name} {kind}" for name, kind in PBP_TYPES.items() if name != "GAME_ID"] + ["season STRING", "game_id STRING"]
 )
+# Rows of season files that were not landed: the columns whose text does not fit, the file, and the row as JSON text.
+QUARANTINE = "faults ARRAY<STRING>, source_file STRING, source_text STRING, season STRING, game_id STRING"
 
 MOMENT = (
     "moment_id BIGINT, period INT, game_clock DOUBLE, shot_clock DOUBLE, "

@@ -66,7 +66,7 @@ def _typed(name: str) -> Column:
 
 
 def typed_pbp(rows: DataFrame) -> DataFrame:
-    """Text rows with the columns in use typed. ``mistyped`` counts the fields of a row that lose their text.
+    """Text rows with the columns in use typed. ``mistyped`` counts the fields of a row that lose their text, ``faults`` names them.
 
     A column in use that the rows lack is NULL; other columns stay text.
     """
@@ -75,7 +75,8 @@ def typed_pbp(rows: DataFrame) -> DataFrame:
     others = [F.col(n) for n in rows.columns if n not in schemas.PBP_TYPES]
     absent = [F.lit(None).cast(t.lower()).alias(n) for n, t in schemas.PBP_TYPES.items() if n not in rows.columns]
     mistyped = sum((flag.cast("int") for flag in lost), F.lit(0))
-    return rows.select(*[_typed(n).alias(n) for n in wanted], *absent, *others, mistyped.alias("mistyped"))
+    faults = F.array_compact(F.array(*[F.when(flag, n) for flag, n in zip(lost, wanted)])) if wanted else F.array().cast("array<string>")
+    return rows.select(*[_typed(n).alias(n) for n in wanted], *absent, *others, mistyped.alias("mistyped"), faults.alias("faults"))
 
 
 def _season_paths(spark: SparkSession, paths: str | list[str]) -> list[str]:
@@ -84,22 +85,36 @@ def _season_paths(spark: SparkSession, paths: str | list[str]) -> list[str]:
     return sorted(row.path for row in listed.collect())
 
 
-def read_season_pbp(spark: SparkSession, paths: str | list[str], check: bool = True) -> DataFrame:
-    """Season play-by-play files, each read by its own header and matched by column name.
+#: What ``season_rows`` adds to the columns of the files.
+ABOUT_ROWS = ("mistyped", "faults", "source_file", "source_text")
+
 
-    A column that one file lacks is NULL there. Columns in use get their types, the others stay text. With
-    ``check``, text that does not fit its column's type is counted in one pass and raised.
+def season_rows(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Season play-by-play files, each read by its own header and matched by column name; faulty rows included.
+
+    A column that one file lacks is NULL there. Columns in use get their types, the others stay text. Beside them
+    each row has what does not fit (``mistyped``, ``faults``), its file, and its own text as JSON.
     """
-    text = [
-        spark.read.options(header=True, inferSchema=False, escape='"').csv(path)
-        for path in _season_paths(spark, paths)
-    ]
-    rows = typed_pbp(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), text))
+
+    def one(path: str) -> DataFrame:
+        text = spark.read.options(header=True, inferSchema=False, escape='"').csv(path)
+        own = F.to_json(F.struct(*[F.col(f"`{c}`") for c in text.columns]))
+        return text.select("*", F.col("_metadata.file_path").alias("source_file"), own.alias("source_text"))
+
+    text = [one(path) for path in _season_paths(spark, paths)]
+    typed = typed_pbp(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), text))
+    # A one-row generator: filters on what was found out about a row don't work it out again, field by field.
+    return typed.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in typed.columns]))))
+
+
+def read_season_pbp(spark: SparkSession, paths: str | list[str], check: bool = True) -> DataFrame:
+    """``season_rows`` without what is said about them. With ``check``, faulty fields are counted in one pass and raised."""
+    rows = season_rows(spark, paths)
     if check:
         lost = rows.agg(F.sum("mistyped")).first()[0]
         if lost:
             raise MistypedFields(f"{lost} field(s) of the season files do not fit the type of their column")
-    return rows.drop("mistyped")
+    return rows.drop(*ABOUT_ROWS)
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:

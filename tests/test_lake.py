@@ -411,3 +411,27 @@ def test_one_new_game_rewrites_one_bucket(spark, lake):
     one = sinks.read_mart(spark, root, "gold", "events_with_location", schemas.EVENTS_WITH_LOCATION, GAMES[1])
     text = one._jdf.queryExecution().executedPlan().toString()
     assert rows(one, "game_id", "event_id") == [(GAMES[1], 1), (GAMES[1], 2)] and "(bucket#" in text.split("PartitionFilters: ")[1]
+
+
+def test_one_bad_field_stops_no_game(spark, lake):
+    root, manifest_path, season = lake
+    manifest = files.load_manifest(spark, manifest_path, list(GAMES[:2]))
+    path = os.path.join(season, "pbp_2015.csv")
+    text = pathlib.Path(path).read_text()
+    bad = pbp_row(GAMES[0], 3, 1) | {"PERIOD": "one", "PLAYER1_ID": "x"}
+    lost = pbp_row(GAMES[1], 4, 1) | {"GAME_ID": "21500622a"}
+    other = pbp_row("0021500999", 5, 1) | {"PERIOD": "two"}  # Not a game of this run.
+    with open(path, "a", newline="") as f:
+        csv.DictWriter(f, PBP_COLUMNS).writerows([bad, lost, other])
+    assert jobs.land_pbp(spark, manifest, season, root) == 2
+    landed = read(spark, root, "bronze", "pbp", schemas.PBP_LANDED)
+    assert rows(landed, "game_id", "EVENTNUM") == [(g, e) for g in GAMES[:2] for e in (1, 2)]
+    aside = jobs.quarantined_pbp(spark, root)
+    assert rows(aside, "game_id", "faults") == [(GAMES[0], ["PERIOD", "PLAYER1_ID"]), ("unknown", ["GAME_ID"])]
+    assert all(r.source_file.endswith("pbp_2015.csv") for r in aside.collect())
+    said = json.loads(aside.where(F.col("game_id") == GAMES[0]).first().source_text)
+    assert (said["PERIOD"], said["EVENTNUM"]) == ("one", "3")
+    pathlib.Path(path).write_text(text)  # Mended and landed again, nothing is aside any more.
+    assert jobs.land_pbp(spark, manifest, season, root, force=True) == 0
+    assert jobs.quarantined_pbp(spark, root).count() == 0
+    assert rows(read(spark, root, "bronze", "pbp", schemas.PBP_LANDED), "game_id", "EVENTNUM") == rows(landed, "game_id", "EVENTNUM")
