@@ -157,12 +157,15 @@ def build_tracking(spark: SparkSession, manifest: DataFrame, root: str, force: b
     if not there.isEmpty():
         run = _start(spark, there, root, "silver", outputs, force)
         windows = _tracking_events(spark, root, there)
-        kept = moments.dedup_moments(moments.moment_rows(windows))
+        # Counted as the rows pass on their way to the first table, so no read of its own is needed.
+        seen = Observation()
+        listed = moments.moment_rows(windows).drop("positions").observe(seen, F.count(F.when(F.col("moment_id").isNull(), 1)).alias("dropped"))
+        kept = moments.dedup_moments(listed)
         path = lambda dataset: sinks.dataset_path(root, "silver", dataset)
         sinks.write_games(moments.moment_table(kept), path(outputs[0]), run, ["moment_id"])
         sinks.write_games(moments.player_locations(windows), path(outputs[1]), run, ["moment_id"], gather=False)
         sinks.note_games(spark, there, run, root, "silver", outputs)
-        dropped = moments.null_timestamp_counts(windows).agg(F.sum("dropped")).first()[0] or 0
+        dropped = seen.get["dropped"]
     _raise_for(waiting, MissingInput, "no tracking landed for")
     return dropped
 
