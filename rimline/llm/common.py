@@ -40,10 +40,12 @@ def whole_row(docs: DataFrame, *but: str) -> Column:
 
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder: what ``spark.checkpoint.dir`` names; one of its own only where the setting is
-    absent, as in tests on one machine."""
+    absent on one machine, as in tests. On a cluster, whose machines share no folder of their own, its absence is an error."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
     return context.getCheckpointDir()
 
