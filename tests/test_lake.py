@@ -435,3 +435,15 @@ def test_one_bad_field_stops_no_game(spark, lake):
     assert jobs.land_pbp(spark, manifest, season, root, force=True) == 0
     assert jobs.quarantined_pbp(spark, root).count() == 0
     assert rows(read(spark, root, "bronze", "pbp", schemas.PBP_LANDED), "game_id", "EVENTNUM") == rows(landed, "game_id", "EVENTNUM")
+
+
+def test_moments_without_a_timestamp_are_counted(spark, lake):
+    root, manifest_path, _ = lake
+    events = game_events(5)
+    events[0]["moments"].append(moment(0, 1.0, (1.0, 2.0, 3.0), (4.0, 5.0)))
+    events[0]["moments"][-1][1] = None
+    write_document(tmp(root) / "bronze" / "tracking", GAMES[2], events, SEASON[GAMES[2]])
+    manifest = files.load_manifest(spark, manifest_path, [GAMES[2]])
+    jobs.land_tracking(spark, manifest, root)
+    assert jobs.build_tracking(spark, manifest, root) == 1
+    assert rows(read(spark, root, "silver", "tracking_moment", schemas.MOMENT), "moment_id") == [(1005,), (1045,)]
