@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from rimline import schemas
 from rimline.operators import headers, manifest as scope, moments, scd2, trajectory
 from rimline.plans import conformed, event as events, gold
-from rimline.sinks import history, tables as sinks
+from rimline.sinks import history, reports, tables as sinks
 from rimline.sources import documents, files
 
 SILVER_DIMS = ("dim_player", "dim_team", "dim_game", "roster")
@@ -74,6 +74,7 @@ def land_pbp(spark: SparkSession, manifest: DataFrame, season_files, root: str,
     _set_aside(spark, root, run, season if aside else None, without_game if lost else None, games)
     written = sinks.written_games(spark, path, run).select("game_id")
     sinks.note_games(spark, games.join(written, "game_id", "left_semi"), run, root, "bronze", ["pbp"])
+    reports.note(spark, root, "land_pbp", run, {"set_aside": aside + lost})
     _raise_for(games.join(written, "game_id", "left_anti"), EmptyGames, "no play-by-play rows for")
     return aside + lost
 
@@ -162,10 +163,15 @@ def build_tracking(spark: SparkSession, manifest: DataFrame, root: str, force: b
         listed = moments.moment_rows(windows).drop("positions").observe(seen, F.count(F.when(F.col("moment_id").isNull(), 1)).alias("dropped"))
         kept = moments.dedup_moments(listed)
         path = lambda dataset: sinks.dataset_path(root, "silver", dataset)
-        sinks.write_games(moments.moment_table(kept), path(outputs[0]), run, ["moment_id"])
-        sinks.write_games(moments.player_locations(windows), path(outputs[1]), run, ["moment_id"], gather=False)
+        written = {name: Observation() for name in outputs}
+        count = lambda df, name: df.observe(written[name], F.count("*").alias("rows"))
+        sinks.write_games(count(moments.moment_table(kept), outputs[0]), path(outputs[0]), run, ["moment_id"])
+        sinks.write_games(count(moments.player_locations(windows), outputs[1]), path(outputs[1]), run, ["moment_id"], gather=False)
         sinks.note_games(spark, there, run, root, "silver", outputs)
         dropped = seen.get["dropped"]
+        by_game = {"dropped": moments.null_timestamp_counts(windows)} if dropped else {}
+        counts = {"dropped": dropped, **{name: found.get["rows"] for name, found in written.items()}}
+        reports.note(spark, root, "build_tracking", run, counts, by_game)
     _raise_for(waiting, MissingInput, "no tracking landed for")
     return dropped
 
@@ -227,7 +233,10 @@ def build_shot_locations(
         shots = trajectory.shot_attempts(pbp, F.col("game_id"), "season")
         listed = _tracking_events(spark, root, there)
         windows = trajectory.rim_windows(trajectory.shot_windows(listed, shots))
-        sinks.write_games(trajectory.locate_shots(shots, windows), path, run, ["event_id"])
+        seen = Observation()
+        located = trajectory.locate_shots(shots, windows).observe(seen, F.count("*").alias("shots"), F.count("shooter_x").alias("located"))
+        sinks.write_games(located, path, run, ["event_id"])
+        reports.note(spark, root, "build_shot_locations", run, seen.get)
         sinks.note_games(spark, there, run, root, "silver", output)
     _raise_for(waiting, MissingInput, "no play-by-play or no tracking landed for")
 

@@ -13,7 +13,7 @@ from rimline import schemas
 from rimline.constants import SEASONS
 from rimline.operators import manifest as scope
 from rimline.plans import jobs, serving
-from rimline.sinks import ledger, tables as sinks
+from rimline.sinks import ledger, reports, tables as sinks
 from rimline.sources import files
 from rimline.streaming.new_games import land_new_documents
 from test_dimensions import side
@@ -447,3 +447,14 @@ def test_moments_without_a_timestamp_are_counted(spark, lake):
     jobs.land_tracking(spark, manifest, root)
     assert jobs.build_tracking(spark, manifest, root) == 1
     assert rows(read(spark, root, "silver", "tracking_moment", schemas.MOMENT), "moment_id") == [(1005,), (1045,)]
+    jobs.land_pbp(spark, manifest, lake[2], root)
+    jobs.build_shot_locations(spark, manifest, root)
+    assert rows(reports.read(spark, root), "job", "game_id", "measure", "value") == [
+        ("build_shot_locations", None, "located", 1),
+        ("build_shot_locations", None, "shots", 1),
+        ("build_tracking", None, "dropped", 1),
+        ("build_tracking", None, "player_location", 2),
+        ("build_tracking", None, "tracking_moment", 2),
+        ("build_tracking", GAMES[2], "dropped", 1),
+        ("land_pbp", None, "set_aside", 0),
+    ]
