@@ -23,6 +23,6 @@ def test_query_equals_sql(spark, name):
 
 def test_each_operator_is_registered_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) <= set(entry_points.queries()) and "pipeline" in QUERIES
     assert corpus_pipeline.ORACLE_SQL is None
