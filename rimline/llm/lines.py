@@ -1,17 +1,21 @@
-"""Line dedup by winnowing: later repeats of a run of lines go.
+"""Line dedup by winnowing: later repeats of runs of lines go.
 
-A run is consecutive lines of one document (lines of white space alone are passed over, and stay) with at
-least ``min_words`` words. A line goes if it lies in a run whose lines stand, equal but for outer white
-space, earlier: in a document of smaller id, or above in the same one without overlap. With ``min_line``, a shorter line
-alone is a run, too, if it has that many words and stands in more than one document.
+A line longer than a sentence counts as several: it is cut after words that end in ``.``, ``!`` or ``?``, so that a passage
+which shares its first and last line with other text is found, too. Such a piece of a line is a unit here.
 
-1. Windows: from every line the shortest run that begins there, and the shortest that ends there.
-   Together they cover every line of any run. A window's fingerprint is its least line hash,
+A run is consecutive units of one document (lines of white space alone are passed over, and stay) with at
+least ``min_words`` words. A unit goes if it lies in a run whose units stand, equal but for outer white
+space, earlier: in a document of smaller id, or above in the same one without overlap. With ``min_line``, a whole line
+of fewer words is a run, too, if it has that many and stands in more than one document. A line that loses all its
+units goes; one that loses some keeps the others with the white space after them.
+
+1. Windows: from every unit the shortest run that begins there, and the shortest that ends there.
+   Together they cover every unit of any run. A window's fingerprint is its least unit hash,
    so equal runs have equal fingerprints at equal places. A place is kept once, with its windows.
 2. Places of equal fingerprints meet; a fingerprint with one place goes no further.
-3. Around a shared fingerprint the match extends both ways: each window about it has a 128-bit key of all
-   its lines, and a window with an earlier equal is deleted. Equal windows are never compared pair by pair,
-   so a passage in a third of all documents costs one row each.
+3. Around a shared fingerprint the match extends both ways: each window about it has a 64-bit key of all
+   its units, which with the fingerprint makes 128 bits, and a window with an earlier equal is deleted. Equal windows are
+   never compared pair by pair, so a passage in a third of all documents costs one row each.
 
 Defined cases: a null text stays null; rows with null ids stay as they are and match nothing; rows
 with equal ids and texts are one document, equal ids with different texts are ordered by
@@ -20,6 +24,7 @@ a hash of the text; an empty table gives no rows; other columns are passed on.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,67 +32,113 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StructType
 
-from rimline.llm.common import cut, slices, table, utf8, whole_row
+from rimline.llm.common import cut, mixed, slices, table, utf8, whole_row
 
 #: Words a run must have to be deleted.
 MIN_WORDS = 30
-
-PLACES = "fingerprint long, doc_id long, part long, windows array<struct<first:int, last:int, key:binary, short:boolean>>"
-RANGES = "array<struct<first:int, last:int>>"
-
-
-def windows(text: bytes, min_words: int, min_line: int | None = None) -> Iterator[tuple[int, list[tuple[int, int, bytes, bool]]]]:
-    """(fingerprint, its windows) of each selected place; a window is its first and last line, its key, and whether it has fewer words than a run."""
-    at, words, hashes = [], [], []
-    for number, line in enumerate(text.split(b"\n")):
-        if count := len(line.split()):
-            at.append(number)
-            words.append(count)
-            hashes.append(xxhash.xxh3_64_intdigest(line.strip()))
-    if not at:
-        return
-    each = np.array(hashes, np.uint64)
+#: Words of a whole line that is deleted alone, where it stands in other documents.
+MIN_LINE = 5
+
+PLACES = "fingerprint long, doc_id long, part long, windows array<struct<first:int, last:int, key:long, short:boolean>>"
+WINDOW = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("key", pa.int64()), ("short", pa.bool_())])
+
+#: Where a line is cut: after the white space that follows the end of a sentence.
+SENTENCE_END = r"[.!?][ \t\r\f\v]+"
+_ENDS, _ENDS_UTF8 = re.compile(SENTENCE_END), re.compile(SENTENCE_END.encode())
+_BASE = 0x9E3779B97F4A7C15
+_UNBASE = pow(_BASE, -1, 1 << 64)
+
+
+def pieces(line, ends: re.Pattern) -> list:
+    """A line's units, with the white space after them."""
+    at = [0, *(m.end() for m in ends.finditer(line)), len(line)]
+    return [line[i:j] for i, j in zip(at, at[1:]) if i < j]
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, base, np.uint64))])
+
+
+def _least(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The index of the last least hash from first to last, for many spans: two overlapping powers of two cover each."""
+    least, of_level = np.empty(len(first), np.int64), np.log2(last - first + 1).astype(np.int64)
+    level = np.arange(len(hashes))
+    for k in range(int(of_level.max()) + 1):
+        if k:
+            a, b = level[: -(1 << (k - 1))], level[1 << (k - 1) :]
+            level = np.where(hashes[b] <= hashes[a], b, a)
+        now = of_level == k
+        a, b = level[first[now]], level[last[now] - (1 << k) + 1]
+        least[now] = np.where(hashes[b] <= hashes[a], b, a)
+    return least
+
+
+def windows(text: bytes, min_words: int, min_line: int | None = None) -> tuple | None:
+    """Arrays of a text's windows, ordered by place: fingerprint, place, first and last unit, key, whether shorter than a run."""
+    words, hashes, whole = [], [], []
+    for line in text.split(b"\n"):
+        if line and not line.isspace():
+            for unit in pieces(line, _ENDS_UTF8):
+                words.append(len(unit.split()))
+                hashes.append(xxhash.xxh3_64_intdigest(unit.strip()))
+            whole.append(len(words))
+    n = len(words)
     ends = np.cumsum(words)
-    starts = ends - words
-    if ends[-1] < min(min_words, min_line or min_words):
-        return
+    if not n or ends[-1] < min(min_words, min_line or min_words):
+        return None
+    each, starts = np.array(hashes, np.uint64), ends - words
+    units = np.arange(n)
     last = np.searchsorted(ends, starts + min_words)
     first = np.searchsorted(starts, ends - min_words, side="right") - 1
-    spans = {(i, int(j)) for i, j in enumerate(last) if j < len(at)} | {(int(i), j) for j, i in enumerate(first) if i >= 0}
+    from_here, to_here = last < n, first >= 0
+    spans = [units[from_here] * n + last[from_here], first[to_here] * n + units[to_here]]
     if min_line:
-        spans |= {(i, i) for i, n in enumerate(words) if n >= min_line}
-    places: dict[int, list] = {}
-    for i, j in sorted(spans):
-        run = each[i : j + 1]
-        least = j - int(run[::-1].argmin()) if j > i else i
-        places.setdefault(least, []).append((at[i], at[j], xxhash.xxh3_128_digest(run.tobytes()), bool(ends[j] - starts[i] < min_words)))
-    for place, found in places.items():
-        yield int(each[place].astype(np.int64)), found
+        after = np.array(whole)
+        begin = np.concatenate([[0], after[:-1]])
+        size = ends[after - 1] - starts[begin]
+        alone = (size >= min_line) & (size < min_words)
+        spans.append(begin[alone] * n + after[alone] - 1)
+    first, last = np.divmod(np.unique(np.concatenate(spans)), n)
+    if not len(first):
+        return None
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(each) * _powers(_BASE, n - 1))])
+    keys = mixed((sums[last + 1] - sums[first]) * _powers(_UNBASE, n - 1)[first] + (last - first).astype(np.uint64))
+    place = _least(each, first, last)
+    order = np.argsort(place, kind="stable")
+    first, last, place = first[order], last[order], place[order]
+    return each[place].view(np.int64), place, first, last, keys[order].view(np.int64), ends[last] - starts[first] < min_words
 
 
 def _places(min_words: int, min_line: int | None):
-    kinds = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("key", pa.binary()), ("short", pa.bool_())]))
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
-            out = [
-                (fingerprint, doc_id, part, [dict(zip(("first", "last", "key", "short"), w)) for w in found])
-                for doc_id, part, text in zip(rows["doc_id"], rows["part"], rows["text"])
-                for fingerprint, found in windows(text, min_words, min_line)
-            ]
-            columns = list(zip(*out)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), kinds))],
-                names=["fingerprint", "doc_id", "part", "windows"],
-            )
+            prints, ids, parts, offsets, spans, n = [], [], [], [], [], 0
+            for doc_id, part, text in zip(rows["doc_id"], rows["part"], rows["text"]):
+                if (found := windows(text, min_words, min_line)) is None:
+                    continue
+                fingerprint, place, *span = found
+                heads = np.flatnonzero(np.diff(place, prepend=-1))
+                prints.append(fingerprint[heads])
+                ids.append(np.full(len(heads), doc_id))
+                parts.append(np.full(len(heads), part))
+                offsets.append(heads + n)
+                spans.append(span)
+                n += len(place)
+            if n:
+                columns = [pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*spans), WINDOW)]
+                nested = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([*offsets, [n]]), pa.int32()), pa.StructArray.from_arrays(columns, fields=list(WINDOW))
+                )
+                flat = [pa.array(np.concatenate(c), pa.int64()) for c in (prints, ids, parts)]
+                yield pa.RecordBatch.from_arrays([*flat, nested], names=["fingerprint", "doc_id", "part", "windows"])
 
     return run
 
 
-def repeated_ranges(docs: DataFrame, min_words: int = MIN_WORDS, min_line: int | None = None) -> DataFrame:
-    """(doc_id, part, ranges): the line numbers, from 0, of the runs to delete; part is a hash of the text."""
+def repeated_ranges(docs: DataFrame, min_words: int = MIN_WORDS, min_line: int | None = MIN_LINE) -> DataFrame:
+    """(doc_id, part, ranges): the numbers, from 0, of the units to delete; part is a hash of the text."""
     texts = docs.where("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("part"), utf8().alias("text")
     )
@@ -95,27 +146,37 @@ def repeated_ranges(docs: DataFrame, min_words: int = MIN_WORDS, min_line: int |
     shared = cut(places.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint"))
     runs = cut(
         places.join(shared, "fingerprint")
-        .select("doc_id", "part", F.explode("windows").alias("w"))
-        .select("w.key", "w.short", F.struct("doc_id", "part", "w.first", "w.last").alias("place"))
+        .select("fingerprint", "doc_id", "part", F.explode("windows").alias("w"))
+        .select("fingerprint", "w.key", "w.short", F.struct("doc_id", "part", "w.first", "w.last").alias("place"))
+    )
+    again = runs.groupBy("fingerprint", "key").agg(
+        F.min("place").alias("earliest"), F.max("place.doc_id").alias("most"), F.max("short").alias("short"), F.count("*").alias("n")
     )
-    again = runs.groupBy("key").agg(F.min("place").alias("earliest"), F.max("place.doc_id").alias("most"), F.max("short").alias("short"), F.count("*").alias("n"))
-    earliest = cut(again.where("n > 1 and (not short or earliest.doc_id < most)").select("key", "earliest"))
+    earliest = cut(again.where("n > 1 and (not short or earliest.doc_id < most)").select("fingerprint", "key", "earliest"))
     apart = F.expr("place.doc_id <> earliest.doc_id or place.part <> earliest.part or place.first > earliest.last")
-    later = runs.join(earliest, "key").where(apart).select("place.*")
+    later = runs.join(earliest, ["fingerprint", "key"]).where(apart).select("place.*")
     return later.groupBy("doc_id", "part").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("ranges"))
 
 
 def _cut_lines(schema: pa.Schema):
     def shorter(text: str | None, ranges: list | None) -> tuple:
-        if text is None:
-            return None, 0, 0, 0
-        lines = text.split("\n")
-        keep = np.ones(len(lines), bool)
-        for span in ranges or ():
-            keep[span["first"] : span["last"] + 1] = False
-        sizes = [0 if kept else len(line.encode().split()) for line, kept in zip(lines, keep)]
-        kept = [line for line, kept, size in zip(lines, keep, sizes) if kept or not size]
-        words = sum(sizes)
+        if text is None or not ranges:
+            return text, 0 if text is None else text.count("\n") + 1, 0, 0
+        gone = np.zeros(max(span["last"] for span in ranges) + 1, bool)
+        for span in ranges:
+            gone[span["first"] : span["last"] + 1] = True
+        lines, kept, unit, words = text.split("\n"), [], 0, 0
+        for line in lines:
+            units = pieces(line, _ENDS) if line.encode().split() else []
+            lost = gone[unit : unit + len(units)]
+            unit += len(units)
+            if not lost.any():
+                kept.append(line)
+                continue
+            words += sum(len(u.encode().split()) for u, out in zip(units, lost) if out)
+            left = [u for u, out in zip(units, lost) if not out] + units[len(lost) :]
+            if left:
+                kept.append("".join(left))
         return "\n".join(kept), len(lines), len(lines) - len(kept), words
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +206,7 @@ def _unpacked(docs: DataFrame) -> list:
     return [F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_line: int | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_line: int | None = MIN_LINE) -> DataFrame:
     """The rows with shorter texts, and _n_lines, _n_cut_lines, _n_cut_words (long) beside them."""
     return _shortened(docs, min_words, min_line).select(*_unpacked(docs), "_n_lines", "_n_cut_lines", "_n_cut_words")
 
@@ -155,7 +216,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     Such a document consists of runs that earlier ones hold. Other columns are passed on, whatever their names.
     """
-    done = _shortened(docs, MIN_WORDS, None)
+    done = _shortened(docs, MIN_WORDS, MIN_LINE)
     gone = F.col("_n_cut_words") > 0
     return done.where(~(gone & ~F.col("text").rlike(r"[^\x09-\x0D\x20]"))).select(_unpacked(docs))
 

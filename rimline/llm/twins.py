@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from rimline.llm.lines import MIN_WORDS
 from rimline.llm.near import WORDS
 
 SPACE = r"[ \t\n\r\f\v]"
@@ -29,36 +28,48 @@ SELECT p.doc_id, least(p.doc_id, coalesce(min(y) FILTER (same), p.doc_id)) AS re
        any_value(class_id) AS class_id, count(y) AS n_links
 FROM parted p JOIN classes USING (doc_id) LEFT JOIN links ON x = p.doc_id GROUP BY p.doc_id"""
 
+# A line is cut after words that end in a full stop, question or exclamation mark; the pieces make up the line.
+PIECE = r"[ \t\r\f\v]*(?:[.!?](?:[ \t\r\f\v]+|$)|[^ \t\r\f\v].*?(?:[.!?](?:[ \t\r\f\v]+|$)|$))"
+
 LINES = f"""
 WITH listed AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
 each_line AS (
-  SELECT doc_id, i, lines[i] AS line, len(regexp_extract_all(lines[i], '[^ \\t\\n\\r\\f\\v]+')) AS words
+  SELECT doc_id, i, lines[i] AS line, regexp_extract_all(lines[i], '{PIECE}') AS pieces
   FROM listed, unnest(range(1, len(lines) + 1)) AS places(i)),
-full_lines AS (
+pieces AS (
+  SELECT doc_id, i, p, pieces[p] AS piece, len(regexp_extract_all(pieces[p], '[^ \\t\\n\\r\\f\\v]+')) AS words
+  FROM each_line, unnest(range(1, len(pieces) + 1)) AS places(p)),
+units AS (
   SELECT *, row_number() OVER before AS k, sum(words) OVER before AS ends, sum(words) OVER before - words AS starts,
-         regexp_replace(line, '^{SPACE}+|{SPACE}+$', '', 'g') AS trimmed
-  FROM each_line WHERE words > 0 WINDOW before AS (PARTITION BY doc_id ORDER BY i)),
+         regexp_replace(piece, '^{SPACE}+|{SPACE}+$', '', 'g') AS trimmed
+  FROM pieces WINDOW before AS (PARTITION BY doc_id ORDER BY i, p)),
+reaching AS (
+  SELECT a.doc_id, a.k AS f, b.k AS l FROM units a JOIN units b
+  ON a.doc_id = b.doc_id AND b.k >= a.k AND b.k < a.k + 30 AND b.ends - a.starts >= 30),
 spans AS (
-  SELECT a.doc_id, a.k AS f, min(b.k) AS l FROM full_lines a JOIN full_lines b
-  ON a.doc_id = b.doc_id AND b.k >= a.k AND b.ends - a.starts >= {MIN_WORDS} GROUP BY ALL
+  SELECT doc_id, f, min(l) AS l, false AS short FROM reaching GROUP BY doc_id, f
+  UNION
+  SELECT doc_id, max(f), l, false FROM reaching GROUP BY doc_id, l
   UNION
-  SELECT b.doc_id, max(a.k), b.k FROM full_lines a JOIN full_lines b
-  ON a.doc_id = b.doc_id AND b.k >= a.k AND b.ends - a.starts >= {MIN_WORDS} GROUP BY b.doc_id, b.k),
-whole AS (SELECT doc_id, list(trimmed ORDER BY k) AS texts, list(i ORDER BY k) AS numbers FROM full_lines GROUP BY doc_id),
+  SELECT doc_id, min(k), max(k), true FROM units GROUP BY doc_id, i HAVING sum(words) BETWEEN 5 AND 29),
+whole AS (SELECT doc_id, list(trimmed ORDER BY k) AS texts FROM units GROUP BY doc_id),
 runs AS (
-  SELECT doc_id, numbers[f] AS first, numbers[l] AS last, array_to_string(texts[f:l], chr(10)) AS run
-  FROM spans JOIN whole USING (doc_id)),
-earliest AS (SELECT run, min((doc_id, first, last)) AS e FROM runs GROUP BY run),
+  SELECT doc_id, f, l, short, array_to_string(texts[f:l], chr(10)) AS run FROM spans JOIN whole USING (doc_id)),
+earliest AS (SELECT run, min((doc_id, f, l)) AS e, max(doc_id) AS most FROM runs GROUP BY run),
 later AS (
-  SELECT doc_id, first, last FROM runs JOIN earliest USING (run) WHERE doc_id <> e[1] OR first > e[3]),
+  SELECT doc_id, f, l FROM runs JOIN earliest USING (run)
+  WHERE (NOT short OR e[1] < most) AND (doc_id <> e[1] OR f > e[3])),
+gone AS (SELECT DISTINCT doc_id, unnest(range(f, l + 1)) AS k FROM later),
+left_lines AS (
+  SELECT u.doc_id, i, string_agg(piece, '' ORDER BY p) FILTER (g.k IS NULL) AS line,
+         coalesce(sum(words) FILTER (g.k IS NOT NULL), 0) AS cut
+  FROM units u LEFT JOIN gone g ON g.doc_id = u.doc_id AND g.k = u.k GROUP BY u.doc_id, i),
 judged AS (
-  SELECT doc_id, i, line, words,
-         words > 0 AND EXISTS (FROM later r WHERE r.doc_id = d.doc_id AND d.i BETWEEN first AND last) AS gone
-  FROM each_line d)
-SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') END AS text,
-       count(i) AS n_lines, count(i) FILTER (gone) AS n_cut_lines,
-       CAST(coalesce(sum(words) FILTER (gone), 0) AS BIGINT) AS n_cut_words
+  SELECT doc_id, i, CASE WHEN len(pieces) = 0 THEN e.line ELSE l.line END AS line, coalesce(cut, 0) AS cut
+  FROM each_line e LEFT JOIN left_lines l USING (doc_id, i))
+SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(string_agg(line, chr(10) ORDER BY i), '') END AS text,
+       count(i) AS n_lines, count(i) - count(line) AS n_cut_lines, CAST(coalesce(sum(cut), 0) AS BIGINT) AS n_cut_words
 FROM documents t LEFT JOIN judged USING (doc_id) GROUP BY doc_id, t.text"""
 
 ORACLE = {

@@ -39,7 +39,7 @@ def test_each_stage_on_given_documents(spark, tmp_path):
             good = {r.doc_id for r in table(spark, SF_DIR, "labels").where("quality = 1").collect()} - failed
             assert len(good & {i for i, _ in kept[name]}) >= 0.95 * len(good)
         elif name == "line_dedup":
-            plain = plain_lines(kept["quality_rules"], 30)
+            plain = plain_lines(kept["quality_rules"])
             assert sorted(kept[name]) == sorted((i, t) for i, t in plain.items() if t.strip())
         elif name == "near_copies":
             assert sorted(i for i, _ in kept[name]) == sorted(i for i, _, _, c, _ in plain_near(kept["line_dedup"]) if c == i)
