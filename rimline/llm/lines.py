@@ -24,7 +24,6 @@ a hash of the text; an empty table gives no rows; other columns are passed on.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -44,17 +43,23 @@ MIN_LINE = 5
 PLACES = "fingerprint long, doc_id long, part long, windows array<struct<first:int, last:int, key:long, short:boolean>>"
 WINDOW = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("key", pa.int64()), ("short", pa.bool_())])
 
-#: Where a line is cut: after the white space that follows the end of a sentence.
-SENTENCE_END = r"[.!?][ \t\r\f\v]+"
-_ENDS, _ENDS_UTF8 = re.compile(SENTENCE_END), re.compile(SENTENCE_END.encode())
+#: A unit ends at a word that ends in one of these, or with its line.
+SENTENCE_END = b".!?"
+_SPACE, _END = (np.isin(np.arange(256), list(chars)) for chars in (b" \t\n\r\f\v", SENTENCE_END))
 _BASE = 0x9E3779B97F4A7C15
 _UNBASE = pow(_BASE, -1, 1 << 64)
 
 
-def pieces(line, ends: re.Pattern) -> list:
-    """A line's units, with the white space after them."""
-    at = [0, *(m.end() for m in ends.finditer(line)), len(line)]
-    return [line[i:j] for i, j in zip(at, at[1:]) if i < j]
+def units(text: bytes) -> tuple[np.ndarray, ...]:
+    """Arrays of a text's units: line, words, and where the first word begins and the last one ends."""
+    data = np.frombuffer(text + b"\n", np.uint8)
+    space = _SPACE[data]
+    begin = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+    end = np.flatnonzero(space[1:] & ~space[:-1]) + 1
+    line = np.searchsorted(np.flatnonzero(data == 10), begin)
+    new = np.flatnonzero(np.concatenate([[True], (line[1:] != line[:-1]) | _END[data[end[:-1] - 1]]])[: len(begin)])
+    after = np.append(new[1:], len(begin))[: len(new)]
+    return line[new], after - new, begin[new], end[after - 1]
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -77,29 +82,23 @@ def _least(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarra
 
 def windows(text: bytes, min_words: int, min_line: int | None = None) -> tuple | None:
     """Arrays of a text's windows, ordered by place: fingerprint, place, first and last unit, key, whether shorter than a run."""
-    words, hashes, whole = [], [], []
-    for line in text.split(b"\n"):
-        if line and not line.isspace():
-            for unit in pieces(line, _ENDS_UTF8):
-                words.append(len(unit.split()))
-                hashes.append(xxhash.xxh3_64_intdigest(unit.strip()))
-            whole.append(len(words))
-    n = len(words)
-    ends = np.cumsum(words)
+    line, words, begin, end = units(text)
+    n, ends = len(words), np.cumsum(words)
     if not n or ends[-1] < min(min_words, min_line or min_words):
         return None
+    hashes = [xxhash.xxh3_64_intdigest(text[i:j]) for i, j in zip(begin.tolist(), end.tolist())]
     each, starts = np.array(hashes, np.uint64), ends - words
-    units = np.arange(n)
+    here = np.arange(n)
     last = np.searchsorted(ends, starts + min_words)
     first = np.searchsorted(starts, ends - min_words, side="right") - 1
     from_here, to_here = last < n, first >= 0
-    spans = [units[from_here] * n + last[from_here], first[to_here] * n + units[to_here]]
+    spans = [here[from_here] * n + last[from_here], first[to_here] * n + here[to_here]]
     if min_line:
-        after = np.array(whole)
-        begin = np.concatenate([[0], after[:-1]])
-        size = ends[after - 1] - starts[begin]
+        head = np.flatnonzero(np.diff(line, prepend=-1))
+        tail = np.append(head[1:], n) - 1
+        size = ends[tail] - starts[head]
         alone = (size >= min_line) & (size < min_words)
-        spans.append(begin[alone] * n + after[alone] - 1)
+        spans.append(head[alone] * n + tail[alone])
     first, last = np.divmod(np.unique(np.concatenate(spans)), n)
     if not len(first):
         return None
@@ -159,31 +158,34 @@ def repeated_ranges(docs: DataFrame, min_words: int = MIN_WORDS, min_line: int |
 
 
 def _cut_lines(schema: pa.Schema):
-    def shorter(text: str | None, ranges: list | None) -> tuple:
+    def shorter(text: bytes | None, ranges: list | None) -> tuple:
         if text is None or not ranges:
-            return text, 0 if text is None else text.count("\n") + 1, 0, 0
-        gone = np.zeros(max(span["last"] for span in ranges) + 1, bool)
+            return text, 0 if text is None else text.count(b"\n") + 1, 0, 0
+        line, words, begin, _ = units(text)
+        gone = np.zeros(len(line), bool)
         for span in ranges:
             gone[span["first"] : span["last"] + 1] = True
-        lines, kept, unit, words = text.split("\n"), [], 0, 0
-        for line in lines:
-            units = pieces(line, _ENDS) if line.encode().split() else []
-            lost = gone[unit : unit + len(units)]
-            unit += len(units)
-            if not lost.any():
-                kept.append(line)
-                continue
-            words += sum(len(u.encode().split()) for u, out in zip(units, lost) if out)
-            left = [u for u, out in zip(units, lost) if not out] + units[len(lost) :]
-            if left:
-                kept.append("".join(left))
-        return "\n".join(kept), len(lines), len(lines) - len(kept), words
+        data = np.frombuffer(text + b"\n", np.uint8)
+        over = np.flatnonzero(data == 10)
+        first = np.diff(line, prepend=-1) > 0
+        begin = np.where(first, np.concatenate([[0], over[:-1] + 1])[line], begin)
+        empty = np.bincount(line[gone], minlength=len(over)) == np.bincount(line, minlength=len(over))
+        empty[np.setdiff1d(np.arange(len(over)), line)] = False
+        # A unit takes the white space after it along, the last of a line that goes whole the line's end, too.
+        last = np.append(first[1:], True)
+        until = np.where(last, over[line] + empty[line], np.append(begin[1:], len(data)))
+        steps = np.zeros(len(data) + 1, np.int8)
+        steps[begin[gone]] += 1
+        np.subtract.at(steps, until[gone], 1)
+        kept = data[np.cumsum(steps[:-1], dtype=np.int8) == 0].tobytes()[:-1]
+        return kept, len(over), int(empty.sum()), int(words[gone].sum())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ranges = batch.column("text"), batch.column("ranges")
+            texts, ranges = batch.column("text").cast(pa.binary()), batch.column("ranges")
             made = [shorter(t.as_py(), r.as_py()) for t, r in zip(texts, ranges)]
             new = dict(zip(("text", "_n_lines", "_n_cut_lines", "_n_cut_words"), zip(*made) if made else [[]] * 4))
+            new["text"] = pa.array(new["text"], pa.binary()).cast(pa.string())
             columns = [pa.array(new[f.name], f.type) if f.name in new else batch.column(f.name) for f in schema]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
