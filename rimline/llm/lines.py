@@ -40,6 +40,9 @@ MIN_WORDS = 30
 #: Words of a whole line that is deleted alone, where it stands in other documents.
 MIN_LINE = 5
 
+#: Bytes of text looked at together, for speed.
+CHUNK = 1 << 18
+
 PLACES = "fingerprint long, doc_id long, part long, windows array<struct<first:int, last:int, key:long, short:boolean>>"
 WINDOW = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("key", pa.int64()), ("short", pa.bool_())])
 
@@ -80,18 +83,21 @@ def _least(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarra
     return least
 
 
-def windows(text: bytes, min_words: int, min_line: int | None = None) -> tuple | None:
-    """Arrays of a text's windows, ordered by place: fingerprint, place, first and last unit, key, whether shorter than a run."""
-    line, words, begin, end = units(text)
-    n, ends = len(words), np.cumsum(words)
-    if not n or ends[-1] < min(min_words, min_line or min_words):
+def windows(texts: list[bytes], min_words: int, min_line: int | None = None) -> tuple | None:
+    """Arrays of the texts' windows, ordered by place: fingerprint, place, text, first and last unit in it, key, whether shorter than a run."""
+    line, words, begin, end = units(whole := b"\n".join(texts))
+    if not len(words):
         return None
-    hashes = [xxhash.xxh3_64_intdigest(text[i:j]) for i, j in zip(begin.tolist(), end.tolist())]
-    each, starts = np.array(hashes, np.uint64), ends - words
+    n, ends = len(words), np.cumsum(words)
+    starts = ends - words
+    owner = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), begin, side="right")
+    # The units of a text, by its number.
+    low, high = (np.searchsorted(owner, np.arange(len(texts)), side=side) for side in ("left", "right"))
+    each = np.array([xxhash.xxh3_64_intdigest(whole[i:j]) for i, j in zip(begin.tolist(), end.tolist())], np.uint64)
     here = np.arange(n)
     last = np.searchsorted(ends, starts + min_words)
     first = np.searchsorted(starts, ends - min_words, side="right") - 1
-    from_here, to_here = last < n, first >= 0
+    from_here, to_here = last < high[owner], first >= low[owner]
     spans = [here[from_here] * n + last[from_here], first[to_here] * n + here[to_here]]
     if min_line:
         head = np.flatnonzero(np.diff(line, prepend=-1))
@@ -107,30 +113,33 @@ def windows(text: bytes, min_words: int, min_line: int | None = None) -> tuple |
     place = _least(each, first, last)
     order = np.argsort(place, kind="stable")
     first, last, place = first[order], last[order], place[order]
-    return each[place].view(np.int64), place, first, last, keys[order].view(np.int64), ends[last] - starts[first] < min_words
+    text = owner[place]
+    return each[place].view(np.int64), place, text, first - low[text], last - low[text], keys[order].view(np.int64), ends[last] - starts[first] < min_words
+
+
+def _chunks(texts: list[bytes]) -> Iterator[slice]:
+    """Texts looked at together: so many bytes, or one longer text."""
+    at, held = 0, 0
+    for i, text in enumerate(texts):
+        if held and held + len(text) > CHUNK:
+            yield slice(at, i)
+            at, held = i, 0
+        held += len(text) + 1
+    yield slice(at, len(texts))
 
 
 def _places(min_words: int, min_line: int | None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
-            prints, ids, parts, offsets, spans, n = [], [], [], [], [], 0
-            for doc_id, part, text in zip(rows["doc_id"], rows["part"], rows["text"]):
-                if (found := windows(text, min_words, min_line)) is None:
+            for some in _chunks(rows["text"]):
+                if (found := windows(rows["text"][some], min_words, min_line)) is None:
                     continue
-                fingerprint, place, *span = found
+                fingerprint, place, text, *span = found
                 heads = np.flatnonzero(np.diff(place, prepend=-1))
-                prints.append(fingerprint[heads])
-                ids.append(np.full(len(heads), doc_id))
-                parts.append(np.full(len(heads), part))
-                offsets.append(heads + n)
-                spans.append(span)
-                n += len(place)
-            if n:
-                columns = [pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*spans), WINDOW)]
-                nested = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([*offsets, [n]]), pa.int32()), pa.StructArray.from_arrays(columns, fields=list(WINDOW))
-                )
-                flat = [pa.array(np.concatenate(c), pa.int64()) for c in (prints, ids, parts)]
+                ids, parts = (np.array(rows[c][some], np.int64)[text[heads]] for c in ("doc_id", "part"))
+                spans = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(span, WINDOW)], fields=list(WINDOW))
+                nested = pa.ListArray.from_arrays(pa.array(np.append(heads, len(place)), pa.int32()), spans)
+                flat = [pa.array(c, pa.int64()) for c in (fingerprint[heads], ids, parts)]
                 yield pa.RecordBatch.from_arrays([*flat, nested], names=["fingerprint", "doc_id", "part", "windows"])
 
     return run
