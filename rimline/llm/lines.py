@@ -166,33 +166,51 @@ def repeated_ranges(docs: DataFrame, min_words: int = MIN_WORDS, min_line: int |
     return later.groupBy("doc_id", "part").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("ranges"))
 
 
-def _cut_lines(schema: pa.Schema):
-    def shorter(text: bytes | None, ranges: list | None) -> tuple:
-        if text is None or not ranges:
-            return text, 0 if text is None else text.count(b"\n") + 1, 0, 0
-        line, words, begin, _ = units(text)
-        gone = np.zeros(len(line), bool)
-        for span in ranges:
-            gone[span["first"] : span["last"] + 1] = True
-        data = np.frombuffer(text + b"\n", np.uint8)
-        over = np.flatnonzero(data == 10)
-        first = np.diff(line, prepend=-1) > 0
-        begin = np.where(first, np.concatenate([[0], over[:-1] + 1])[line], begin)
-        empty = np.bincount(line[gone], minlength=len(over)) == np.bincount(line, minlength=len(over))
-        empty[np.setdiff1d(np.arange(len(over)), line)] = False
-        # A unit takes the white space after it along, the last of a line that goes whole the line's end, too.
-        last = np.append(first[1:], True)
-        until = np.where(last, over[line] + empty[line], np.append(begin[1:], len(data)))
-        steps = np.zeros(len(data) + 1, np.int8)
-        steps[begin[gone]] += 1
-        np.subtract.at(steps, until[gone], 1)
-        kept = data[np.cumsum(steps[:-1], dtype=np.int8) == 0].tobytes()[:-1]
-        return kept, len(over), int(empty.sum()), int(words[gone].sum())
+def shorter(texts: list[bytes], ranges: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple]:
+    """(text, lines, lines cut, words cut) of each text without its ranges of units, first and last ones as arrays."""
+    whole = b"\n".join(texts)
+    line, words, begin, _ = units(whole)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    owner = np.searchsorted(ends, begin, side="right")
+    low = np.searchsorted(owner, np.arange(len(texts)))
+    steps = np.zeros(len(line) + 1, np.int64)
+    for at, (first, last) in zip(low, ranges):
+        np.add.at(steps, at + first, 1)
+        np.subtract.at(steps, at + last + 1, 1)
+    gone = np.cumsum(steps[:-1]) > 0
+    data = np.frombuffer(whole + b"\n", np.uint8)
+    over = np.flatnonzero(data == 10)
+    lost, held = (np.bincount(x, minlength=len(over)) for x in (line[gone], line))
+    empty = (lost == held) & (held > 0)
+    head = np.diff(line, prepend=-1) > 0
+    begin = np.where(head, np.concatenate([[0], over[:-1] + 1])[line], begin)
+    # A unit takes the white space after it along, the last of a line that goes whole the line's end, too.
+    until = np.where(np.append(head[1:], True)[: len(line)], over[line] + empty[line], np.append(begin[1:], len(data))[: len(line)])
+    steps = np.zeros(len(data) + 1, np.int8)
+    steps[begin[gone]] = 1
+    np.subtract.at(steps, until[gone], 1)
+    stay = np.cumsum(steps[:-1], dtype=np.int8) == 0
+    kept, sizes = data[stay].tobytes(), np.concatenate([[0], np.cumsum(stay)])[ends].tolist()
+    breaks = np.searchsorted(over, ends).tolist()
+    of_lines, of_words = np.concatenate([[0], np.cumsum(empty)])[breaks].tolist(), np.bincount(owner[gone], words[gone], len(texts)).astype(int).tolist()
+    for start, size, b0, b1, e0, e1, n in zip([0, *sizes], sizes, [0, *breaks], breaks, [0, *of_lines], of_lines, of_words):
+        # The end of the last line parts this text from the next one.
+        yield kept[start : max(size - 1, start)], b1 - b0, e1 - e0, n
+
 
+def _cut_lines(schema: pa.Schema):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ranges = batch.column("text").cast(pa.binary()), batch.column("ranges")
-            made = [shorter(t.as_py(), r.as_py()) for t, r in zip(texts, ranges)]
+            texts, ranges = batch.column("text").cast(pa.binary()).to_pylist(), batch.column("ranges")
+            made = [(t, 0 if t is None else t.count(b"\n") + 1, 0, 0) for t in texts]
+            spans = [ranges.values.field(c).to_numpy() for c in ("first", "last")]
+            offsets, known = ranges.offsets.to_numpy(), ranges.is_valid().to_numpy(zero_copy_only=False)
+            touched = [i for i in range(len(texts)) if known[i] and texts[i] is not None]
+            for some in _chunks([texts[i] for i in touched]):
+                rows = touched[some]
+                cut_at = [tuple(x[offsets[i] : offsets[i + 1]] for x in spans) for i in rows]
+                for i, result in zip(rows, shorter([texts[i] for i in rows], cut_at) if rows else ()):
+                    made[i] = result
             new = dict(zip(("text", "_n_lines", "_n_cut_lines", "_n_cut_words"), zip(*made) if made else [[]] * 4))
             new["text"] = pa.array(new["text"], pa.binary()).cast(pa.string())
             columns = [pa.array(new[f.name], f.type) if f.name in new else batch.column(f.name) for f in schema]
