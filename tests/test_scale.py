@@ -132,3 +132,18 @@ def test_equal_rows_spread_over_clustered_files(spark, tmp_path):
     files_written = [f for f in os.listdir(os.path.join(path, "season_start_year=2015")) if f.endswith(".parquet")]
     assert len(files_written) == 4
     assert spark.read.parquet(path).count() == 40_000
+
+
+def test_frames_are_compiled_and_windows_dealt_by_number(spark, tmp_path, monkeypatch):
+    events = spark.sql("SELECT id AS event_id, TIMESTAMP_NTZ'2020-01-01 00:00:00' AS ts, IF(id % 5 = 0, NULL, id % 3) AS user_id, 'shot' AS event_type FROM range(60)")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    made = derive.tracking_events(spark, str(tmp_path))
+    # No body of a lambda makes a frame: such bodies are interpreted.
+    assert "transform(" not in plan(made)
+    assert {r.n for r in made.where("event_id % 13 = 0").select(F.size("moments").alias("n")).collect()} <= {0, -1, None}
+    windows = {r.event_pos: r.moments for r in made.collect()}
+    assert len(windows) == 120 and windows[2 * 34 + 1] is None
+    # Frame 20 of event 3 is malformed and left out.
+    assert [m.game_clock for m in windows[6]] == [597.0 - min(i, 28) / 8 for i in range(40) if (33 + i) % 53]
+    monkeypatch.setattr(derive, "TASK_WINDOWS", 4)
+    assert derive.tracking_events(spark, str(tmp_path)).rdd.getNumPartitions() == 30
