@@ -147,3 +147,8 @@ def test_frames_are_compiled_and_windows_dealt_by_number(spark, tmp_path, monkey
     assert [m.game_clock for m in windows[6]] == [597.0 - min(i, 28) / 8 for i in range(40) if (33 + i) % 53]
     monkeypatch.setattr(derive, "TASK_WINDOWS", 4)
     assert derive.tracking_events(spark, str(tmp_path)).rdd.getNumPartitions() == 30
+
+
+def test_copies_are_sorted_by_timestamp_first(landed):
+    text = plan(moments.dedup_moments(moments.moment_rows(landed)))
+    assert text.count("Sort [moment_id") == 2 and "Sort [game_id" not in text
