@@ -152,3 +152,11 @@ def test_frames_are_compiled_and_windows_dealt_by_number(spark, tmp_path, monkey
 def test_copies_are_sorted_by_timestamp_first(landed):
     text = plan(moments.dedup_moments(moments.moment_rows(landed)))
     assert text.count("Sort [moment_id") == 2 and "Sort [game_id" not in text
+
+
+def test_positions_move_field_by_field_without_the_ball(spark, landed):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = plan(moments.player_locations(landed))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joined = text[text.index("Join") :]
+    assert "inline(arrays_zip(" not in joined and "people#" in joined and "arrays_zip(at" in text
