@@ -39,7 +39,7 @@ TOKENS_PER_STEP = 1 << 18
 BLOCK_TOKENS = 1 << 22
 ID_BYTES = 4
 #: Words, and parts of words, that a worker remembers at least.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Sequence ids are the task's number and a count within the task.
 TASK_SHIFT = 40
