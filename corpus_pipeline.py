@@ -15,6 +15,8 @@ from rimline.llm.common import shared_folder, table
 #: Target shares of the mixture. Poor texts that the rules let pass can't be told from clean ones by their words, so no rates
 #: could meet a target for them but by giving up clean documents.
 MIXTURE = {"clean": 0.985, "toxic": 0.015}
+#: Words that a packing worker remembers: fewer than alone, as the stages before have filled the executors' heaps.
+REMEMBERED = 150_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in full windows, with their token ids."""
-    return packing.pack(docs)
+    return packing.pack(docs, remembered=REMEMBERED)
 
 
 STAGES = [

@@ -39,7 +39,7 @@ TOKENS_PER_STEP = 1 << 18
 BLOCK_TOKENS = 1 << 22
 ID_BYTES = 4
 #: Words, and parts of words, that a worker remembers at least.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Sequence ids are the task's number and a count within the task.
 TASK_SHIFT = 40
@@ -109,10 +109,10 @@ class WordIds:
     core in lower case and the ASCII punctuation after that. What is not known is encoded in one call for many texts.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.words, self.parts = Recent(REMEMBERED), Recent(REMEMBERED)
+        self.words, self.parts = Recent(remembered), Recent(remembered)
 
     def _encode(self, parts: list[bytes]) -> None:
         rest = []
@@ -162,9 +162,9 @@ class WordIds:
 
 
 @cache
-def word_ids(path: str) -> WordIds:
+def word_ids(path: str, remembered: int) -> WordIds:
     """One for a worker process, whatever the number of its tasks."""
-    return WordIds(path)
+    return WordIds(path, remembered)
 
 
 class Packer:
@@ -249,7 +249,7 @@ class Packer:
             offset += length
 
 
-def _packing(path: str, tiers: tuple[int, ...], tokens_per_step: int, schema: pa.Schema):
+def _packing(path: str, tiers: tuple[int, ...], tokens_per_step: int, schema: pa.Schema, remembered: int):
     end = array("I", [END_ID]).tobytes()
 
     def emit(pieces: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +263,7 @@ def _packing(path: str, tiers: tuple[int, ...], tokens_per_step: int, schema: pa
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-        words = word_ids(path)
+        words = word_ids(path, remembered)
         packer = Packer(tiers, tokens_per_step, TaskContext.get().partitionId())
         for rows in slices(batches):
             for doc_id, ids in zip(rows["doc_id"], words.of(rows["text"])):
@@ -282,6 +282,7 @@ def pack(
     tokenizer_path: str | None = None,
     tiers: tuple[int, ...] = TIERS,
     tokens_per_step: int = TOKENS_PER_STEP,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """One row per piece: its document and place there, ids (little-endian uint32), window and place there."""
     from pyspark.sql.types import StructType
@@ -290,7 +291,7 @@ def pack(
     schema = to_arrow_schema(StructType.fromDDL(PIECES))
     path = tokenizer_path or public_tokenizers.path("word_bpe_49k.json")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("text"))
-    return texts.mapInArrow(_packing(path, tiers, tokens_per_step, schema), PIECES)
+    return texts.mapInArrow(_packing(path, tiers, tokens_per_step, schema, remembered), PIECES)
 
 
 def op9_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
