@@ -22,6 +22,7 @@ from functools import cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ TOKENS_PER_STEP = 1 << 18
 #: Tokens that wait in a task before they are packed.
 BLOCK_TOKENS = 1 << 22
 ID_BYTES = 4
+#: Text whose words are looked up together: of more text, fewer are distinct.
+GROUP_BYTES = 1 << 23
 #: Words, and parts of words, that a worker remembers at least.
 REMEMBERED = 400_000
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -137,28 +140,46 @@ class WordIds:
                 start = end
 
     def of(self, texts: list[bytes]) -> list[bytes]:
+        """Words are told apart by Arrow, so that each is looked up once for all texts; ids are then gathered."""
         words, parts = self.words, self.parts
         words.turn()
         parts.turn()
-        split = [text.split() for text in texts]
+        # Spaces at the ends leave empty words, which have no ids. A view does not look at the bytes.
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+        coded = split.values.dictionary_encode()
+        distinct = coded.dictionary.view(pa.large_binary()).to_pylist()
         cores = {}
         known = words.older.get
-        for word in {word for each in split for word in each if word not in words}:
-            value = known(word)
-            if value is None:
-                cores[word] = core_and_tail(word)
-            else:
-                words[word] = value
+        for word in distinct:
+            if word not in words:
+                value = known(word)
+                if value is None:
+                    cores[word] = (word.lower(), b"") if word.isalpha() else core_and_tail(word)
+                else:
+                    words[word] = value
         self._encode(sorted({p for pair in cores.values() for p in pair if p and not parts.knows(p)}))
         parts[b""] = b""
         for word, (core, tail) in cores.items():
-            words[word] = parts[core] + parts[tail]
-        found = [b"".join(map(words.__getitem__, each)) for each in split]
+            words[word] = parts[core] + parts[tail] if tail else parts[core]
+        found = [words[word] for word in distinct]
         for word, (core, _) in cores.items():
             if len(word) > LONG_WORD:
                 del words[word]
                 parts.pop(core, None)
-        return found
+        return self._gathered(found, coded.indices.to_numpy(), split.offsets.to_numpy())
+
+    @staticmethod
+    def _gathered(found: list[bytes], places: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The ids of each text: those of its words, which are named by their places in ``found``."""
+        counts = np.fromiter(map(len, found), np.int64, len(found)) // ID_BYTES
+        starts = np.cumsum(counts) - counts
+        held = counts[places]
+        upto = np.concatenate(([0], np.cumsum(held)))
+        at = np.repeat(starts[places] - upto[:-1], held)
+        at += np.arange(len(at))
+        ids = np.frombuffer(b"".join(found), "<u4")[at].tobytes()
+        bounds = (upto[ends] * ID_BYTES).tolist()
+        return [ids[start:end] for start, end in zip(bounds, bounds[1:])]
 
 
 @cache
@@ -167,6 +188,19 @@ def word_ids(path: str, remembered: int) -> WordIds:
     return WordIds(path, remembered)
 
 
+def grouped(slices: Iterable[dict[str, list]], size: int) -> Iterator[list[dict[str, list]]]:
+    """Slices in turn, as many together as hold some ``size`` bytes of text."""
+    group, held = [], 0
+    for rows in slices:
+        group.append(rows)
+        held += sum(map(len, rows["text"]))
+        if held >= size:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
+
+
 class Packer:
     """The windows of one task."""
 
@@ -249,7 +283,7 @@ class Packer:
             offset += length
 
 
-def _packing(path: str, tiers: tuple[int, ...], tokens_per_step: int, schema: pa.Schema, remembered: int):
+def _packing(path: str, tiers: tuple[int, ...], tokens_per_step: int, schema: pa.Schema, remembered: int, group_bytes: int):
     end = array("I", [END_ID]).tobytes()
 
     def emit(pieces: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
@@ -265,13 +299,15 @@ def _packing(path: str, tiers: tuple[int, ...], tokens_per_step: int, schema: pa
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         words = word_ids(path, remembered)
         packer = Packer(tiers, tokens_per_step, TaskContext.get().partitionId())
-        for rows in slices(batches):
-            for doc_id, ids in zip(rows["doc_id"], words.of(rows["text"])):
-                ids += end
-                tokens = len(ids) // ID_BYTES
-                yield from packer.add((doc_id, ids, tokens), tokens)
-            if packer.waiting >= BLOCK_TOKENS:
-                yield from packer.drain()
+        for group in grouped(slices(batches), group_bytes):
+            found = iter(words.of([text for rows in group for text in rows["text"]]))
+            for rows in group:
+                for doc_id, ids in zip(rows["doc_id"], found):
+                    ids += end
+                    tokens = len(ids) // ID_BYTES
+                    yield from packer.add((doc_id, ids, tokens), tokens)
+                if packer.waiting >= BLOCK_TOKENS:
+                    yield from packer.drain()
         yield from packer.finish()
 
     return lambda batches: emit(pieces(batches))
@@ -283,6 +319,7 @@ def pack(
     tiers: tuple[int, ...] = TIERS,
     tokens_per_step: int = TOKENS_PER_STEP,
     remembered: int = REMEMBERED,
+    group_bytes: int = GROUP_BYTES,
 ) -> DataFrame:
     """One row per piece: its document and place there, ids (little-endian uint32), window and place there."""
     from pyspark.sql.types import StructType
@@ -291,7 +328,7 @@ def pack(
     schema = to_arrow_schema(StructType.fromDDL(PIECES))
     path = tokenizer_path or public_tokenizers.path("word_bpe_49k.json")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("text"))
-    return texts.mapInArrow(_packing(path, tiers, tokens_per_step, schema, remembered), PIECES)
+    return texts.mapInArrow(_packing(path, tiers, tokens_per_step, schema, remembered, group_bytes), PIECES)
 
 
 def op9_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

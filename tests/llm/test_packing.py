@@ -9,7 +9,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from rimline.llm.common import table
-from rimline.llm.packing import TIERS, op9_hierarchical_packing, pack
+from rimline.llm.packing import TIERS, WordIds, grouped, op9_hierarchical_packing, pack
 
 SF_DIR = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -87,3 +87,22 @@ def test_step_groups_hold_equal_tokens(spark):
     for (tier, group), held in sorted(tokens.items()):
         by_tier[tier].append(held)
     assert all(held == 8192 for groups in by_tier.values() for held in groups[:-1])
+
+
+def test_a_word_is_looked_up_once_for_all_texts():
+    words, asked = WordIds(PATH), []
+
+    class Asked(type(words.words)):
+        def __contains__(self, word):
+            asked.append(word)
+            return super().__contains__(word)
+
+    words.words = Asked(10)
+    texts = ["one two, one\t", "", " two, three", "one " * 50, "\n"]
+    assert words.of([t.encode() for t in texts]) == [own_ids(t)[:-1].tobytes() for t in texts]
+    assert sorted(w for w in asked if w) == [b"one", b"three", b"two,"]
+
+
+def test_texts_of_some_bytes_are_looked_up_together():
+    slices = [{"text": [b"abc"] * n} for n in (1, 2, 3, 1)]
+    assert list(grouped(slices, 9)) == [slices[:2], slices[2:3], slices[3:]]
