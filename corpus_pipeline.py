@@ -16,7 +16,7 @@ from rimline.llm.common import shared_folder, table
 #: could meet a target for them but by giving up clean documents.
 MIXTURE = {"clean": 0.985, "toxic": 0.015}
 #: Words that a packing worker remembers: fewer than alone, as the stages before have filled the executors' heaps.
-REMEMBERED = 150_000
+REMEMBERED = 60_000
 #: Text whose words it looks up together, less for the same reason.
 GROUP_BYTES = 1 << 21
 
@@ -43,7 +43,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in full windows, with their token ids."""
-    return packing.pack(docs, remembered=REMEMBERED, group_bytes=GROUP_BYTES)
+    return packing.pack(docs, remembered=REMEMBERED, group_bytes=GROUP_BYTES, forget=True)
 
 
 STAGES = [

@@ -70,6 +70,10 @@ class Recent(dict):
             self.older = dict(self)
             self.clear()
 
+    def forget(self) -> None:
+        self.older = {}
+        self.clear()
+
 
 def core_and_tail(word: bytes) -> tuple[bytes, bytes]:
     """A word's letters in lower case and its last punctuation, where the tokenizer parts them; else the word itself.
@@ -168,6 +172,12 @@ class WordIds:
                 parts.pop(core, None)
         return self._gathered(found, coded.indices.to_numpy(), split.offsets.to_numpy())
 
+    def forget(self) -> None:
+        """Gives the memory back that words and Arrow's unused buffers take; the tokenizer stays."""
+        self.words.forget()
+        self.parts.forget()
+        pa.default_memory_pool().release_unused()
+
     @staticmethod
     def _gathered(found: list[bytes], places: np.ndarray, ends: np.ndarray) -> list[bytes]:
         """The ids of each text: those of its words, which are named by their places in ``found``."""
@@ -283,7 +293,7 @@ class Packer:
             offset += length
 
 
-def _packing(path: str, tiers: tuple[int, ...], tokens_per_step: int, schema: pa.Schema, remembered: int, group_bytes: int):
+def _packing(path: str, tiers: tuple[int, ...], tokens_per_step: int, schema: pa.Schema, remembered: int, group_bytes: int, forget: bool):
     end = array("I", [END_ID]).tobytes()
 
     def emit(pieces: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
@@ -299,16 +309,20 @@ def _packing(path: str, tiers: tuple[int, ...], tokens_per_step: int, schema: pa
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         words = word_ids(path, remembered)
         packer = Packer(tiers, tokens_per_step, TaskContext.get().partitionId())
-        for group in grouped(slices(batches), group_bytes):
-            found = iter(words.of([text for rows in group for text in rows["text"]]))
-            for rows in group:
-                for doc_id, ids in zip(rows["doc_id"], found):
-                    ids += end
-                    tokens = len(ids) // ID_BYTES
-                    yield from packer.add((doc_id, ids, tokens), tokens)
-                if packer.waiting >= BLOCK_TOKENS:
-                    yield from packer.drain()
-        yield from packer.finish()
+        try:
+            for group in grouped(slices(batches), group_bytes):
+                found = iter(words.of([text for rows in group for text in rows["text"]]))
+                for rows in group:
+                    for doc_id, ids in zip(rows["doc_id"], found):
+                        ids += end
+                        tokens = len(ids) // ID_BYTES
+                        yield from packer.add((doc_id, ids, tokens), tokens)
+                    if packer.waiting >= BLOCK_TOKENS:
+                        yield from packer.drain()
+            yield from packer.finish()
+        finally:
+            if forget:
+                words.forget()
 
     return lambda batches: emit(pieces(batches))
 
@@ -320,15 +334,19 @@ def pack(
     tokens_per_step: int = TOKENS_PER_STEP,
     remembered: int = REMEMBERED,
     group_bytes: int = GROUP_BYTES,
+    forget: bool = False,
 ) -> DataFrame:
-    """One row per piece: its document and place there, ids (little-endian uint32), window and place there."""
+    """One row per piece: its document and place there, ids (little-endian uint32), window and place there.
+
+    With ``forget``, workers remember words for a task only: they outlive it, and other stages need the memory.
+    """
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 
     schema = to_arrow_schema(StructType.fromDDL(PIECES))
     path = tokenizer_path or public_tokenizers.path("word_bpe_49k.json")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("text"))
-    return texts.mapInArrow(_packing(path, tiers, tokens_per_step, schema, remembered, group_bytes), PIECES)
+    return texts.mapInArrow(_packing(path, tiers, tokens_per_step, schema, remembered, group_bytes, forget), PIECES)
 
 
 def op9_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

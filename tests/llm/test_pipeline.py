@@ -56,6 +56,24 @@ def test_each_stage_on_given_documents(spark, tmp_path):
     assert found == wanted
 
 
+def test_workers_remember_no_words_after_packing(spark):
+    path, size = public_tokenizers.path("word_bpe_49k.json"), corpus_pipeline.REMEMBERED
+
+    def remembered(batches):
+        import pyarrow as pa
+        from rimline.llm.packing import word_ids
+
+        for batch in batches:
+            known = word_ids(path, size)
+            held = sum(len(words) + len(words.older) for words in (known.words, known.parts))
+            yield pa.RecordBatch.from_arrays([pa.array([held] * batch.num_rows, pa.int64())], names=["held"])
+
+    docs = spark.createDataFrame([(i, f"some words of text{i}") for i in range(400)], "doc_id long, text string").repartition(8)
+    assert corpus_pipeline.packing_stage(spark, docs, SF_DIR).count() > 0
+    found = spark.range(0, 8, 1, 8).mapInArrow(remembered, "held long").collect()
+    assert len(found) == 8 and {r.held for r in found} == {0}
+
+
 def test_run_on_odd_rows(spark, tmp_path):
     words = " ".join(f"word{i}" for i in range(80))
     rows = [(1, words), (2, words), (3, words + " and an end"), (None, words[:300]), (4, None), (5, ""), (6, "few"), (7, " ".join(f"other{i}" for i in range(40)))]
