@@ -8,7 +8,7 @@ and then raises an error that names every such game.
 
 import time
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rimline import schemas
 from rimline.operators import headers, manifest as scope, moments, scd2, trajectory
@@ -64,11 +64,10 @@ def land_pbp(spark: SparkSession, manifest: DataFrame, season_files, root: str,
     path = sinks.dataset_path(root, "bronze", "pbp")
     faulty = F.col("mistyped") > 0
     # Faulty rows are counted as the good ones are written; the side table is another pass only where there are any.
-    seen = Observation()
     about = [c for c in files.ABOUT_ROWS if c != "mistyped"]
-    scoped = scope.pbp_of_games(season.drop(*about), games).observe(seen, F.count(F.when(faulty, 1)).alias("faulty"))
+    scoped, counted = reports.observed(scope.pbp_of_games(season.drop(*about), games), F.count(F.when(faulty, 1)).alias("faulty"))
     sinks.write_games(scoped.where(~faulty).drop("mistyped"), path, run, ["EVENTNUM"])
-    aside = seen.get["faulty"]
+    aside = counted()["faulty"]
     without_game = season.where(F.array_contains("faults", "GAME_ID"))
     lost = without_game.count()
     _set_aside(spark, root, run, season if aside else None, without_game if lost else None, games)
@@ -159,18 +158,18 @@ def build_tracking(spark: SparkSession, manifest: DataFrame, root: str, force: b
         run = _start(spark, there, root, "silver", outputs, force)
         windows = _tracking_events(spark, root, there)
         # Counted as the rows pass on their way to the first table, so no read of its own is needed.
-        seen = Observation()
-        listed = moments.moment_rows(windows).drop("positions").observe(seen, F.count(F.when(F.col("moment_id").isNull(), 1)).alias("dropped"))
+        null = F.count(F.when(F.col("moment_id").isNull(), 1)).alias("dropped")
+        listed, counted = reports.observed(moments.moment_rows(windows).drop("positions"), null)
         kept = moments.dedup_moments(listed)
         path = lambda dataset: sinks.dataset_path(root, "silver", dataset)
-        written = {name: Observation() for name in outputs}
-        count = lambda df, name: df.observe(written[name], F.count("*").alias("rows"))
-        sinks.write_games(count(moments.moment_table(kept), outputs[0]), path(outputs[0]), run, ["moment_id"])
-        sinks.write_games(count(moments.player_locations(windows), outputs[1]), path(outputs[1]), run, ["moment_id"], gather=False)
+        tables = (moments.moment_table(kept), moments.player_locations(windows))
+        written = {name: reports.observed(df, F.count("*").alias("rows")) for name, df in zip(outputs, tables)}
+        sinks.write_games(written[outputs[0]][0], path(outputs[0]), run, ["moment_id"])
+        sinks.write_games(written[outputs[1]][0], path(outputs[1]), run, ["moment_id"], gather=False)
         sinks.note_games(spark, there, run, root, "silver", outputs)
-        dropped = seen.get["dropped"]
+        dropped = counted()["dropped"]
         by_game = {"dropped": moments.null_timestamp_counts(windows)} if dropped else {}
-        counts = {"dropped": dropped, **{name: found.get["rows"] for name, found in written.items()}}
+        counts = {"dropped": dropped, **{name: found()["rows"] for name, (_, found) in written.items()}}
         reports.note(spark, root, "build_tracking", run, counts, by_game)
     _raise_for(waiting, MissingInput, "no tracking landed for")
     return dropped
@@ -233,10 +232,9 @@ def build_shot_locations(
         shots = trajectory.shot_attempts(pbp, F.col("game_id"), "season")
         listed = _tracking_events(spark, root, there)
         windows = trajectory.rim_windows(trajectory.shot_windows(listed, shots))
-        seen = Observation()
-        located = trajectory.locate_shots(shots, windows).observe(seen, F.count("*").alias("shots"), F.count("shooter_x").alias("located"))
+        located, counted = reports.observed(trajectory.locate_shots(shots, windows), F.count("*").alias("shots"), F.count("shooter_x").alias("located"))
         sinks.write_games(located, path, run, ["event_id"])
-        reports.note(spark, root, "build_shot_locations", run, seen.get)
+        reports.note(spark, root, "build_shot_locations", run, counted())
         sinks.note_games(spark, there, run, root, "silver", output)
     _raise_for(waiting, MissingInput, "no play-by-play or no tracking landed for")
 

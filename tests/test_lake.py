@@ -217,6 +217,14 @@ def test_game_without_rows_is_not_redone(spark, lake):
     assert sinks.pending_games(spark, manifest, root, "silver", ["shot_location"]).count() == 0
 
 
+def test_rows_are_counted_though_none_is_written(spark, tmp_path):
+    for most, left in ((100, 10), (5, 5), (-1, 0)):
+        seen, counted = reports.observed(spark.range(10), F.count("*").alias("rows"), F.count(F.when(F.col("id") >= most, 1)).alias("faulty"))
+        seen.where(F.col("id") < most).repartition(2, "id").write.parquet(str(tmp_path / f"out{left}"))
+        assert counted() == {"rows": 10, "faulty": 10 - left}
+        assert spark.read.schema("id long").parquet(str(tmp_path / f"out{left}")).count() == left
+
+
 def test_excluded_games_have_no_shots(spark, lake):
     root, manifest_path, season = lake
     manifest = files.load_manifest(spark, manifest_path, list(GAMES[:2]))
