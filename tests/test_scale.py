@@ -160,3 +160,20 @@ def test_positions_move_field_by_field_without_the_ball(spark, landed):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     joined = text[text.index("Join") :]
     assert "inline(arrays_zip(" not in joined and "people#" in joined and "arrays_zip(at" in text
+
+
+def test_windows_pass_by_the_survivors_unsorted(spark, landed):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = plan(moments.player_locations(landed))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text and "Sort [" not in text
+    # Timestamps move as a list for each window, not as rows.
+    assert "posexplode(moments" not in text
+
+
+def test_fields_that_nobody_asks_for_stay_behind(spark, landed):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = plan(moments.player_locations(landed).select("player_id"))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = next(text.split("\n")[i + 1] for i, line in enumerate(text.split("\n")) if ":- Exchange" in line)
+    assert "people#" in moved and ".player_id AS" in moved and ".x AS" not in moved and ".team_id AS" not in moved
