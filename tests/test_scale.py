@@ -177,3 +177,7 @@ def test_fields_that_nobody_asks_for_stay_behind(spark, landed):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     moved = next(text.split("\n")[i + 1] for i, line in enumerate(text.split("\n")) if ":- Exchange" in line)
     assert "people#" in moved and ".player_id AS" in moved and ".x AS" not in moved and ".team_id AS" not in moved
+
+
+def test_a_task_sorts_a_million_moments_at_most():
+    assert derive.TASK_WINDOWS * derive.FRAMES <= 1_000_000
